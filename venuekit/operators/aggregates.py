@@ -24,6 +24,9 @@ def collect_distinct_text(
     return (
         distinct.join(sizes, key)
         .withColumn("part", (bucket % F.greatest("parts", F.lit(1))).cast("int"))
+        # Left to itself Spark would reuse the join's partitioning by key alone and
+        # keep all parts of a key in one task.
+        .repartition(key, "part")
         .groupBy(key, "part", "parts")
         .agg(F.array_join(F.array_sort(F.collect_list(text)), " ").alias(alias))
     )
