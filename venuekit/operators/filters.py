@@ -15,10 +15,12 @@ def contains_all(c: Column, parts: Sequence[str]) -> Column:
     return reduce(lambda a, b: a & b, [c.contains(p) for p in parts])
 
 
-def city_filter(df: DataFrame, city: str, match: str = "equals") -> DataFrame:
-    """Rows of one city; ``match='like'`` accepts names that contain it."""
+def city_filter(df: DataFrame, city: str | None, match: str = "equals") -> DataFrame:
+    """Rows of one city, or all without one; ``match="like"`` accepts names that contain it."""
     if match not in ("equals", "like"):
         raise ValueError(f"match must be 'equals' or 'like', not {match!r}")
+    if city is None:
+        return df
     c = F.col("City")
     return df.where(c == city if match == "equals" else c.contains(city))
 

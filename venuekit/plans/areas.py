@@ -57,14 +57,15 @@ def cuisine_area_share(
     business: DataFrame,
     directory: DataFrame,
     ethnicity: DataFrame,
-    city: str,
+    city: str | None,
     cuisine: str,
     group: str,
     total: str = "Total Population",
+    groups: Sequence[str] = POPULATION_GROUPS,
 ) -> DataFrame:
     """Businesses of one cuisine with a population group's share of their area, best first."""
     stats = _located(normalise_headers(ethnicity), directory)
-    shares = share_of_total(stats.select("Neighbourhood", total, group, "PostCode"), total)
+    shares = share_of_total(stats.select("Neighbourhood", total, group, "PostCode"), total, groups)
     chosen = city_filter(business, city, match="like").where(F.col("Categories").contains(cuisine))
     return (
         with_area(chosen)
@@ -78,7 +79,7 @@ def cuisine_area_share(
 
 
 def area_employment_stars(
-    business: DataFrame, directory: DataFrame, labour: DataFrame, city: str
+    business: DataFrame, directory: DataFrame, labour: DataFrame, city: str | None
 ) -> DataFrame:
     """Mean stars and mean share in work per neighbourhood.
 

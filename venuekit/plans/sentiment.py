@@ -86,18 +86,21 @@ def _adjusted(valence: Column, word: Column, decay: float, rules: Rules) -> Colu
 
 
 def review_scores(
-    reviews: DataFrame, lexicon: DataFrame, rules: Rules = Rules(), key: str = "ReviewID"
+    reviews: DataFrame,
+    lexicon: DataFrame,
+    rules: Rules = Rules(),
+    keys: Sequence[str] = ("ReviewID",),
 ) -> DataFrame:
     """Scores (Negative, Neutral, positive, Over_all) per review.
 
-    ``key`` is unique in ``reviews``; ``lexicon`` has (token, valence), one row per
+    ``keys`` are carried along and identify a review; ``lexicon`` has (token, valence), one row per
     token.  Words are joined to the lexicon, whose size decides between a broadcast
     and a shuffled join, and folded map-side to one row per review.  A NULL text
     gives NULL scores.
     """
     text = F.col("_text")
-    words = reviews.select(key, analysed_text(F.col("Review")).alias("_text")).select(
-        key,
+    words = reviews.select(*keys, analysed_text(F.col("Review")).alias("_text")).select(
+        *keys,
         _emphasis(text).alias("_emphasis"),
         F.regexp_extract_all(text, F.lit(WORD), F.lit(0)).alias("_words"),
     )
@@ -111,8 +114,11 @@ def review_scores(
     )
     contrast = F.array_position(array, rules.contrast)
     rows = words.select(
-        key, "_emphasis", contrast.alias("_contrast"), F.posexplode_outer(in_context).alias("_at", "_word")
-    ).select(key, "_emphasis", "_contrast", (F.col("_at") + 1).alias("_at"), "_word.*")
+        *keys,
+        "_emphasis",
+        contrast.alias("_contrast"),
+        F.posexplode_outer(in_context).alias("_at", "_word"),
+    ).select(*keys, "_emphasis", "_contrast", (F.col("_at") + 1).alias("_at"), "_word.*")
 
     value = F.col("valence").cast("double")
     for distance, decay in enumerate(DEGREE_DECAY, start=1):
@@ -128,8 +134,8 @@ def review_scores(
     v = F.col("_value")
     sums = (
         rows.join(lexicon.select("token", "valence"), "token", "left")
-        .select(key, "token", "_emphasis", F.coalesce(value * shift, F.lit(0.0)).alias("_value"))
-        .groupBy(key)
+        .select(*keys, "token", "_emphasis", F.coalesce(value * shift, F.lit(0.0)).alias("_value"))
+        .groupBy(*keys)
         .agg(
             F.max("_emphasis").alias("emphasis"),
             F.sum(v).alias("total"),
@@ -141,7 +147,7 @@ def review_scores(
     )
     emphasis = F.col("emphasis")
     sums = sums.select(
-        key,
+        *keys,
         "emphasis",
         "flat",
         (F.col("total") + F.signum("total") * emphasis).alias("total"),
@@ -159,7 +165,7 @@ def review_scores(
 
     total = F.col("total")
     return sums.select(
-        key,
+        *keys,
         unless_null(share(F.col("down"))).alias("Negative"),
         unless_null(share(F.col("flat"))).alias("Neutral"),
         unless_null(share(F.col("up"))).alias("positive"),
@@ -167,14 +173,14 @@ def review_scores(
     )
 
 
-def city_reviews(reviews: DataFrame, business: DataFrame, city: str) -> DataFrame:
+def city_reviews(reviews: DataFrame, business: DataFrame, city: str | None) -> DataFrame:
     """(ReviewID, BusinessID, Business_Name, Review) of one city."""
     names = city_filter(business, city).select("BusinessID", F.col("Name").alias("Business_Name"))
     return reviews.select("ReviewID", "BusinessID", "Review").join(names, "BusinessID")
 
 
 def review_sentiment(
-    reviews: DataFrame, business: DataFrame, lexicon: DataFrame, city: str, rules: Rules = Rules()
+    reviews: DataFrame, business: DataFrame, lexicon: DataFrame, city: str | None, rules: Rules = Rules()
 ) -> DataFrame:
     """Scores next to the text of each review of a city."""
     chosen = city_reviews(reviews, business, city)
@@ -183,22 +189,24 @@ def review_sentiment(
     )
 
 
+def _mean(score: str, alias: str) -> Column:
+    # Scores have four digits at most.  Adding them as decimals is exact, so a tie is
+    # rounded the same way in whatever order the tasks finish.
+    mean = F.avg(F.col(score).cast("decimal(6,4)"))
+    return F.round(mean, 2).cast("double").alias(alias)
+
+
 def business_sentiment(
-    reviews: DataFrame, business: DataFrame, lexicon: DataFrame, city: str, rules: Rules = Rules()
+    reviews: DataFrame, business: DataFrame, lexicon: DataFrame, city: str | None, rules: Rules = Rules()
 ) -> DataFrame:
     """Mean scores per business of a city, with its name and place."""
     chosen = city_reviews(reviews, business, city)
-    scores = review_scores(chosen, lexicon, rules)
-    means = (
-        chosen.select("ReviewID", "BusinessID")
-        .join(scores, "ReviewID")
-        .groupBy("BusinessID")
-        .agg(
-            F.round(F.avg("Negative"), 2).alias("avg_neg"),
-            F.round(F.avg("Neutral"), 2).alias("avg_neu"),
-            F.round(F.avg("positive"), 2).alias("avg_pos"),
-            F.round(F.avg("Over_all"), 2).alias("avg_composite_score"),
-        )
+    scores = review_scores(chosen, lexicon, rules, ("ReviewID", "BusinessID"))
+    means = scores.groupBy("BusinessID").agg(
+        _mean("Negative", "avg_neg"),
+        _mean("Neutral", "avg_neu"),
+        _mean("positive", "avg_pos"),
+        _mean("Over_all", "avg_composite_score"),
     )
     places = city_filter(business, city).select(
         "BusinessID",

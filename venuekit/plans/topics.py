@@ -90,10 +90,30 @@ def text_features(text: str, output: str = "idf_vec", size: int = VOCABULARY_SIZ
     )
 
 
+_STORED_VECTOR = T.StructType(
+    [
+        T.StructField("type", T.ByteType()),
+        T.StructField("size", T.IntegerType()),
+        T.StructField("indices", T.ArrayType(T.IntegerType())),
+        T.StructField("values", T.ArrayType(T.DoubleType())),
+    ]
+)
+
+
+def sparse_arrays(df: DataFrame, key: str, vector: str) -> DataFrame:
+    """(key, indices, values) of a sparse vector column, never made dense.
+
+    A stored vector is a struct, and is read back as one.
+    """
+    rows = df.select(key, F.col(vector).alias("v"))
+    schema = T.StructType([rows.schema[key], T.StructField("v", _STORED_VECTOR)])
+    return materialise(rows, "sparse", schema).select(key, "v.indices", "v.values")
+
+
 # --- topics -----------------------------------------------------------------------
 def business_texts(reviews: DataFrame, business: DataFrame, city: str | None = None) -> DataFrame:
     """Distinct review texts (BusinessID, Review) of a city's businesses."""
-    chosen = business if city is None else city_filter(business, city)
+    chosen = city_filter(business, city)
     texts = reviews.select("BusinessID", "Review")
     return texts.join(chosen.select("BusinessID"), "BusinessID", "left_semi").distinct()
 
