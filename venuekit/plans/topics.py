@@ -59,8 +59,8 @@ def tfidf(counts: DataFrame, documents: DataFrame) -> DataFrame:
     """Weight n x ln((N + 1) / (df + 1)); ``documents`` has one row per key."""
     frequency = counts.groupBy("term").agg(F.count("*").alias("df"))
     size = documents.agg(F.count("*")).scalar()
-    return counts.join(frequency.withColumn("N", size), "term").withColumn(
-        "weight", F.col("n") * F.log((F.col("N") + 1) / (F.col("df") + 1))
+    return counts.join(frequency.withColumn("documents", size), "term").withColumn(
+        "weight", F.col("n") * F.log((F.col("documents") + 1) / (F.col("df") + 1))
     )
 
 
@@ -78,12 +78,18 @@ def vocabulary(counts: DataFrame, documents: DataFrame, size: int = VOCABULARY_S
 
 
 # --- the same through MLlib, for texts that are one row each ----------------------
-def text_features(text: str, output: str = "idf_vec", size: int = VOCABULARY_SIZE) -> Pipeline:
+def text_features(
+    text: str,
+    output: str = "idf_vec",
+    size: int = VOCABULARY_SIZE,
+    stopwords: Sequence[str] | None = None,
+) -> Pipeline:
     """Unfitted pipeline: words, no stop words, counts, inverse document weights."""
+    listed = english_stopwords() if stopwords is None else list(stopwords)
     return Pipeline(
         stages=[
             RegexTokenizer(gaps=False, pattern=WORD, inputCol=text, outputCol="token"),
-            StopWordsRemover(inputCol="token", outputCol="no_stopword"),
+            StopWordsRemover(inputCol="token", outputCol="no_stopword", stopWords=listed),
             CountVectorizer(vocabSize=size, inputCol="no_stopword", outputCol="rawcol"),
             IDF(inputCol="rawcol", outputCol=output),
         ]

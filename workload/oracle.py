@@ -74,11 +74,11 @@ where term not in ('the', 'and', 'of', 'to', 'in', 'that') group by all""",
     "fx_ascii": r"""
 select *, regexp_replace(lower(Review), '[^\x01-\x7E]', '', 'g') as txt from fx_text""",
     "fx_tokens": r"""
-select ReviewID, at, token, lag(token, 1) over w as b1, lag(token, 2) over w as b2, lag(token, 3) over w as b3
-from (select ReviewID, unnest(words) as token, generate_subscripts(words, 1) as at
+select ReviewID, nth, token, lag(token, 1) over w as b1, lag(token, 2) over w as b2, lag(token, 3) over w as b3
+from (select ReviewID, unnest(words) as token, generate_subscripts(words, 1) as nth
   from (select ReviewID, regexp_extract_all(txt, '\w+(?:''\w+)*') as words from fx_ascii))
-window w as (partition by ReviewID order by at)""",
-    "fx_but": "select ReviewID, min(at) as but_at from fx_tokens where token = 'by' group by ReviewID",
+window w as (partition by ReviewID order by nth)""",
+    "fx_but": "select ReviewID, min(nth) as but_nth from fx_tokens where token = 'by' group by ReviewID",
     "fx_v0": """
 select t.*, l.valence as v from fx_tokens t left join fx_lexicon l on t.token = l.token""",
     "fx_v1": "select * replace (step(v, b1, 0.293) as v) from fx_v0",
@@ -95,8 +95,8 @@ select r.ReviewID, r.BusinessID, r.Review, e, coalesce(sum(x), 0.0) as s,
   coalesce(sum(case when x < 0 then 1 - x else 0.0::double end), 0.0) as down,
   count(*) filter (x = 0) as flat
 from fx_emphasis r left join (
-  select t.ReviewID, coalesce(v, 0.0::double) * case when but_at is null or at = but_at then 1.0::double
-    when at < but_at then 0.5::double else 1.5::double end as x
+  select t.ReviewID, coalesce(v, 0.0::double) * case when but_nth is null or nth = but_nth then 1.0::double
+    when nth < but_nth then 0.5::double else 1.5::double end as x
   from fx_v3 t left join fx_but b on t.ReviewID = b.ReviewID) x on r.ReviewID = x.ReviewID
 group by all""",
     "fx_scores": """
@@ -195,10 +195,10 @@ select case when BusinessStars <= 3 then 'low' when BusinessStars > 3 then 'high
 select count(*) filter (InLabourForce is null) as missing, count(InLabourForce) as present from fx_area""",
     "derive_columns": """
 select o_orderkey as OrderID, o_totalprice, o_orderpriority as Priority,
-  round(o_totalprice * 0.9::double, 2) as NetPrice, 'CAD' as Currency from orders""",
+  o_totalprice * 0.9::double as NetPrice, 'CAD' as Currency from orders""",
     "star_plus": "select *, replace(PostalCode, ' ', '') as ZipCode from fx_business",
     "clamp_score": """
-select o_orderkey, round(least(5.0, greatest(0.0, o_totalprice / 60000 - 1)), 6) as score from orders""",
+select o_orderkey, least(5.0, greatest(0.0, o_totalprice / 60000 - 1)) as score from orders""",
     "cast_columns": """
 select cast(o_orderkey as varchar) as key_text, cast(floor(o_totalprice) as int) as price,
   cast(cast(o_orderdate as date) as varchar) as o_orderdate,
@@ -344,6 +344,17 @@ select row_number() over (order by total desc, term) - 1 as index, term,
   round(ln(((select count(*) from fx_text) + 1) / (df + 1)), 6) as idf
 from (select term, sum(n) as total, count(*) as df from fx_counts group by 1)
 order by total desc, term limit 500""",
+    "text_features": """
+select t.ReviewID, count(w) filter (w <> 0) as n, round(coalesce(sum(w), 0), 3) as total
+from fx_text t left join (
+  select ReviewID, n * ln(((select count(*) from fx_text) + 1) / (df + 1)) as w
+  from fx_counts c join (select term, count(*) as df from fx_counts group by 1) d on c.term = d.term) x
+on t.ReviewID = x.ReviewID group by 1""",
+    "topic_long_form": """
+select vec_id as BusinessID, label as BusinessName,
+  generate_subscripts(embedding, 1) - 1 as TopicID,
+  cast(cast(round(cast(unnest(embedding) as double) * 1e6) as bigint) as varchar) as TopicDistribution
+from embeddings""",
     # --- recommender
     "string_index": """
 select PostCode, count(*) as n, row_number() over (order by count(*) desc, PostCode) - 1 as index
@@ -449,17 +460,5 @@ group by s.BusinessID, Name, PostalCode, Latitude, Longitude""",
 }
 
 
-def text_features_sql(stopwords: list[str]) -> str:
-    """MLlib's English stop words come from MLlib, so that both sides use one list."""
-    listed = ", ".join("'" + w.replace("'", "''") + "'" for w in stopwords)
-    return f"""
-select t.ReviewID, count(w) filter (w <> 0) as n, round(coalesce(sum(w), 0), 3) as total
-from fx_text t left join (
-  select c.ReviewID, n * ln(((select count(*) from fx_text) + 1) / (df + 1)) as w
-  from (select ReviewID, term, count(*) as n from fx_words where term not in ({listed}) group by all) c
-  join (select term, count(distinct ReviewID) as df from fx_words group by 1) d on c.term = d.term) x
-on t.ReviewID = x.ReviewID group by 1"""
-
-
 def oracle_sql() -> dict[str, str]:
     return {name: _with_inputs(sql) for name, sql in SQL.items()}

@@ -128,7 +128,7 @@ def null_filter(i: Inputs) -> DataFrame:
 def derive_columns(i: Inputs) -> DataFrame:
     return (
         i.table("orders")
-        .withColumns({"NetPrice": F.round(col("o_totalprice") * 0.9, 2), "Currency": F.lit("CAD")})
+        .withColumns({"NetPrice": col("o_totalprice") * 0.9, "Currency": F.lit("CAD")})
         .withColumnsRenamed({"o_orderkey": "OrderID", "o_orderpriority": "Priority"})
         .drop("o_custkey", "o_orderdate", "o_orderstatus")
     )
@@ -142,7 +142,7 @@ def star_plus(i: Inputs) -> DataFrame:
 @query
 def clamp_score(i: Inputs) -> DataFrame:
     score = numbers.clamp(col("o_totalprice") / 60000 - 1, 0.0, 5.0)
-    return i.table("orders").select("o_orderkey", F.round(score, 6).alias("score"))
+    return i.table("orders").select("o_orderkey", score.alias("score"))
 
 
 @query
@@ -578,7 +578,7 @@ def vocabulary(i: Inputs) -> DataFrame:
 @query
 def text_features(i: Inputs) -> DataFrame:
     """MLlib's words, stop words, counts and weights; entries per review and their sum."""
-    model = topics.text_features("Review").fit(i.text())
+    model = topics.text_features("Review", stopwords=STOPWORDS).fit(i.text())
     weights = topics.sparse_arrays(model.transform(i.text()), "ReviewID", "idf_vec")
     return weights.select(
         "ReviewID",
