@@ -112,13 +112,16 @@ def review_scores(
             w.alias("token"), *[F.get(array, i - d).alias(f"back{d}") for d in (1, 2, 3)]
         ),
     )
-    contrast = F.array_position(array, rules.contrast)
-    rows = words.select(
-        *keys,
-        "_emphasis",
-        contrast.alias("_contrast"),
-        F.posexplode_outer(in_context).alias("_at", "_word"),
-    ).select(*keys, "_emphasis", "_contrast", (F.col("_at") + 1).alias("_at"), "_word.*")
+    rows = (
+        words.select(
+            *keys,
+            "_emphasis",
+            F.array_position(array, rules.contrast).alias("_contrast"),
+            in_context.alias("_context"),
+        )
+        .select(*keys, "_emphasis", "_contrast", F.posexplode_outer("_context").alias("_at", "_word"))
+        .select(*keys, "_emphasis", "_contrast", (F.col("_at") + 1).alias("_at"), "_word.*")
+    )
 
     value = F.col("valence").cast("double")
     for distance, decay in enumerate(DEGREE_DECAY, start=1):

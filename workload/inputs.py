@@ -123,8 +123,10 @@ class Inputs:
 
     def lexicon(self) -> DataFrame:
         """Valences for frequent words of the documents."""
-        rows = [("the", 1.5), ("and", -1.0), ("that", 2.0), ("with", -2.5), ("les", 0.8), ("und", -1.7)]
-        return self.spark.createDataFrame(rows, "token string, valence double")
+        return self.spark.sql(
+            """select * from values ('the', 1.5D), ('and', -1.0D), ('that', 2.0D), ('with', -2.5D),
+               ('les', 0.8D), ('und', -1.7D) as t(token, valence)"""
+        )
 
     def sentiment(self) -> DataFrame:
         """Business side of the recommender with scores averaged over its ratings."""
