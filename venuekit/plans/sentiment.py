@@ -76,13 +76,15 @@ def _emphasis(text: Column) -> Column:
 
 def _adjusted(valence: Column, word: Column, decay: float, rules: Rules) -> Column:
     """A valence after one of the words before it was looked at."""
-    step = F.lit(DEGREE_STEP * decay)
-    strength = F.when(word.isin(list(rules.stronger)), step).when(
-        word.isin(list(rules.weaker)), -step
+    step = DEGREE_STEP * decay
+    strength = (
+        F.when(word.isin(list(rules.stronger)), step)
+        .when(word.isin(list(rules.weaker)), -step)
+        .otherwise(0.0)
     )
-    scaled = valence + F.coalesce(F.signum(valence) * strength, F.lit(0.0))
     negated = word.isin(list(rules.negations)) | word.endswith(rules.negative_ending)
-    return F.when(negated, scaled * NEGATION_FACTOR).otherwise(scaled)
+    factor = F.when(negated, NEGATION_FACTOR).otherwise(1.0)
+    return (valence + F.signum(valence) * strength) * factor
 
 
 def review_scores(
@@ -123,21 +125,24 @@ def review_scores(
         .select(*keys, "_emphasis", "_contrast", (F.col("_at") + 1).alias("_at"), "_word.*")
     )
 
-    value = F.col("valence").cast("double")
-    for distance, decay in enumerate(DEGREE_DECAY, start=1):
-        value = F.when(
-            F.col(f"back{distance}").isNotNull(),
-            _adjusted(value, F.col(f"back{distance}"), decay, rules),
-        ).otherwise(value)
     shift = (
         F.when((F.col("_contrast") == 0) | (F.col("_at") == F.col("_contrast")), 1.0)
         .when(F.col("_at") < F.col("_contrast"), BEFORE_BUT)
         .otherwise(AFTER_BUT)
     )
+    valued = rows.join(lexicon.select("token", F.col("valence").cast("double")), "token", "left")
+    # One step per projection: nested into one expression, each would repeat the last.
+    for distance, decay in enumerate(DEGREE_DECAY, start=1):
+        back = F.col(f"back{distance}")
+        valued = valued.withColumn("valence", _adjusted(F.col("valence"), back, decay, rules))
     v = F.col("_value")
     sums = (
-        rows.join(lexicon.select("token", "valence"), "token", "left")
-        .select(*keys, "token", "_emphasis", F.coalesce(value * shift, F.lit(0.0)).alias("_value"))
+        valued.select(
+            *keys,
+            "token",
+            "_emphasis",
+            F.coalesce(F.col("valence") * shift, F.lit(0.0)).alias("_value"),
+        )
         .groupBy(*keys)
         .agg(
             F.max("_emphasis").alias("emphasis"),

@@ -57,7 +57,9 @@ def term_counts(
 
 def tfidf(counts: DataFrame, documents: DataFrame) -> DataFrame:
     """Weight n x ln((N + 1) / (df + 1)); ``documents`` has one row per key."""
-    frequency = counts.groupBy("term").agg(F.count("*").alias("df"))
+    # Reading n, which is never 0, keeps both sides of the join on one shuffle of the words;
+    # a plain count would drop the column and count the words a second time.
+    frequency = counts.groupBy("term").agg(F.count_if(F.col("n") > 0).alias("df"))
     size = documents.agg(F.count("*")).scalar()
     return counts.join(frequency.withColumn("documents", size), "term").withColumn(
         "weight", F.col("n") * F.log((F.col("documents") + 1) / (F.col("df") + 1))

@@ -8,6 +8,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from venuekit.sources.readers import spread
+
 
 class Inputs:
     def __init__(self, spark: SparkSession, folder: str):
@@ -81,7 +83,7 @@ class Inputs:
 
     def text(self) -> DataFrame:
         """Every document is a review of the business its source is numbered after."""
-        return self.table("documents").select(
+        return spread(self.table("documents"), "doc_id").select(
             F.col("doc_id").alias("ReviewID"),
             F.replace("source", F.lit("src"), F.lit("")).cast("long").alias("BusinessID"),
             F.col("text").alias("Review"),
