@@ -67,11 +67,13 @@ def _occurrences(text: Column, mark: str) -> Column:
 
 def _emphasis(text: Column) -> Column:
     questions = _occurrences(text, "?")
-    return F.least(_occurrences(text, "!"), F.lit(EXCLAMATION_MAX)) * EXCLAMATION_STEP + (
+    loud = F.least(_occurrences(text, "!"), F.lit(EXCLAMATION_MAX)) * EXCLAMATION_STEP
+    asking = (
         F.when(questions <= 1, 0.0)
         .when(questions <= QUESTION_MAX, questions * QUESTION_STEP)
         .otherwise(QUESTION_CAP)
     )
+    return F.when(text.isNotNull(), loud + asking)
 
 
 def _adjusted(valence: Column, word: Column, decay: float, rules: Rules) -> Column:
