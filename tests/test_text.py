@@ -90,11 +90,12 @@ def test_means_per_business_of_a_city(spark, lexicon, rows):
         [("r1", "b1", "good"), ("r2", "b1", "bad"), ("r3", "b1", None), ("r4", "b2", "good")],
         "ReviewID string, BusinessID string, Review string",
     )
-    got = sentiment.business_sentiment(reviews, business, lexicon, "Toronto").collect()
+    scores = sentiment.city_scores(reviews, business, lexicon, "Toronto")
+    got = sentiment.business_means(scores, business, "Toronto").collect()
     assert [(r.BusinessID, r.avg_neg, r.avg_neu, r.avg_pos, r.ZipCode) for r in got] == [
         ("b1", 0.5, 0.0, 0.5, "M5V1A1")
     ]
-    each = sentiment.review_sentiment(reviews, business, lexicon, "Toronto")
+    each = sentiment.with_texts(scores, reviews, business, "Toronto")
     assert each.columns == [
         "BusinessID", "Business_Name", "Review", "Negative", "Neutral", "positive", "Over_all",
     ]

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from venuekit.plans import areas, clean, recommend, reports, sentiment, topics
 from venuekit.sources import schemas
 from venuekit.sources.readers import read_csv, read_json, read_parquet
+from venuekit.sources.scratch import materialise
 from venuekit.sources.writers import out_path, write_csv, write_parquet
 
 # City and states of the reports.
@@ -122,10 +123,12 @@ def employment(spark: SparkSession, a: argparse.Namespace) -> None:
 def sentiment_scores(spark: SparkSession, a: argparse.Namespace) -> None:
     reviews, table = read_parquet(spark, a.review), read_parquet(spark, a.business)
     words = read_csv(spark, a.lexicon).withColumn("valence", F.col("valence").cast("double"))
+    scores = sentiment.city_scores(reviews, table, words, a.city)
     if a.per_review:
-        scores = sentiment.review_sentiment(reviews, table, words, a.city)
-        write_csv(scores, out_path(a.output, "Sentiment_for_alltext"))
-    means = sentiment.business_sentiment(reviews, table, words, a.city)
+        scores = materialise(scores, "scores")  # read by two writes
+        texts = sentiment.with_texts(scores, reviews, table, a.city)
+        write_csv(texts, out_path(a.output, "Sentiment_for_alltext"))
+    means = sentiment.business_means(scores, table, a.city)
     write_csv(means, out_path(a.output, "BusinessSentiment"))
 
 

@@ -2,10 +2,25 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
+def group_apart(df: DataFrame, keys: Sequence[str], *measures: Column) -> DataFrame:
+    """``groupBy(keys).agg(measures)`` whose result is not tied to the keys' partitioning.
+
+    Grouping by the keys as one struct gives the rows their own shuffle, after the
+    usual map-side fold.  A plain ``groupBy`` reuses the partitioning of a join by
+    one of its keys, and a join reuses that of a grouping.  Spark then cannot split
+    the join's oversized partitions, and a hot key stays in one task.
+    """
+    grouped = df.groupBy(F.struct(*keys).alias("_key"))
+    folded = grouped.agg(*measures) if measures else df.select(F.struct(*keys).alias("_key")).distinct()
+    return folded.select("_key.*", *folded.columns[1:])
+
+
 def collect_distinct_text(
     df: DataFrame, key: str, text: str, alias: str, part_chars: int = 1 << 24
 ) -> DataFrame:
@@ -17,8 +32,9 @@ def collect_distinct_text(
     """
     # Duplicates fold map-side, and the shuffle is on both columns.
     distinct = df.select(key, text).where(F.col(text).isNotNull()).distinct()
-    sizes = distinct.groupBy(key).agg(
-        F.ceil((F.sum(F.length(text)) + F.count(text)) / F.lit(part_chars)).cast("int").alias("parts")
+    size = F.sum(F.length(text)) + F.count(text)
+    sizes = group_apart(
+        distinct, [key], F.ceil(size / F.lit(part_chars)).cast("int").alias("parts")
     )
     bucket = F.conv(F.substring(F.md5(text), 1, 8), 16, 10).cast("long")
     return (

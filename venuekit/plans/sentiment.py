@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from venuekit.functions.text import strip_non_ascii, without_spaces
+from venuekit.operators.aggregates import group_apart
 from venuekit.operators.filters import city_filter
 
 # Constants of the published model.
@@ -138,22 +139,21 @@ def review_scores(
         back = F.col(f"back{distance}")
         valued = valued.withColumn("valence", _adjusted(F.col("valence"), back, decay, rules))
     v = F.col("_value")
-    sums = (
-        valued.select(
-            *keys,
-            "token",
-            "_emphasis",
-            F.coalesce(F.col("valence") * shift, F.lit(0.0)).alias("_value"),
-        )
-        .groupBy(*keys)
-        .agg(
-            F.max("_emphasis").alias("emphasis"),
-            F.sum(v).alias("total"),
-            # One is added per word to weigh it against a neutral one, which counts one.
-            F.sum(F.when(v > 0, v + 1).otherwise(0.0)).alias("up"),
-            F.sum(F.when(v < 0, 1 - v).otherwise(0.0)).alias("down"),
-            F.count(F.when((v == 0) & F.col("token").isNotNull(), 1)).alias("flat"),
-        )
+    words_valued = valued.select(
+        *keys,
+        "token",
+        "_emphasis",
+        F.coalesce(F.col("valence") * shift, F.lit(0.0)).alias("_value"),
+    )
+    sums = group_apart(
+        words_valued,
+        keys,
+        F.max("_emphasis").alias("emphasis"),
+        F.sum(v).alias("total"),
+        # One is added per word to weigh it against a neutral one, which counts one.
+        F.sum(F.when(v > 0, v + 1).otherwise(0.0)).alias("up"),
+        F.sum(F.when(v < 0, 1 - v).otherwise(0.0)).alias("down"),
+        F.count(F.when((v == 0) & F.col("token").isNotNull(), 1)).alias("flat"),
     )
     emphasis = F.col("emphasis")
     sums = sums.select(
@@ -189,12 +189,22 @@ def city_reviews(reviews: DataFrame, business: DataFrame, city: str | None) -> D
     return reviews.select("ReviewID", "BusinessID", "Review").join(names, "BusinessID")
 
 
-def review_sentiment(
-    reviews: DataFrame, business: DataFrame, lexicon: DataFrame, city: str | None, rules: Rules = Rules()
+def city_scores(
+    reviews: DataFrame,
+    business: DataFrame,
+    lexicon: DataFrame,
+    city: str | None,
+    rules: Rules = Rules(),
 ) -> DataFrame:
-    """Scores next to the text of each review of a city."""
+    """(ReviewID, BusinessID, scores) of one city; both products below start from it."""
     chosen = city_reviews(reviews, business, city)
-    return chosen.join(review_scores(chosen, lexicon, rules), "ReviewID").select(
+    return review_scores(chosen, lexicon, rules, ("ReviewID", "BusinessID"))
+
+
+def with_texts(scores: DataFrame, reviews: DataFrame, business: DataFrame, city: str | None) -> DataFrame:
+    """Scores next to the text of each review."""
+    texts = city_reviews(reviews, business, city)
+    return texts.join(scores.drop("BusinessID"), "ReviewID").select(
         "BusinessID", "Business_Name", "Review", "Negative", "Neutral", "positive", "Over_all"
     )
 
@@ -206,12 +216,8 @@ def _mean(score: str, alias: str) -> Column:
     return F.round(mean, 2).cast("double").alias(alias)
 
 
-def business_sentiment(
-    reviews: DataFrame, business: DataFrame, lexicon: DataFrame, city: str | None, rules: Rules = Rules()
-) -> DataFrame:
-    """Mean scores per business of a city, with its name and place."""
-    chosen = city_reviews(reviews, business, city)
-    scores = review_scores(chosen, lexicon, rules, ("ReviewID", "BusinessID"))
+def business_means(scores: DataFrame, business: DataFrame, city: str | None) -> DataFrame:
+    """Mean scores per business, with its name and place."""
     means = scores.groupBy("BusinessID").agg(
         _mean("Negative", "avg_neg"),
         _mean("Neutral", "avg_neu"),

@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from venuekit.functions.text import WORD, strip_chars, tokens, without_stopwords
+from venuekit.operators.aggregates import group_apart
 from venuekit.operators.filters import HIGH, LOW, city_filter, rating_cohort
 from venuekit.operators.ranking import top_rows
 from venuekit.operators.rows import posexplode_list
@@ -59,7 +60,7 @@ def tfidf(counts: DataFrame, documents: DataFrame) -> DataFrame:
     """Weight n x ln((N + 1) / (df + 1)); ``documents`` has one row per key."""
     # Reading n, which is never 0, keeps both sides of the join on one shuffle of the words;
     # a plain count would drop the column and count the words a second time.
-    frequency = counts.groupBy("term").agg(F.count_if(F.col("n") > 0).alias("df"))
+    frequency = group_apart(counts, ["term"], F.count_if(F.col("n") > 0).alias("df"))
     size = documents.agg(F.count("*")).scalar()
     return counts.join(frequency.withColumn("documents", size), "term").withColumn(
         "weight", F.col("n") * F.log((F.col("documents") + 1) / (F.col("df") + 1))
@@ -123,7 +124,8 @@ def business_texts(reviews: DataFrame, business: DataFrame, city: str | None = N
     """Distinct review texts (BusinessID, Review) of a city's businesses."""
     chosen = city_filter(business, city)
     texts = reviews.select("BusinessID", "Review")
-    return texts.join(chosen.select("BusinessID"), "BusinessID", "left_semi").distinct()
+    known = texts.join(chosen.select("BusinessID"), "BusinessID", "left_semi")
+    return group_apart(known, known.columns)
 
 
 def business_vectors(texts: DataFrame, business: DataFrame) -> tuple[DataFrame, DataFrame]:

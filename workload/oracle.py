@@ -207,8 +207,8 @@ select cast(o_orderkey as varchar) as key_text, cast(floor(o_totalprice) as int)
 select Neighbourhood, round(SouthAsian / cast(TotalPopulation as double), 6) as SouthAsian from fx_area""",
     # --- joins
     "semi_join": """
-select BusinessID, count(*) as n from fx_checkin
-where BusinessID in (select BusinessID from fx_business where is_open = 1) group by 1""",
+select BusinessID, cast(CheckinDate as varchar) as CheckinDate from fx_checkin
+where BusinessID in (select BusinessID from fx_business where is_open = 1)""",
     "in_subquery": """
 select o_orderkey, o_custkey from orders where o_orderkey in (select l_orderkey from lineitem)""",
     "inner_join": """

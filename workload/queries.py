@@ -166,7 +166,7 @@ def share_of_total(i: Inputs) -> DataFrame:
 def semi_join(i: Inputs) -> DataFrame:
     opened = i.business().where("is_open = 1")
     kept = joins.present_in(i.checkin(), "BusinessID", opened, "BusinessID")
-    return kept.groupBy("BusinessID").agg(F.count("*").alias("n"))
+    return kept.select("BusinessID", col("CheckinDate").cast("string").alias("CheckinDate"))
 
 
 @query
@@ -324,7 +324,7 @@ def floor_histogram(i: Inputs) -> DataFrame:
 
 @query
 def regression_metrics(i: Inputs) -> DataFrame:
-    means = i.review().groupBy("BusinessID").agg(F.avg("ReviewStars").alias("mean"))
+    means = aggregates.group_apart(i.review(), ["BusinessID"], F.avg("ReviewStars").alias("mean"))
     found = aggregates.regression_metrics(i.review().join(means, "BusinessID"), "ReviewStars", "mean")
     return found.select(F.round("rmse", 6).alias("rmse"), F.round("r2", 6).alias("r2"))
 
@@ -859,13 +859,15 @@ def clean_directory(i: Inputs) -> DataFrame:
 
 @query
 def review_sentiment(i: Inputs) -> DataFrame:
-    found = sentiment.review_sentiment(i.text(), i.business(), i.lexicon(), None, RULES)
+    scores = sentiment.city_scores(i.text(), i.business(), i.lexicon(), None, RULES)
+    found = sentiment.with_texts(scores, i.text(), i.business(), None)
     return found.withColumn("Review", F.md5("Review"))
 
 
 @query
 def business_sentiment(i: Inputs) -> DataFrame:
-    return sentiment.business_sentiment(i.text(), i.business(), i.lexicon(), None, RULES)
+    scores = sentiment.city_scores(i.text(), i.business(), i.lexicon(), None, RULES)
+    return sentiment.business_means(scores, i.business(), None)
 
 
 QUERIES["normalise_headers"] = QUERIES.pop("normalise_headers_")
