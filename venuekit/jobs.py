@@ -18,9 +18,34 @@ from venuekit.sources.readers import read_csv, read_json, read_parquet
 from venuekit.sources.scratch import materialise
 from venuekit.sources.writers import out_path, write_csv, write_parquet
 
-# City and states of the reports.
+# City and states of the reports, names of the written datasets.
 CITY = "Toronto"
 STATES = ("AB", "ON", "QC")
+STAR_MAP = "BusinessTorontoStars"
+STATE_CUISINES = "BusinessCusinesProvince_{state}"
+TOP_CATEGORIES = "BusinessTopTenCategories"
+CITY_COUNTS = "BusinessCities"
+STATE_STARS = "BusinessProvinceAvgStars"
+ATTRIBUTE = "Business{key}"
+CHECKIN_MONTHS = "CheckinMonths"
+CHECKIN_DAYS = "CheckinDays"
+CHECKIN_HOURS = "CheckinHours"
+CHECKIN_HEATMAP = "CheckinHeatMap"
+USER_YEARS = "UserYears"
+USER_RANGES = "UserReviewCounts"
+USER_STARS = "UserStarCounts"
+REVIEW_YEARS = "ReviewYears"
+REVIEW_RATINGS = "ReviewOverYears"
+DIRECTORY = "postcode"
+AREA_SHARE = "CuisineAreaShare"
+AREA_EMPLOYMENT = "AreaEmploymentStars"
+REVIEW_SCORES = "Sentiment_for_alltext"
+BUSINESS_SCORES = "BusinessSentiment"
+TOPIC_SHARES = "Topic_{cohort}_business_topic_dist"
+TOPIC_WORDS = "Topic_{cohort}_rating_topic"
+TOPIC_ROWS = "Topic_{cohort}_topic_exploded"
+MODEL = "TrainedModel"
+RECOMMENDATIONS = "TestModel"
 
 Job = Callable[[SparkSession, argparse.Namespace], None]
 
@@ -53,49 +78,46 @@ def user(spark: SparkSession, a: argparse.Namespace) -> None:
 
 def business_report(spark: SparkSession, a: argparse.Namespace) -> None:
     table = read_parquet(spark, a.business)
-    products = {
-        "BusinessTorontoStars": reports.city_star_map(table, a.city),
-        **{
-            f"BusinessCusinesProvince_{s}": reports.cuisines_by_state(table, s) for s in STATES
-        },
-        "BusinessTopTenCategories": reports.top_categories(
-            read_parquet(spark, a.business + "Categories")
-        ),
-        "BusinessCities": reports.city_counts(table),
-        "BusinessProvinceAvgStars": reports.state_avg_stars(table),
-    }
+    categories = read_parquet(spark, a.business + "Categories")
     attributes = read_parquet(spark, a.business + "Attributes")
-    products |= {f"Business{k}": reports.attr_value_counts(attributes, k) for k in a.values}
-    products |= {f"Business{k}": reports.attr_flag_counts(attributes, k) for k in a.flags}
-    for name, df in products.items():
+    products = [
+        (STAR_MAP, reports.city_star_map(table, a.city)),
+        *[(STATE_CUISINES.format(state=s), reports.cuisines_by_state(table, s)) for s in STATES],
+        (TOP_CATEGORIES, reports.top_categories(categories)),
+        (CITY_COUNTS, reports.city_counts(table)),
+        (STATE_STARS, reports.state_avg_stars(table)),
+        *[(ATTRIBUTE.format(key=k), reports.attr_value_counts(attributes, k)) for k in a.values],
+        *[(ATTRIBUTE.format(key=k), reports.attr_flag_counts(attributes, k)) for k in a.flags],
+    ]
+    for name, df in products:
         write_csv(df, out_path(a.output, name))
 
 
 def checkin_report(spark: SparkSession, a: argparse.Namespace) -> None:
     table = read_parquet(spark, a.checkin)
-    write_csv(reports.checkin_months(table), out_path(a.output, "CheckinMonths"))
-    write_csv(reports.checkin_days(table), out_path(a.output, "CheckinDays"))
-    write_csv(reports.checkin_hours(table), out_path(a.output, "CheckinHours"))
-    write_csv(reports.checkin_heatmap(table), out_path(a.output, "CheckinHeatMap"))
+    write_csv(reports.checkin_months(table), out_path(a.output, CHECKIN_MONTHS))
+    write_csv(reports.checkin_days(table), out_path(a.output, CHECKIN_DAYS))
+    write_csv(reports.checkin_hours(table), out_path(a.output, CHECKIN_HOURS))
+    write_csv(reports.checkin_heatmap(table), out_path(a.output, CHECKIN_HEATMAP))
 
 
 def user_report(spark: SparkSession, a: argparse.Namespace) -> None:
     table = read_parquet(spark, a.user)
-    write_csv(reports.users_by_year(table), out_path(a.output, "UserYears"))
-    write_csv(reports.users_by_review_range(table), out_path(a.output, "UserReviewCounts"))
-    write_csv(reports.users_by_star(table), out_path(a.output, "UserStarCounts"))
+    write_csv(reports.users_by_year(table), out_path(a.output, USER_YEARS))
+    write_csv(reports.users_by_review_range(table), out_path(a.output, USER_RANGES))
+    write_csv(reports.users_by_star(table), out_path(a.output, USER_STARS))
 
 
 def review_report(spark: SparkSession, a: argparse.Namespace) -> None:
     table = read_parquet(spark, a.review)
-    write_csv(reports.reviews_by_year(table), out_path(a.output, "ReviewYears"))
-    write_csv(reports.reviews_by_rating_date(table), out_path(a.output, "ReviewOverYears"))
+    write_csv(reports.reviews_by_year(table), out_path(a.output, REVIEW_YEARS))
+    write_csv(reports.reviews_by_rating_date(table), out_path(a.output, REVIEW_RATINGS))
 
 
 def directory(spark: SparkSession, a: argparse.Namespace) -> None:
     pages = read_parquet(spark, a.pages)
     found = areas.directory_from_pages(pages, a.key, a.html)
-    write_csv(found, out_path(a.output, "postcode"))
+    write_csv(found, out_path(a.output, DIRECTORY))
 
 
 def area_share(spark: SparkSession, a: argparse.Namespace) -> None:
@@ -107,7 +129,7 @@ def area_share(spark: SparkSession, a: argparse.Namespace) -> None:
         a.cuisine,
         a.group,
     )
-    write_csv(df, out_path(a.output, "CuisineAreaShare"))
+    write_csv(df, out_path(a.output, AREA_SHARE))
 
 
 def employment(spark: SparkSession, a: argparse.Namespace) -> None:
@@ -117,7 +139,7 @@ def employment(spark: SparkSession, a: argparse.Namespace) -> None:
         read_csv(spark, a.labour),
         a.city,
     )
-    write_csv(df, out_path(a.output, "AreaEmploymentStars"))
+    write_csv(df, out_path(a.output, AREA_EMPLOYMENT))
 
 
 def sentiment_scores(spark: SparkSession, a: argparse.Namespace) -> None:
@@ -127,9 +149,9 @@ def sentiment_scores(spark: SparkSession, a: argparse.Namespace) -> None:
     if a.per_review:
         scores = materialise(scores, "scores")  # read by two writes
         texts = sentiment.with_texts(scores, reviews, table, a.city)
-        write_csv(texts, out_path(a.output, "Sentiment_for_alltext"))
+        write_csv(texts, out_path(a.output, REVIEW_SCORES))
     means = sentiment.business_means(scores, table, a.city)
-    write_csv(means, out_path(a.output, "BusinessSentiment"))
+    write_csv(means, out_path(a.output, BUSINESS_SCORES))
 
 
 def topic_model(spark: SparkSession, a: argparse.Namespace) -> None:
@@ -138,17 +160,17 @@ def topic_model(spark: SparkSession, a: argparse.Namespace) -> None:
     )
     for cohort, model in found.items():
         shares = topics.distribution_text(model.distribution)
-        write_csv(shares, out_path(a.output, f"Topic_{cohort}_business_topic_dist"))
+        write_csv(shares, out_path(a.output, TOPIC_SHARES.format(cohort=cohort)))
         words = model.words.withColumn(
             "topic_word", F.concat(F.lit("["), F.array_join("topic_word", ", "), F.lit("]"))
         )
-        write_csv(words, out_path(a.output, f"Topic_{cohort}_rating_topic"), single_file=True)
+        write_csv(words, out_path(a.output, TOPIC_WORDS.format(cohort=cohort)), single_file=True)
 
 
 def topic_long(spark: SparkSession, a: argparse.Namespace) -> None:
     for cohort, path in (("low", a.low), ("high", a.high)):
         rows = topics.topic_long_form(read_csv(spark, path))
-        write_csv(rows, out_path(a.output, f"Topic_{cohort}_topic_exploded"))
+        write_csv(rows, out_path(a.output, TOPIC_ROWS.format(cohort=cohort)))
 
 
 def train(spark: SparkSession, a: argparse.Namespace) -> None:
@@ -156,7 +178,7 @@ def train(spark: SparkSession, a: argparse.Namespace) -> None:
         read_parquet(spark, a.review), read_parquet(spark, a.user), read_csv(spark, a.sentiment)
     )
     trained = recommend.train(features, a.seed)
-    recommend.save_model(trained.model, out_path(a.output, "TrainedModel"))
+    recommend.save_model(trained.model, out_path(a.output, MODEL))
     trained.metrics.show()
 
 
@@ -169,7 +191,7 @@ def recommendations(spark: SparkSession, a: argparse.Namespace) -> None:
         a.panel,
         a.as_of,
     )
-    write_csv(best, out_path(a.output, "TestModel"), single_file=True)
+    write_csv(best, out_path(a.output, RECOMMENDATIONS), single_file=True)
 
 
 # name -> (job, positional arguments)

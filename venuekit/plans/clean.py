@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from typing import NamedTuple
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from venuekit.functions.dates import parse_time
@@ -16,18 +16,48 @@ from venuekit.operators.rows import explode_list, flatten_attributes
 # What makes a business a restaurant, and the fields it must carry.
 RESTAURANT_WORDS = ("Restaurant", "Food")
 REQUIRED = ("PostalCode", "BusinessStars", "Latitude", "Longitude", "ReviewCount", "Categories")
-BUSINESS_COLUMNS = (
-    "BusinessID",
-    "Name",
-    "City",
-    "State",
-    "PostalCode",
-    "Latitude",
-    "Longitude",
-    "BusinessStars",
-    "Categories",
-    "ReviewCount",
-)
+# Raw field names and the columns they become.
+BUSINESS_FIELDS = {
+    "business_id": "BusinessID",
+    "name": "Name",
+    "city": "City",
+    "state": "State",
+    "postal_code": "PostalCode",
+    "latitude": "Latitude",
+    "longitude": "Longitude",
+    "stars": "BusinessStars",
+    "categories": "Categories",
+    "review_count": "ReviewCount",
+}
+BUSINESS_COLUMNS = tuple(BUSINESS_FIELDS.values())
+REVIEW_FIELDS = {
+    "review_id": "ReviewID",
+    "user_id": "UserID",
+    "business_id": "BusinessID",
+    "stars": "ReviewStars",
+    "text": "Review",
+    "useful": "useful",
+    "date": "Date",
+}
+USER_FIELDS = {
+    "user_id": "UserID",
+    "name": "UserName",
+    "useful": "Useful",
+    "funny": "Funny",
+    "cool": "Cool",
+    "review_count": "ReviewCount",
+    "yelping_since": "YelpingSince",
+    "average_stars": "AverageStars",
+}
+
+
+def renamed(raw: DataFrame, fields: dict[str, str], *extra: Column) -> DataFrame:
+    return raw.select(*[F.col(name).alias(alias) for name, alias in fields.items()], *extra)
+
+
+def with_date(df: DataFrame, column: str) -> DataFrame:
+    """Text to date; malformed text gives NULL."""
+    return df.withColumn(column, F.col(column).try_cast("date"))
 
 
 class BusinessTables(NamedTuple):
@@ -38,19 +68,8 @@ class BusinessTables(NamedTuple):
 
 def open_businesses(raw: DataFrame, provinces: DataFrame) -> DataFrame:
     """Open businesses of the listed provinces that carry all required fields."""
-    named = raw.where("is_open = 1").select(
-        F.col("business_id").alias("BusinessID"),
-        F.col("attributes").alias("Attributes"),
-        F.col("name").alias("Name"),
-        F.col("city").alias("City"),
-        F.col("state").alias("State"),
-        F.col("postal_code").alias("PostalCode"),
-        F.col("latitude").alias("Latitude"),
-        F.col("longitude").alias("Longitude"),
-        F.col("stars").alias("BusinessStars"),
-        F.col("categories").alias("Categories"),
-        F.col("review_count").alias("ReviewCount"),
-    )
+    opened = raw.where("is_open = 1")
+    named = renamed(opened, BUSINESS_FIELDS, F.col("attributes").alias("Attributes"))
     return present_in(required_fields(named), "State", provinces, "code")
 
 
@@ -93,15 +112,8 @@ def build_reviews(raw: DataFrame, businesses: DataFrame, clean_text: bool = Fals
     """
     if clean_text:
         raw = raw.withColumn("text", F.regexp_replace("text", "\n", "")).where("text <> ' '")
-    return present_in(raw, "business_id", businesses, "BusinessID").select(
-        F.col("review_id").alias("ReviewID"),
-        F.col("user_id").alias("UserID"),
-        F.col("business_id").alias("BusinessID"),
-        F.col("stars").alias("ReviewStars"),
-        F.col("text").alias("Review"),
-        "useful",
-        F.col("date").try_cast("date").alias("Date"),
-    )
+    known = present_in(raw, "business_id", businesses, "BusinessID")
+    return with_date(renamed(known, REVIEW_FIELDS), "Date")
 
 
 def build_checkins(raw: DataFrame, businesses: DataFrame) -> DataFrame:
@@ -115,13 +127,5 @@ def build_checkins(raw: DataFrame, businesses: DataFrame) -> DataFrame:
 
 def build_users(raw: DataFrame, reviews: DataFrame) -> DataFrame:
     """Users that wrote at least one of the given reviews."""
-    return present_in(raw, "user_id", reviews, "UserID").select(
-        F.col("user_id").alias("UserID"),
-        F.col("name").alias("UserName"),
-        F.col("useful").alias("Useful"),
-        F.col("funny").alias("Funny"),
-        F.col("cool").alias("Cool"),
-        F.col("review_count").alias("ReviewCount"),
-        F.col("yelping_since").try_cast("date").alias("YelpingSince"),
-        F.col("average_stars").alias("AverageStars"),
-    )
+    known = present_in(raw, "user_id", reviews, "UserID")
+    return with_date(renamed(known, USER_FIELDS), "YelpingSince")

@@ -31,10 +31,11 @@ def normalise_headers(df: DataFrame, squeeze: bool = False) -> DataFrame:
 
 
 def spread(df: DataFrame, key: str) -> DataFrame:
-    """Shuffle a plain scan by a key if it has fewer splits than there are cores.
+    """Shuffle a plain scan by a key if its splits leave half of the cores idle.
 
     One gzipped file, or one file with a single row group, is one task however
     large it is.  A scan of many splits stays as it is.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores, key)
+    splits = df.rdd.getNumPartitions()  # read off the plan, no job
+    return df.repartition(cores, key) if 2 * splits <= cores else df
