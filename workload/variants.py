@@ -1,0 +1,68 @@
+"""Plain forms of four steps, timed beside the library's own by ``bench.py --variants``.
+
+They are comparisons only; nothing else uses them.
+"""
+
+from __future__ import annotations
+
+import json
+import re
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from venuekit.operators import joins
+from venuekit.plans import areas, sentiment
+from workload.inputs import Inputs
+from workload.queries import QUERIES, RULES
+
+
+def outer_join_and_null_test(i: Inputs) -> DataFrame:
+    """Build every pair, then drop those that find a review."""
+    panel = joins.first_users(i.user().select("UserID"))
+    pairs = i.business().select("BusinessID").crossJoin(panel)
+    seen = i.review().select("BusinessID", "UserID", "ReviewID")
+    return pairs.join(seen, ["BusinessID", "UserID"], "left").where("ReviewID is null")
+
+
+def python_json_rows(i: Inputs) -> DataFrame:
+    pairs = F.udf(lambda s: [(k, str(v)) for k, v in json.loads(s).items()], "array<struct<key:string,value:string>>")
+    return i.table("events").select("event_id", F.explode(pairs("props")).alias("p")).select("event_id", "p.*")
+
+
+def python_scores(i: Inputs) -> DataFrame:
+    """The lexicon sum of each text by a Python function per row, without the shares."""
+    words = {r.token: r.valence for r in i.lexicon().collect()}
+    strong, weak, turn = set(RULES.stronger), set(RULES.weaker), set(RULES.negations)
+    pattern = re.compile(sentiment.WORD, re.ASCII)
+
+    def total(text: str) -> float:
+        found = pattern.findall(text)
+        result = 0.0
+        for n, word in enumerate(found):
+            value = words.get(word, 0.0)
+            for back in found[max(0, n - 3) : n] if value else ():
+                value += 0.293 * ((back in strong) - (back in weak)) * (1 if value > 0 else -1)
+                value *= -0.74 if back in turn else 1.0
+            result += value
+        return result
+
+    text = sentiment.analysed_text(F.col("Review"))
+    return i.text().select("ReviewID", F.udf(total, "double")(text).alias("total"))
+
+
+def pandas_area_means(i: Inputs) -> DataFrame:
+    """Pull the joined rows to the driver and group them there."""
+    joined = areas.with_area(i.business()).join(i.area(), "PostCode", "left").toPandas().dropna()
+    joined["ratio_emply"] = joined["InLabourForce"] / joined["LabourForceCategory"]
+    means = joined.groupby("Neighbourhood")[["BusinessStars", "ratio_emply"]].mean().reset_index()
+    return i.spark.createDataFrame(means)
+
+
+# step -> (ours, plain form)
+VARIANTS = {
+    "unvisited pairs": (QUERIES["unvisited_pairs"], outer_join_and_null_test),
+    "key/value rows": (QUERIES["json_pairs"], python_json_rows),
+    "review scores": (QUERIES["lexicon_sentiment"], python_scores),
+    "area means": (QUERIES["avg_ratio_by_area"], pandas_area_means),
+}
