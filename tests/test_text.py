@@ -66,7 +66,10 @@ def lexicon(spark):
     return spark.createDataFrame(list(LEXICON.items()), "token string, valence double")
 
 
-def test_scores_equal_the_model_by_hand(spark, lexicon):
+@pytest.mark.parametrize("most", [sentiment.MAX_LISTED, 2])
+def test_scores_equal_the_model_by_hand(spark, lexicon, monkeypatch, most):
+    # A lexicon above the limit goes through the join alone.
+    monkeypatch.setattr(sentiment, "MAX_LISTED", most)
     reviews = spark.createDataFrame(list(enumerate(TEXTS)), "ReviewID int, Review string")
     got = {r.ReviewID: tuple(r)[1:] for r in sentiment.review_scores(reviews, lexicon).collect()}
     assert len(got) == len(TEXTS)

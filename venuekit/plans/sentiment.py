@@ -29,6 +29,7 @@ QUESTION_STEP, QUESTION_MAX, QUESTION_CAP = 0.18, 3, 0.96
 NORMALISER = 15.0
 
 WORD = r"\w+(?:'\w+)*"
+MAX_LISTED = 20_000
 
 
 @dataclass(frozen=True)
@@ -90,6 +91,28 @@ def _adjusted(valence: Column, word: Column, decay: float, rules: Rules) -> Colu
     return (valence + F.signum(valence) * strength) * factor
 
 
+def _listed_words(lexicon: DataFrame) -> list[str] | None:
+    """The lexicon's words if they are few enough to stand in the plan, else None."""
+    found = lexicon.select("token").limit(MAX_LISTED + 1).collect()
+    return [r.token for r in found] if len(found) <= MAX_LISTED else None
+
+
+def _in_context(words: Column, listed: list[str] | None) -> Column:
+    """Each word as (at, token, back1, back2, back3) with the three words before it.
+
+    Rows made of these need not carry the text.  Words outside the lexicon weigh
+    nothing but their count, so they are left out where its words are known; a long
+    literal list is looked up by hash.  Without the list the join drops them.
+    """
+
+    def entry(word: Column, position: Column) -> Column:
+        before = [F.get(words, position - d).alias(f"back{d}") for d in (1, 2, 3)]
+        row = F.struct((position + 1).alias("at"), word.alias("token"), *before)
+        return row if listed is None else F.when(word.isin(listed), row)
+
+    return F.filter(F.transform(words, entry), lambda e: e.isNotNull())
+
+
 def review_scores(
     reviews: DataFrame,
     lexicon: DataFrame,
@@ -99,9 +122,8 @@ def review_scores(
     """Scores (Negative, Neutral, positive, Over_all) per review.
 
     ``keys`` are carried along and identify a review; ``lexicon`` has (token, valence), one row per
-    token.  Words are joined to the lexicon, whose size decides between a broadcast
-    and a shuffled join, and folded map-side to one row per review.  A NULL text
-    gives NULL scores.
+    token.  The words of a review that the lexicon lists become rows, are joined to
+    it, and fold map-side to one row per review.  A NULL text gives NULL scores.
     """
     text = F.col("_text")
     words = reviews.select(*keys, analysed_text(F.col("Review")).alias("_text")).select(
@@ -110,27 +132,20 @@ def review_scores(
         F.regexp_extract_all(text, F.lit(WORD), F.lit(0)).alias("_words"),
     )
     array = F.col("_words")
-    # Each word carries its three predecessors, so the exploded rows need not carry the text.
-    in_context = F.transform(
-        array,
-        lambda w, i: F.struct(
-            w.alias("token"), *[F.get(array, i - d).alias(f"back{d}") for d in (1, 2, 3)]
-        ),
-    )
     rows = (
         words.select(
             *keys,
             "_emphasis",
+            F.size(array).alias("_size"),
             F.array_position(array, rules.contrast).alias("_contrast"),
-            in_context.alias("_context"),
+            _in_context(array, _listed_words(lexicon)).alias("_context"),
         )
-        .select(*keys, "_emphasis", "_contrast", F.posexplode_outer("_context").alias("_at", "_word"))
-        .select(*keys, "_emphasis", "_contrast", (F.col("_at") + 1).alias("_at"), "_word.*")
+        .select(*keys, "_emphasis", "_size", "_contrast", F.explode_outer("_context").alias("_word"))
+        .select(*keys, "_emphasis", "_size", "_contrast", "_word.*")
     )
-
     shift = (
-        F.when((F.col("_contrast") == 0) | (F.col("_at") == F.col("_contrast")), 1.0)
-        .when(F.col("_at") < F.col("_contrast"), BEFORE_BUT)
+        F.when((F.col("_contrast") == 0) | (F.col("at") == F.col("_contrast")), 1.0)
+        .when(F.col("at") < F.col("_contrast"), BEFORE_BUT)
         .otherwise(AFTER_BUT)
     )
     valued = rows.join(lexicon.select("token", F.col("valence").cast("double")), "token", "left")
@@ -141,8 +156,8 @@ def review_scores(
     v = F.col("_value")
     words_valued = valued.select(
         *keys,
-        "token",
         "_emphasis",
+        "_size",
         F.coalesce(F.col("valence") * shift, F.lit(0.0)).alias("_value"),
     )
     sums = group_apart(
@@ -153,7 +168,7 @@ def review_scores(
         # One is added per word to weigh it against a neutral one, which counts one.
         F.sum(F.when(v > 0, v + 1).otherwise(0.0)).alias("up"),
         F.sum(F.when(v < 0, 1 - v).otherwise(0.0)).alias("down"),
-        F.count(F.when((v == 0) & F.col("token").isNotNull(), 1)).alias("flat"),
+        (F.max("_size") - F.count_if(v != 0)).alias("flat"),
     )
     emphasis = F.col("emphasis")
     sums = sums.select(
@@ -183,12 +198,6 @@ def review_scores(
     )
 
 
-def city_reviews(reviews: DataFrame, business: DataFrame, city: str | None) -> DataFrame:
-    """(ReviewID, BusinessID, Business_Name, Review) of one city."""
-    names = city_filter(business, city).select("BusinessID", F.col("Name").alias("Business_Name"))
-    return reviews.select("ReviewID", "BusinessID", "Review").join(names, "BusinessID")
-
-
 def city_scores(
     reviews: DataFrame,
     business: DataFrame,
@@ -197,15 +206,21 @@ def city_scores(
     rules: Rules = Rules(),
 ) -> DataFrame:
     """(ReviewID, BusinessID, scores) of one city; both products below start from it."""
-    chosen = city_reviews(reviews, business, city)
+    places = city_filter(business, city).select("BusinessID")
+    chosen = reviews.select("ReviewID", "BusinessID", "Review").join(places, "BusinessID", "left_semi")
     return review_scores(chosen, lexicon, rules, ("ReviewID", "BusinessID"))
 
 
 def with_texts(scores: DataFrame, reviews: DataFrame, business: DataFrame, city: str | None) -> DataFrame:
     """Scores next to the text of each review."""
-    texts = city_reviews(reviews, business, city)
-    return texts.join(scores.drop("BusinessID"), "ReviewID").select(
-        "BusinessID", "Business_Name", "Review", "Negative", "Neutral", "positive", "Over_all"
+    names = city_filter(business, city).select("BusinessID", F.col("Name").alias("Business_Name"))
+    texts = reviews.select("ReviewID", "Review")
+    return (
+        scores.join(names, "BusinessID")
+        .join(texts, "ReviewID")
+        .select(
+            "BusinessID", "Business_Name", "Review", "Negative", "Neutral", "positive", "Over_all"
+        )
     )
 
 
