@@ -200,6 +200,17 @@ def test_present_in_folds_the_other_side(spark, visits):
     assert "partial" in plan(kept) or "HashAggregate" in plan(kept)
 
 
+def test_absent_from_equals_the_outer_join_with_a_null_test(visits, rows):
+    users, places, reviews = visits
+    pairs = users.select("UserID").crossJoin(places.select("BusinessID"))
+    got = joins.absent_from(pairs, ("UserID", "BusinessID"), reviews)
+    outer = pairs.join(reviews.withColumn("hit", F.lit(1)), ["UserID", "BusinessID"], "left")
+    assert rows(got) == rows(outer.where("hit is null").select("UserID", "BusinessID"))
+    # Keys that are NULL match nothing.
+    unknown = pairs.limit(1).select(F.lit(None).cast("int").alias("UserID"), "BusinessID")
+    assert joins.absent_from(unknown, ("UserID", "BusinessID"), reviews).count() == 1
+
+
 # --- files -------------------------------------------------------------------------------
 def test_headers(spark):
     df = spark.createDataFrame([(1, 2)], "` a ` int, `b c` int")

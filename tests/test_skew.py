@@ -63,6 +63,10 @@ def final_plan(df):
 
 CASES = {
     "present_in": lambda r, u, b, x: joins.present_in(r, "BusinessID", b, "BusinessID"),
+    "absent_from": lambda r, u, b, x: joins.absent_from(r, ["BusinessID"], b.where("BusinessID % 2 = 0")),
+    "city reviews": lambda r, u, b, x: sentiment.with_texts(
+        sentiment.city_scores(r, b, x, "X"), r, b, "X"
+    ),
     "semi join of texts": lambda r, u, b, x: topics.business_texts(r, b),
     "merged texts": lambda r, u, b, x: aggregates.collect_distinct_text(r, "BusinessID", "Review", "t", 1 << 16),
     "training rows": lambda r, u, b, x: recommend.training_features(r, u, b),

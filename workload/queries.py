@@ -235,8 +235,8 @@ def left_join_derived_key(i: Inputs) -> DataFrame:
 def anti_join(i: Inputs) -> DataFrame:
     """(user, business) pairs with a review but none of five stars."""
     pairs = i.review().select("UserID", "BusinessID").distinct()
-    best = i.review().where("ReviewStars = 5").select("UserID", "BusinessID").distinct()
-    return pairs.join(best, ["UserID", "BusinessID"], "left_anti")
+    best = i.review().where("ReviewStars = 5")
+    return joins.absent_from(pairs, ("UserID", "BusinessID"), best)
 
 
 @query
