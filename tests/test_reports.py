@@ -113,10 +113,10 @@ def test_directory_from_pages(spark, rows):
     html = """<h1>x</h1><table class="w"><tr><th>Postcode</th><th>Borough</th><th>Neighbourhood</th></tr>
       <tr><td>M1A</td><td>Not assigned</td><td>Not assigned</td></tr>
       <TR><td>M3A</td><td><a href="/n">North
-      York</a></td><td>Parkwoods</td></TR></table>
+      York</a></td><td>Parkwoods &amp; Sons &amp;lt;</td></TR></table>
       <table><tr><td>h</td></tr><tr><td>other</td></tr></table>"""
     pages = spark.createDataFrame([(1, html), (2, "<p>none</p>")], "id int, html string")
-    assert rows(areas.directory_from_pages(pages, "id", "html")) == [("M3A", "North York", "Parkwoods")]
+    assert rows(areas.directory_from_pages(pages, "id", "html")) == [("M3A", "North York", "Parkwoods & Sons &lt;")]
 
 
 def test_cuisine_share(spark, business, directory):

@@ -17,6 +17,26 @@ NUMBER = r"\d+"
 WORD = r"\w+"
 
 
+# HTML entities and their characters; the ampersand comes last, so that
+# an escaped entity is not read twice.
+ENTITIES = {
+    "&nbsp;": " ",
+    "&lt;": "<",
+    "&gt;": ">",
+    "&quot;": '"',
+    "&#39;": "'",
+    "&amp;": "&",
+}
+
+
+def without_markup(c: Column) -> Column:
+    """Text of an HTML fragment: tags become spaces, entities their characters."""
+    c = F.regexp_replace(c, r"<[^>]+>", " ")
+    for entity, character in ENTITIES.items():
+        c = F.replace(c, F.lit(entity), F.lit(character))
+    return F.trim(F.regexp_replace(c, r"\s+", " "))
+
+
 def without_spaces(c: Column) -> Column:
     return F.regexp_replace(c, " ", "")
 

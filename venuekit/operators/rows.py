@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from venuekit.functions.json import is_nested, json_pairs, literal_map, nested_pairs
-from venuekit.functions.text import strip_chars
+from venuekit.functions.text import strip_chars, without_markup
 
 # Attribute values that mean "not given".
 PLACEHOLDERS = ("None", "none")
@@ -68,10 +68,9 @@ def html_table(df: DataFrame, key: str, html: str, columns: tuple[str, ...]) ->
     table = F.regexp_extract(html, r"(?is)<table\b.*?</table>", 0)
     table_rows = F.regexp_extract_all(table, F.lit(r"(?is)<tr\b.*?</tr>"), F.lit(0))
     cells = F.regexp_extract_all("row", F.lit(r"(?is)<t[hd]\b[^>]*>(.*?)</t[hd]>"), F.lit(1))
-    text = F.transform(cells, lambda c: F.trim(F.regexp_replace(c, r"\s*<[^>]+>\s*|\s+", " ")))
     return (
         df.select(key, F.posexplode(table_rows).alias("pos", "row"))
         .where("pos > 0")
-        .select(key, "pos", text.alias("cells"))
+        .select(key, "pos", F.transform(cells, without_markup).alias("cells"))
         .select(key, "pos", *[F.get("cells", i).alias(c) for i, c in enumerate(columns)])
     )

@@ -8,9 +8,10 @@ reviews are counted by all tasks.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
 from typing import NamedTuple
 
-from pyspark import StorageLevel
+from pyspark import StorageLevel, inheritable_thread_target
 from pyspark.ml import Pipeline
 from pyspark.ml.clustering import LDA
 from pyspark.ml.feature import IDF, CountVectorizer, RegexTokenizer, StopWordsRemover
@@ -218,8 +219,15 @@ def cohort_topics(
     texts = business_texts(reviews, business, city)
     vectors, words = business_vectors(texts, business)
     cohort = rating_cohort(F.col("BusinessStars"))
-    models = {c: fit_topics(vectors.where(cohort == c), words, k, seed) for c in (LOW, HIGH)}
-    return {c: m for c, m in models.items() if m is not None}
+
+    @inheritable_thread_target(vectors.sparkSession)
+    def fit(name: str) -> TopicModel | None:
+        return fit_topics(vectors.where(cohort == name), words, k, seed)
+
+    # The fits are independent, and much of each is the solver's work on the driver.
+    with ThreadPoolExecutor(2) as pool:
+        models = dict(zip((LOW, HIGH), pool.map(fit, (LOW, HIGH))))
+    return {name: model for name, model in models.items() if model is not None}
 
 
 def distribution_text(distribution: DataFrame) -> DataFrame:

@@ -81,9 +81,9 @@ window w as (partition by ReviewID order by nth)""",
     "fx_but": "select ReviewID, min(nth) as but_nth from fx_tokens where token = 'by' group by ReviewID",
     "fx_v0": """
 select t.*, l.valence as v from fx_tokens t left join fx_lexicon l on t.token = l.token""",
-    "fx_v1": "select * replace (step(v, b1, 0.293) as v) from fx_v0",
-    "fx_v2": "select * replace (step(v, b2, 0.293 * 0.95) as v) from fx_v1",
-    "fx_v3": "select * replace (step(v, b3, 0.293 * 0.9) as v) from fx_v2",
+    "fx_v1": "select * replace (step(v, b1, 1.0) as v) from fx_v0",
+    "fx_v2": "select * replace (step(v, b2, 0.95) as v) from fx_v1",
+    "fx_v3": "select * replace (step(v, b3, 0.9) as v) from fx_v2",
     "fx_emphasis": """
 select ReviewID, BusinessID, Review,
   least(length(txt) - length(replace(txt, '!', '')), 4) * 0.292::double
@@ -114,16 +114,17 @@ from (select *, up + down + flat as whole from (
 
 def _step(match: re.Match[str]) -> str:
     """One predecessor's effect on a valence, as plain SQL."""
-    v, b, k = (part.strip() for part in match[1].split(","))
+    v, b, decay = (part.strip() for part in match[1].split(","))
+    k = f"(0.293::double * {decay}::double)"
     return (
-        f"case when {b} is null then {v} else ({v} + sign({v}) * case when {b} in ('of', 'la') then {k}::double "
-        f"when {b} in ('to', 'der') then -({k}::double) else 0.0::double end) "
+        f"case when {b} is null then {v} else ({v} + sign({v}) * case "
+        f"when {b} in ('of', 'la') then {k} when {b} in ('to', 'der') then -{k} else 0.0::double end) "
         f"* case when {b} in ('in', 'de', 'not') or {b} like '%n''t' then -0.74::double else 1.0::double end end"
     )
 
 
 for _name in ("fx_v1", "fx_v2", "fx_v3"):
-    INPUTS[_name] = re.sub(r"step\(([^)]*)\)", _step, INPUTS[_name]).replace("0.293 * 0.95::double", "(0.293::double * 0.95::double)").replace("0.293 * 0.9::double", "(0.293::double * 0.9::double)")
+    INPUTS[_name] = re.sub(r"step\(([^)]*)\)", _step, INPUTS[_name])
 
 
 def _with_inputs(sql: str) -> str:

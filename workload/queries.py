@@ -590,7 +590,8 @@ def text_features(i: Inputs) -> DataFrame:
 @query
 def lda_topics(i: Inputs) -> DataFrame:
     found = topics.cohort_topics(i.text(), i.business())
-    named = [m.words.select(F.lit(c).alias("cohort"), "topic", F.array_join("topic_word", " ").alias("words")) for c, m in found.items()]
+    text_of = F.array_join("topic_word", " ").alias("words")
+    named = [m.words.select(F.lit(c).alias("cohort"), "topic", text_of) for c, m in found.items()]
     return reduce(DataFrame.unionAll, named)
 
 
@@ -603,12 +604,14 @@ def lda_distribution(i: Inputs) -> DataFrame:
 
 @query
 def topic_long_form(i: Inputs) -> DataFrame:
+    millionths = F.transform(
+        "embedding", lambda x: F.round(x.cast("double") * 1e6).cast("long").cast("string")
+    )
+    listed = F.concat(F.lit("["), F.array_join(millionths, ","), F.lit("]"))
     named = i.table("embeddings").select(
         col("vec_id").alias("BusinessID"),
         col("label").alias("BusinessName"),
-        F.concat(
-            F.lit("["), F.array_join(F.transform("embedding", lambda x: F.round(x.cast("double") * 1e6).cast("long").cast("string")), ","), F.lit("]")
-        ).alias("topic_distribution"),
+        listed.alias("topic_distribution"),
     )
     shares = topics.topic_long_form(named)
     return shares.withColumn("TopicID", col("TopicID").cast("long"))
@@ -717,11 +720,11 @@ def build_reviews(i: Inputs) -> DataFrame:
 
 @query
 def build_checkins(i: Inputs) -> DataFrame:
-    # One list per user and day keeps a list short, however busy the user.
+    # Event ids are unique, so a list has 100 times at most, however busy the user.
     written = F.date_format("ts", dates.CHECKIN_FORMAT)
     raw = (
         i.table("events")
-        .groupBy(col("user_id").alias("business_id"), F.to_date("ts").alias("day"))
+        .groupBy(col("user_id").alias("business_id"), F.floor(col("event_id") / 100).alias("block"))
         .agg(F.array_join(F.array_sort(F.collect_list(written)), ", ").alias("date"))
     )
     built = clean.build_checkins(raw, i.business().where("is_open = 1"))
@@ -757,7 +760,8 @@ def city_star_map(i: Inputs) -> DataFrame:
 
 @query
 def top_categories(i: Inputs) -> DataFrame:
-    words = rows.explode_list(i.table("part"), "p_name", "Category", col("p_partkey").alias("BusinessID"), separator=" ")
+    key = col("p_partkey").alias("BusinessID")
+    words = rows.explode_list(i.table("part"), "p_name", "Category", key, separator=" ")
     return reports.top_categories(words.withColumn("Category", text.without_spaces(col("Category"))))
 
 
@@ -837,7 +841,14 @@ def cuisine_area_share(i: Inputs) -> DataFrame:
     area = i.area()
     stats = area.select("Neighbourhood", "TotalPopulation", "SouthAsian")
     found = areas.cuisine_area_share(
-        i.business(), area.select("Neighbourhood", "PostCode"), stats, None, "Italian", "SouthAsian", "TotalPopulation", groups=("SouthAsian",)
+        i.business(),
+        area.select("Neighbourhood", "PostCode"),
+        stats,
+        city=None,
+        cuisine="Italian",
+        group="SouthAsian",
+        total="TotalPopulation",
+        groups=("SouthAsian",),
     )
     return found.withColumn("SouthAsian", F.round("SouthAsian", 6))
 

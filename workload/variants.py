@@ -18,9 +18,9 @@ from workload.queries import QUERIES, RULES
 
 
 def outer_join_and_null_test(i: Inputs) -> DataFrame:
-    """Build every pair, then drop those that find a review."""
+    """Build every pair of the panel, then drop those that find a review."""
     panel = joins.first_users(i.user().select("UserID"))
-    pairs = i.business().select("BusinessID").crossJoin(panel)
+    pairs = joins.unvisited_pairs(panel, i.business().select("BusinessID"))
     seen = i.review().select("BusinessID", "UserID", "ReviewID")
     return pairs.join(seen, ["BusinessID", "UserID"], "left").where("ReviewID is null")
 
