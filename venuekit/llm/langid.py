@@ -18,6 +18,7 @@ from pyspark.sql import types as T
 
 from venuekit.llm import flat
 from venuekit.llm.cluster import ship
+from venuekit.sources.scratch import materialise
 
 #: Documents of each language that a model is fitted on, about.
 FIT_DOCUMENTS = 4000
@@ -247,9 +248,9 @@ def fit(docs: DataFrame, per_lang: int = FIT_DOCUMENTS, id_col: str = "doc_id",
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"), F.col(lang_col).alias("lang")).where(
         "text is not null and lang is not null"
     )
-    ids = sample_by(rows.select("doc_id", "lang"), "lang", per_lang)
+    ids = sample_by(rows.select("doc_id", "lang"), "lang", per_lang).select("doc_id").distinct()
     counts = (
-        rows.join(ids.select("doc_id").distinct(), "doc_id", "left_semi")
+        rows.join(materialise(ids, "fit-ids"), "doc_id", "left_semi")  # a table of known size, so that texts stay where they are
         .select("text", "lang")
         .mapInArrow(_count, "lang string, kind int, slot int, n long")
         .groupBy("lang", "kind", "slot")
