@@ -90,7 +90,8 @@ def equal_shards(docs: DataFrame, shards: int = 8, **options) -> DataFrame:
     """
     table, bucket, position = shuffled(docs, **options)
     shard, slot = fresh(docs, "shard"), fresh(docs, "slot")
-    starts = offsets(table.select(bucket), bucket).withColumnRenamed("offset", offset := fresh(table, "offset"))
+    # a table of known size, so that the texts need no second shuffle while the buckets are few
+    starts = materialise(offsets(table.select(bucket), bucket), "offsets").withColumnRenamed("offset", offset := fresh(table, "offset"))
     place = F.col(offset) + F.col(position)
     return (
         table.join(starts, bucket)
