@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import json
 import unicodedata
+import zlib
 from collections.abc import Iterator, Sequence
 from functools import cache
 from itertools import chain
@@ -28,6 +29,8 @@ from venuekit.llm.cluster import ship
 
 #: Code points of text in a block, and in a packed part of one.
 BLOCK, PART = 1 << 25, 1 << 20
+#: Parts that each block's list of distinct words is dealt out in.
+BUCKETS = 2048
 #: Texts of these characters only are split here; others by the library, for its own Unicode tables.
 _PLAIN = regex.compile(r"[\t\n\r\x20-\x7E¡-©«-±´¶-¸»¿-ɏ]*+")
 
@@ -91,35 +94,55 @@ def tokenizer(path: str) -> Tokenizer:
     return Tokenizer(path)
 
 
-def _pack(ids: pa.Array, places: Sequence[np.ndarray]) -> bytes:
-    """Ids and places of some texts; the bytes of the places lie apart by significance, as the high ones are mostly zero."""
-    flat = np.concatenate(places).astype("<u4")
-    planes = flat.view(np.uint8).reshape(-1, 4).T.tobytes()
-    table = pa.table({"id": ids, "n": pa.array([len(p) for p in places], pa.int32())})
+def _planes(values: np.ndarray) -> bytes:
+    """Numbers from 0, their bytes apart by significance, as the high ones are mostly zero."""
+    return values.astype("<u4").view(np.uint8).reshape(-1, 4).T.tobytes()
+
+
+def _numbers(planes: bytes) -> np.ndarray:
+    return np.frombuffer(planes, np.uint8).reshape(4, -1).T.copy().view("<u4").ravel()
+
+
+def _pack(*parts: bytes) -> bytes:
+    sizes = np.array([len(parts), *map(len, parts)], "<u4").tobytes()
+    data = b"".join(parts)
+    return sizes + (pa.compress(data, "zstd", asbytes=True) if data else b"")
+
+
+def _unpack(packed: bytes) -> list[bytes]:
+    n = int.from_bytes(packed[:4], "little")
+    sizes = np.frombuffer(packed, "<u4", n, 4).astype(np.int64)
+    data = pa.decompress(packed[4 * n + 4 :], int(sizes.sum()), "zstd", asbytes=True) if sizes.any() else b""
+    ends = np.cumsum(sizes).tolist()
+    return [data[a:b] for a, b in zip([0, *ends[:-1]], ends)]
+
+
+def _pack_texts(ids: list[pa.Array], places: list[np.ndarray]) -> bytes:
+    """Ids and places of some texts."""
+    table = pa.table({"id": pa.concat_arrays(ids)})
     sink = pa.BufferOutputStream()
-    with pa.ipc.new_stream(sink, table.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as out:
+    with pa.ipc.new_stream(sink, table.schema) as out:
         out.write_table(table)
-    head = sink.getvalue().to_pybytes()
-    return b"".join([len(head).to_bytes(8, "little"), len(planes).to_bytes(8, "little"), head, pa.compress(planes, "zstd", asbytes=True)])
+    counts = np.array([len(p) for p in places])
+    return _pack(sink.getvalue().to_pybytes(), _planes(counts), _planes(np.concatenate(places)))
 
 
-def _unpack(data: bytes) -> tuple[pa.Table, np.ndarray]:
-    size, wide = int.from_bytes(data[:8], "little"), int.from_bytes(data[8:16], "little")
-    table = pa.ipc.open_stream(data[16 : 16 + size]).read_all()
-    planes = np.frombuffer(pa.decompress(data[16 + size :], wide, "zstd", asbytes=True), np.uint8)
-    return table, planes.reshape(4, -1).T.copy().view("<u4").ravel()
+#: Rows of words or their ids (kind 0) and of texts (kind 1).
+_ROW = pa.schema([("bucket", pa.int32()), ("block", pa.int64()), ("kind", pa.int32()), ("packed", pa.binary())])
+_ROW_SQL = "bucket int, block long, kind int, packed binary"
 
 
-_SPLIT = pa.schema([("block", pa.int64()), ("place", pa.int32()), ("word", pa.string()), ("packed", pa.binary())])
+def _row(bucket: int, block: int, kind: int, packed: bytes) -> pa.RecordBatch:
+    return pa.record_batch([pa.array([v], f.type) for v, f in zip((bucket, block, kind, packed), _ROW)], schema=_ROW)
 
 
 def _split(path: str):
-    """Rows of two kinds: packed texts with places in their block's word list, and the words of the list."""
+    """Texts as places in their block's list of distinct words, and that list, cut by a hash of the word."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = tokenizer(path)
         block, ids, places, size, part = TaskContext.get().partitionId() << 32, [], [], 0, 0
-        packed: list[tuple[list, list[np.ndarray]]] = []
+        packed: list[tuple[list[pa.Array], list[np.ndarray]]] = []
         table: dict[str, int] = {}
 
         def rows() -> Iterator[pa.RecordBatch]:
@@ -130,14 +153,15 @@ def _split(path: str):
             order = np.argsort(-counts, kind="stable")
             rank = np.empty(len(table), np.int64)
             rank[order] = np.arange(len(table))
-            for texts, found in packed:
-                data = _pack(pa.concat_arrays(texts), [rank[p] for p in found])
-                yield pa.record_batch([pa.array([block]), pa.array([None], pa.int32()), pa.array([None], pa.string()), pa.array([data])], schema=_SPLIT)
-            words = list(table)
-            for at in range(0, len(words), 1 << 14):
-                some = words[at : at + (1 << 14)]
-                columns = [pa.array([block] * len(some), pa.int64()), pa.array(rank[at : at + len(some)], pa.int32()), pa.array(some, pa.string()), pa.nulls(len(some), pa.binary())]
-                yield pa.record_batch(columns, schema=_SPLIT)
+            for i, (texts, found) in enumerate(packed):
+                yield _row((block + i) % BUCKETS, block, 1, _pack_texts(texts, [rank[p] for p in found]))
+            words = list(map(list(table).__getitem__, order.tolist()))
+            bucket = np.fromiter((zlib.crc32(w.encode()) % BUCKETS for w in words), np.int64, len(words))
+            by_bucket = np.argsort(bucket, kind="stable")  # ascending places in each
+            cuts = np.flatnonzero(np.diff(bucket[by_bucket])) + 1
+            for own_places in np.split(by_bucket, cuts) if len(words) else []:
+                line = "\n".join(map(words.__getitem__, own_places.tolist())).encode()  # no word holds white space
+                yield _row(int(bucket[own_places[0]]), block, 0, _pack(_planes(np.diff(own_places, prepend=0)), line))
 
         for batch in batches:
             for i, text in enumerate(batch.column(1)):
@@ -160,24 +184,26 @@ def _split(path: str):
     return work
 
 
-_JOINED = pa.schema([("block", pa.int64()), ("place", pa.int32()), ("ids", pa.list_(pa.int32())), ("packed", pa.binary())])
-
-
 def _encode(path: str):
-    """Encode each distinct word once; words come sorted."""
+    """Encode each distinct word once: a bucket's rows come together and hold all blocks that have its words."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own, last, ids = tokenizer(path), None, None
+        own, last, known = tokenizer(path), None, {}
         for batch in batches:
-            found = []
-            for word in batch.column(2).to_pylist():
-                if word is None:
-                    found.append(None)
-                    continue
-                if word != last:
-                    last, ids = word, own.ids(word)
-                found.append(ids)
-            yield pa.record_batch([batch.column(0), batch.column(1), pa.array(found, pa.list_(pa.int32())), batch.column(3)], schema=_JOINED)
+            for bucket, block, kind, packed in zip(*(c.to_pylist() for c in batch.columns)):
+                if kind == 0:
+                    if bucket != last:
+                        last, known = bucket, {}
+                    places, line = _unpack(packed)
+                    found = []
+                    for word in line.decode().split("\n"):
+                        if (ids := known.get(word)) is None:
+                            ids = known[word] = own.ids(word)
+                        found.append(ids)
+                    sizes = np.fromiter(map(len, found), np.int64, len(found))
+                    flat = np.fromiter(chain.from_iterable(found), np.int64, int(sizes.sum()))
+                    packed = _pack(places, _planes(sizes), _planes(flat))
+                yield _row(bucket, block, kind, packed)
 
     return work
 
@@ -187,40 +213,55 @@ def _assemble(path: str, id_field: T.StructField, id_type: pa.DataType, decode:
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         piece = dict(tokenizer(path).pieces()) if decode else {}
-        block, table, ready = None, {}, None
+        block, words, ready = None, [], None
         for batch in batches:
-            blocks, places, found, data = (batch.column(i).to_pylist() for i in range(4))
-            for k, place, ids, packed in zip(blocks, places, found, data):
+            for _, k, kind, packed in zip(*(c.to_pylist() for c in batch.columns)):
                 if k != block:
-                    block, table, ready = k, {}, None
-                if packed is None:
-                    table[place] = ids
+                    block, words, ready = k, [], None
+                if kind == 0:
+                    words.append([_numbers(x) for x in _unpack(packed)])
                     continue
                 if ready is None:
-                    lists = [table[i] for i in range(len(table))]
-                    sizes = np.fromiter(map(len, lists), np.int64, len(lists))
-                    starts = np.concatenate([[0], np.cumsum(sizes)])
-                    flat = np.fromiter(chain.from_iterable(lists), np.int32, int(starts[-1]))
-                    ready = sizes, starts, flat, [" ".join(map(piece.__getitem__, x)) for x in lists] if decode else None
-                    table = {}
-                yield from _texts(id_field.name, id_type, *_unpack(packed), *ready)
+                    ready = _table(words, piece if decode else None)
+                    words = []
+                ids, counts, places = _unpack(packed)
+                texts = pa.ipc.open_stream(ids).read_all().column("id").combine_chunks().cast(id_type)
+                yield from _texts(id_field.name, texts, _numbers(counts), _numbers(places), *ready)
 
     return work
 
 
-def _texts(name, id_type, texts, places, sizes, starts, flat, decoded) -> Iterator[pa.RecordBatch]:
-    ends = np.concatenate([[0], np.cumsum(texts.column("n").to_numpy(), dtype=np.int64)])
+def _table(words: list[list[np.ndarray]], piece: dict[int, str] | None):
+    """Sizes, starts and ids of a block's words by place, and the joined pieces of each."""
+    if not words:
+        return np.zeros(0, np.int64), np.zeros(1, np.int64), np.zeros(0, np.int32), None if piece is None else []
+    place = np.concatenate([np.cumsum(p, dtype=np.int64) for p, _, _ in words])
+    sizes, ids = (np.concatenate([w[i] for w in words]).astype(np.int64) for i in (1, 2))
+    order = np.argsort(place)
+    begin = np.cumsum(sizes) - sizes
+    sizes, begin = sizes[order], begin[order]
+    starts = np.concatenate([[0], np.cumsum(sizes)])
+    flat = ids[np.arange(starts[-1]) + np.repeat(begin - starts[:-1], sizes)].astype(np.int32)
+    if piece is None:
+        return sizes, starts, flat, None
+    names = list(map(piece.__getitem__, flat.tolist()))
+    bounds = starts.tolist()
+    return sizes, starts, flat, [" ".join(names[a:b]) for a, b in zip(bounds[:-1], bounds[1:])]
+
+
+def _texts(name, texts, counts, places, sizes, starts, flat, decoded) -> Iterator[pa.RecordBatch]:
+    ends = np.concatenate([[0], np.cumsum(counts, dtype=np.int64)])
     n = sizes[places]
     offsets = np.concatenate([[0], np.cumsum(n)])
     # each place's ids, one place after the other
     ids = flat[np.arange(offsets[-1]) + np.repeat(starts[:-1][places] - offsets[:-1], n)]
     bounds = offsets[ends]
-    for at in range(0, texts.num_rows, 256):
-        cut = slice(at, min(at + 256, texts.num_rows))
+    for at in range(0, len(texts), 256):
+        cut = slice(at, min(at + 256, len(texts)))
         low, high = bounds[cut.start], bounds[cut.stop]
         own = pa.ListArray.from_arrays(pa.array(bounds[cut.start : cut.stop + 1] - low, pa.int32()), pa.array(ids[low:high], pa.int32()))
         count = pa.array(np.diff(bounds[cut.start : cut.stop + 1]), pa.int64())
-        columns, names = [texts.column("id").slice(at, cut.stop - at).combine_chunks().cast(id_type), count, own], [name, "n_tokens", "ids"]
+        columns, names = [texts.slice(at, cut.stop - at), count, own], [name, "n_tokens", "ids"]
         if decoded is not None:
             lines = [" ".join(map(decoded.__getitem__, places[a:b].tolist())) for a, b in zip(ends[cut.start : cut.stop], ends[cut.start + 1 : cut.stop + 1])]
             columns, names = [*columns, pa.array(lines, pa.string())], [*names, "decoded"]
@@ -235,10 +276,9 @@ def encode_texts(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: s
     equal or null ids stay apart.  Other columns are not read.
     """
     ship(docs.sparkSession)
-    split = docs.select(id_col, text_col).mapInArrow(_split(path), "block long, place int, word string, packed binary")
-    by_word = split.repartition(F.coalesce(F.xxhash64("word"), F.lit(0)), F.when(F.col("word").isNull(), F.xxhash64("packed"))).sortWithinPartitions("word")
-    encoded = by_word.mapInArrow(_encode(path), "block long, place int, ids array<int>, packed binary")
-    by_block = encoded.repartition("block").sortWithinPartitions("block", F.col("packed").isNotNull())
+    split = docs.select(id_col, text_col).mapInArrow(_split(path), _ROW_SQL)
+    encoded = split.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(_encode(path), _ROW_SQL)
+    by_block = encoded.repartition("block").sortWithinPartitions("block", "kind")
     field = docs.schema[id_col]
     fields = [field, T.StructField("n_tokens", T.LongType()), T.StructField("ids", T.ArrayType(T.IntegerType()))]
     schema = T.StructType([*fields, *([T.StructField("decoded", T.StringType())] if decoded else [])])
