@@ -154,7 +154,7 @@ def _split(path: str):
             rank = np.empty(len(table), np.int64)
             rank[order] = np.arange(len(table))
             for i, (texts, found) in enumerate(packed):
-                yield _row((block + i) % BUCKETS, block, 1, _pack_texts(texts, [rank[p] for p in found]))
+                yield _row(zlib.crc32(f"{block} {i}".encode()) % BUCKETS, block, 1, _pack_texts(texts, [rank[p] for p in found]))
             words = list(map(list(table).__getitem__, order.tolist()))
             bucket = np.fromiter((zlib.crc32(w.encode()) % BUCKETS for w in words), np.int64, len(words))
             by_bucket = np.argsort(bucket, kind="stable")  # ascending places in each
