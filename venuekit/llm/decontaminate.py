@@ -217,7 +217,7 @@ def find_items(
     of the word at which the nearest window starts (of several the first).
 
     A window counts if at most a fifth of the item's words are inserted, left out or exchanged; case,
-    punctuation and white space don't count.  Items without a word are in no document, and null or
+    punctuation and white space don't count.  Items without an id or a word are in no document, and null or
     empty texts hold none.  Rows of equal (or null) ids count as one document.  Items may be
     many: only filters of fixed size reach every task, and the rest is joined by key.
     """
@@ -227,7 +227,7 @@ def find_items(
     longs = T.ArrayType(T.LongType())
     schema = T.StructType([T.StructField("item", item), *(T.StructField(n, longs) for n in ("words", "keys", "grams"))])
     read = items.select(item_col, item_text_col).mapInArrow(_read_items, schema)
-    read = materialise(read.where(F.size("words") > 0), "items")
+    read = materialise(read.where((F.size("words") > 0) & F.col("item").isNotNull()), "items")
     counts = [r[0] for r in read.select(F.size("words")).distinct().collect()]
     classes = sorted({length_class(n) for n in counts})
     work = _windows(_filter(read, "grams"), _filter(read, "keys"), classes)

@@ -295,8 +295,10 @@ def decode_ids(encoded: DataFrame, path: str, id_col: str = "doc_id", ids_col: s
 
     Rows with null or empty ids decode to an empty text; rows of equal ``id_col`` and ids are one.
     """
-    rows = encoded.select(id_col, F.coalesce(ids_col, F.array().cast("array<int>")).alias("ids")).distinct()
-    placed = rows.select(id_col, "ids", F.posexplode_outer("ids").alias("place", "id"))
+    ids = F.coalesce(ids_col, F.array().cast("array<int>"))
+    # a digest stands for the ids, so that no row of one id carries them all
+    rows = encoded.select(F.col(id_col), ids.alias("ids")).withColumn("key", F.md5(F.array_join(F.col("ids").cast("array<string>"), " ")))
+    placed = rows.dropDuplicates([id_col, "key"]).select(id_col, "key", F.posexplode_outer("ids").alias("place", "id"))
     joined = placed.join(pieces(encoded.sparkSession, path), "id", "left")
-    listed = joined.groupBy(id_col, "ids").agg(F.array_sort(F.collect_list(F.when(F.col("piece").isNotNull(), F.struct("place", "piece")))).alias("found"))
+    listed = joined.groupBy(id_col, "key").agg(F.array_sort(F.collect_list(F.when(F.col("piece").isNotNull(), F.struct("place", "piece")))).alias("found"))
     return listed.select(id_col, F.array_join("found.piece", " ").alias("decoded"))
