@@ -96,6 +96,12 @@ def test_unread_attributes_are_reported_and_do_not_hide_the_others(spark, rows):
     assert rows(unread_attributes(df, "BusinessID", "Attributes")) == [("b", "Bad", "{'a': ")]
 
 
+def test_attributes_that_do_not_parse_are_reported(spark, rows):
+    df = attributes(spark, a='{"WiFi": "free", ', b="not json", c=json.dumps({"WiFi": "free"}), d="")
+    assert rows(flatten_attributes(df, "BusinessID", "Attributes")) == [("c", "WiFi", "free")]
+    assert rows(unread_attributes(df, "BusinessID", "Attributes")) == [("a", None, '{"WiFi": "free", '), ("b", None, "not json")]
+
+
 @pytest.fixture(scope="module")
 def reviews(spark):
     data = [

@@ -87,19 +87,15 @@ def skewed(spark):
     return texts.unionAll(texts)
 
 
-def test_hot_text_group_is_cut_into_parts_and_stays_whole(spark, skewed):
-    got = aggregates.collect_distinct_text(skewed, "k", "t", "all", part_chars=500).collect()
-    plain = {r.k: set(r.s) for r in skewed.groupBy("k").agg(F.collect_set("t").alias("s")).collect()}
-    parts = {k: [r for r in got if r.k == k] for k in plain}
-    assert len(parts["hot"]) > 5 and max(len(r["all"]) for r in got) < 1500
-    for k, rows in parts.items():
-        words = [w for r in rows for w in r["all"].split(" ")]
-        assert len(words) == len(set(words)) and set(words) == plain[k]
-        assert all(r["all"].split(" ") == sorted(r["all"].split(" ")) for r in rows)
-
-
-def test_hot_text_group_is_spread_over_tasks(spark, skewed):
-    df = aggregates.collect_distinct_text(skewed, "k", "t", "all", part_chars=500)
+def test_distinct_texts_keep_keys_without_text(spark, skewed, rows):
+    found = aggregates.collect_distinct_text(skewed, "k", "t", "text")
+    assert rows(found) == rows(skewed.distinct())
+    none = spark.createDataFrame([("a", None), ("a", None), ("b", "x")], "k string, t string")
+    assert rows(aggregates.collect_distinct_text(none, "k", "t", "text")) == [("a", None), ("b", "x")]
+
+
+def test_hot_texts_are_spread_over_tasks(spark, skewed):
+    df = aggregates.collect_distinct_text(skewed, "k", "t", "text")
     spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
     try:
         tasks = df.where("k = 'hot'").select(F.spark_partition_id()).distinct().count()
@@ -108,11 +104,6 @@ def test_hot_text_group_is_spread_over_tasks(spark, skewed):
     assert tasks > 3
 
 
-def test_small_text_groups_give_one_row(spark, skewed):
-    got = aggregates.collect_distinct_text(skewed, "k", "t", "all")
-    assert got.count() == skewed.select("k").distinct().count()
-
-
 def test_top_n_equals_brute_force_and_cuts_before_the_shuffle(spark):
     df = spark.range(3000).select(
         F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id") % 40).alias("g"),
@@ -130,13 +121,6 @@ def test_top_n_equals_brute_force_and_cuts_before_the_shuffle(spark):
     assert got == want
 
 
-def test_top_rows_equals_top_k(spark):
-    df = spark.range(5000).select(F.abs(F.hash("id") % 9).alias("n"), F.concat(F.lit("t"), "id").alias("t"))
-    order = (F.desc("n"), F.asc("t"))
-    got = ranking.top_rows(df, 700, "t", *order, buckets=16).collect()
-    assert got == ranking.top_k(df, 700, *order).collect()
-
-
 def test_string_index(spark, rows):
     df = spark.createDataFrame([(v,) for v in ("b", "a", "c", "c", None)], "v string")
     got = ranking.string_index(df, "v", "i")
@@ -150,6 +134,18 @@ def test_metrics(spark):
     assert r2 == pytest.approx(1 - 1.25 / (14 / 3))
 
 
+def test_metrics_leave_out_rows_without_a_prediction(spark):
+    df = spark.createDataFrame([(1.0, 1.0), (2.0, 3.0), (10.0, None)], "y double, p double")
+    assert aggregates.regression_metrics(df, "y", "p").first()[1] == pytest.approx(-1.0)
+
+
+def test_numbering_equals_a_sort_and_runs_in_parallel(spark):
+    df = spark.range(5000).select(F.xxhash64("id").alias("v"), (F.col("id") % 3).alias("g"))
+    got = [r.v for r in ranking.numbered(df, "at", F.desc("g"), F.asc("v")).orderBy("at").collect()]
+    assert got == [r.v for r in df.orderBy(F.desc("g"), "v").collect()]
+    assert [r["at"] for r in ranking.numbered(df, "at", F.asc("v")).select("at").orderBy("at").collect()] == list(range(5000))
+
+
 # --- joins -------------------------------------------------------------------------------
 def plan(df):
     return df._jdf.queryExecution().toString()
@@ -233,15 +229,6 @@ def test_round_trips(spark, tmp_path, rows):
     assert rows(readers.read_json(spark, f"{tmp_path}/j.json", RAW_PROVINCE)) == [("ON",), ("QC",)]
 
 
-def test_a_narrow_scan_is_spread(spark, tmp_path):
-    spark.range(100).coalesce(1).write.parquet(f"{tmp_path}/one")
-    one = readers.read_parquet(spark, f"{tmp_path}/one")
-    assert "REPARTITION" in plan(readers.spread(one, "id"))
-    spark.range(100).repartition(20).write.parquet(f"{tmp_path}/many")
-    many = spark.range(0, 100, 1, 20)
-    assert readers.spread(many, "id") is many
-
-
 def test_materialise_reads_back_from_the_shared_folder(spark):
     df = scratch.materialise(spark.range(5).withColumn("x", F.col("id") * 2), "probe")
     assert df.agg(F.sum("x")).first()[0] == 20

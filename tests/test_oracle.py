@@ -7,6 +7,7 @@ import pytest
 
 from __spark_entry__ import entry, oracle_sql, queries
 from tests.conftest import DATA
+from workload import queries as workload
 
 TABLES = (
     "region nation customer supplier part orders lineitem events documents embeddings pages "
@@ -43,7 +44,7 @@ def test_twin(spark, duck, small, name):
 
 def test_every_twin_has_a_query():
     assert set(ORACLE) <= set(QUERIES)
-    assert set(QUERIES) - set(ORACLE) == {"lda_topics", "lda_distribution", "gbt_recommend"}
+    assert set(workload.queries()) - set(ORACLE) == {"lda_topics", "lda_distribution", "gbt_recommend"}
 
 
 def test_entry(spark):

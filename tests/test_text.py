@@ -66,10 +66,7 @@ def lexicon(spark):
     return spark.createDataFrame(list(LEXICON.items()), "token string, valence double")
 
 
-@pytest.mark.parametrize("most", [sentiment.MAX_LISTED, 2])
-def test_scores_equal_the_model_by_hand(spark, lexicon, monkeypatch, most):
-    # A lexicon above the limit goes through the join alone.
-    monkeypatch.setattr(sentiment, "MAX_LISTED", most)
+def test_scores_equal_the_model_by_hand(spark, lexicon):
     reviews = spark.createDataFrame(list(enumerate(TEXTS)), "ReviewID int, Review string")
     got = {r.ReviewID: tuple(r)[1:] for r in sentiment.review_scores(reviews, lexicon).collect()}
     assert len(got) == len(TEXTS)
@@ -84,6 +81,17 @@ def test_long_and_repeated_texts_are_scored_whole(spark, lexicon):
     assert got[1] < 0 and got[2] == got[3] > 0
 
 
+def test_a_megabyte_of_apostrophes_is_scored(spark, lexicon):
+    reviews = spark.createDataFrame([(1, "a'" * (1 << 19) + "a"), (2, "good")], "ReviewID int, Review string")
+    assert {r.ReviewID for r in sentiment.review_scores(reviews, lexicon).collect()} == {1, 2}
+
+
+def test_a_token_listed_twice_counts_once(spark, lexicon, rows):
+    reviews = spark.createDataFrame(list(enumerate(TEXTS)), "ReviewID int, Review string")
+    twice = sentiment.review_scores(reviews, lexicon.unionAll(lexicon))
+    assert rows(twice) == rows(sentiment.review_scores(reviews, lexicon))
+
+
 def test_means_per_business_of_a_city(spark, lexicon, rows):
     business = spark.createDataFrame(
         [("b1", "One", "Toronto", "M5V 1A1", 43.0, -79.0), ("b2", "Two", "Calgary", "T2P 1A1", 51.0, -114.0)],

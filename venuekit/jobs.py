@@ -53,11 +53,12 @@ Job = Callable[[SparkSession, argparse.Namespace], None]
 def business(spark: SparkSession, a: argparse.Namespace) -> None:
     raw = read_json(spark, a.business, schemas.RAW_BUSINESS)
     provinces = read_json(spark, a.province, schemas.RAW_PROVINCE)
-    kept = clean.open_businesses(raw, provinces).persist()  # read by three writes
+    kept = clean.open_businesses(raw, provinces).persist()  # read by four writes
     tables = clean.build_business(kept)
     write_parquet(tables.business, a.output)
     write_parquet(tables.attributes, a.output + "Attributes")
     write_parquet(tables.categories, a.output + "Categories")
+    write_parquet(tables.unread, a.output + "UnreadAttributes")
     kept.unpersist()
 
 

@@ -21,39 +21,22 @@ def group_apart(df: DataFrame, keys: Sequence[str], *measures: Column) -> DataFr
     return folded.select("_key.*", *folded.columns[1:])
 
 
-def collect_distinct_text(
-    df: DataFrame, key: str, text: str, alias: str, part_chars: int = 1 << 24
-) -> DataFrame:
-    """Distinct texts of a key joined with spaces, as rows (key, part, parts, alias).
-
-    A key whose texts fit into ``part_chars`` characters gives one row.  A larger
-    one is cut into parts by a hash of the text, so no task and no row has to hold
-    the whole group; texts are sorted inside each part and none is dropped.
+def collect_distinct_text(df: DataFrame, key: str, text: str, alias: str) -> DataFrame:
+    """Rows (key, alias), one per distinct text of a key, and one with NULL for a key that has a NULL or no text.
+
+    A key's texts are never merged into one value, which no size of group would bound.
     """
     # Duplicates fold map-side, and the shuffle is on both columns.
-    distinct = df.select(key, text).where(F.col(text).isNotNull()).distinct()
-    size = F.sum(F.length(text)) + F.count(text)
-    sizes = group_apart(
-        distinct, [key], F.ceil(size / F.lit(part_chars)).cast("int").alias("parts")
-    )
-    bucket = F.conv(F.substring(F.md5(text), 1, 8), 16, 10).cast("long")
-    return (
-        distinct.join(sizes, key)
-        .withColumn("part", (bucket % F.greatest("parts", F.lit(1))).cast("int"))
-        # Left to itself Spark would reuse the join's partitioning by key alone and
-        # keep all parts of a key in one task.
-        .repartition(key, "part")
-        .groupBy(key, "part", "parts")
-        .agg(F.array_join(F.array_sort(F.collect_list(text)), " ").alias(alias))
-    )
+    return df.select(key, F.col(text).alias(alias)).distinct()
 
 
 def regression_metrics(df: DataFrame, label: str, prediction: str) -> DataFrame:
-    """One row (rmse, r2) from a single pass."""
+    """One row (rmse, r2) from a single pass over the rows that have both values."""
     error = F.avg(F.pow(F.col(label) - F.col(prediction), 2))
+    spread = F.var_pop(F.when(F.col(prediction).isNotNull(), F.col(label)))
     return df.agg(
         F.sqrt(error).alias("rmse"),
-        (F.lit(1.0) - F.try_divide(error, F.var_pop(label))).alias("r2"),
+        (F.lit(1.0) - F.try_divide(error, spread)).alias("r2"),
     )
 
 

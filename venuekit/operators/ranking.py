@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from venuekit.sources.scratch import materialise
+
 
 def top_k(df: DataFrame, k: int, *order: Column) -> DataFrame:
     return df.orderBy(*order).limit(k)
@@ -20,26 +22,25 @@ def top_n_per_group(df: DataFrame, n: int, group: str, *order: Column, rank: str
     return df.withColumn(rank, F.row_number().over(window)).where(F.col(rank) <= n)
 
 
-def top_rows(df: DataFrame, k: int, key: str, *order: Column, buckets: int = 256) -> DataFrame:
-    """``top_k`` for a large ``k``: each hash bucket is cut to ``k`` first, so the
-    last task sees ``buckets * k`` rows at most, however many partitions there are.
+def numbered(df: DataFrame, alias: str, *order: Column) -> DataFrame:
+    """``df`` with each row's place in ``order`` from 0, worked out by all tasks.
+
+    Rows are sorted by range into a stored table; a row's place is its place in its
+    partition plus the rows of the partitions before.  ``order`` must end in a unique column.
     """
-    bucket = F.pmod(F.xxhash64(key), F.lit(buckets))
-    in_bucket = Window.partitionBy("_bucket").orderBy(*order)
-    cut = (
-        df.withColumn("_bucket", bucket)
-        .withColumn("_rank", F.row_number().over(in_bucket))
-        .where(F.col("_rank") <= k)
-        .drop("_bucket", "_rank")
+    stored = materialise(
+        df.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("_at", F.monotonically_increasing_id()),
+        "numbered",
     )
-    return top_k(cut, k, *order)
+    part = F.shiftright("_at", 33)
+    counts = stored.groupBy(part.alias("_part")).agg(F.count("*").alias("_n"))
+    before = F.sum("_n").over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    offsets = counts.select("_part", (before - F.col("_n")).alias("_before"))  # a row per partition
+    place = F.col("_before") + F.col("_at").bitwiseAND(F.lit((1 << 33) - 1))
+    return stored.withColumn("_part", part).join(offsets, "_part").withColumn(alias, place).drop("_part", "_before", "_at")
 
 
 def string_index(df: DataFrame, column: str, alias: str) -> DataFrame:
-    """Distinct values numbered from 0, most frequent first, ties by value.
-
-    The window runs over the counted values only, of which an index has few.
-    """
+    """Distinct values numbered from 0, most frequent first, ties by value."""
     counts = df.where(F.col(column).isNotNull()).groupBy(column).agg(F.count("*").alias("n"))
-    by_count = Window.orderBy(F.desc("n"), F.asc(column))
-    return counts.withColumn(alias, F.row_number().over(by_count) - 1)
+    return numbered(counts, alias, F.desc("n"), F.asc(column))

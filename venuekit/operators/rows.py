@@ -39,12 +39,15 @@ def flatten_attributes(df: DataFrame, key: str, attributes: str) -> DataFrame:
 
 
 def unread_attributes(df: DataFrame, key: str, attributes: str) -> DataFrame:
-    """Nested attribute objects that do not parse, for a data check."""
-    return (
+    """Attribute texts (with a NULL key) and objects nested in them that do not parse, for a data check."""
+    text = F.col(attributes)
+    whole = df.where(text.isNotNull() & (F.trim(text) != "") & F.from_json(text, "map<string,string>").isNull())
+    nested = (
         df.select(key, F.explode(json_pairs(F.col(attributes))).alias("pair"))
         .select(key, F.col("pair.key").alias("attr_key"), F.col("pair.value").alias("attr_val"))
         .where(is_nested(F.col("attr_val")) & literal_map(F.col("attr_val")).isNull())
     )
+    return nested.unionAll(whole.select(key, F.lit(None).cast("string").alias("attr_key"), text.alias("attr_val")))
 
 
 def html_rows(

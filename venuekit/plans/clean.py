@@ -11,7 +11,7 @@ from venuekit.functions.dates import parse_time
 from venuekit.functions.text import without_spaces
 from venuekit.operators.filters import contains_all
 from venuekit.operators.joins import present_in
-from venuekit.operators.rows import explode_list, flatten_attributes
+from venuekit.operators.rows import explode_list, flatten_attributes, unread_attributes
 
 # What makes a business a restaurant, and the fields it must carry.
 RESTAURANT_WORDS = ("Restaurant", "Food")
@@ -64,6 +64,7 @@ class BusinessTables(NamedTuple):
     business: DataFrame
     attributes: DataFrame
     categories: DataFrame
+    unread: DataFrame  # attributes that do not parse
 
 
 def open_businesses(raw: DataFrame, provinces: DataFrame) -> DataFrame:
@@ -91,16 +92,17 @@ def categories(businesses: DataFrame) -> DataFrame:
 
 
 def build_business(businesses: DataFrame) -> BusinessTables:
-    """The three business tables from the result of ``open_businesses``.
+    """The business tables from the result of ``open_businesses``.
 
-    Categories cover all of its rows, the other two only restaurants.  The caller
-    may persist the input, which all three tables read.
+    Categories cover all of its rows, the others only restaurants.  The caller
+    may persist the input, which all of them read.
     """
     food = restaurants(businesses)
     return BusinessTables(
         business=food.select(*BUSINESS_COLUMNS),
         attributes=flatten_attributes(food, "BusinessID", "Attributes"),
         categories=categories(businesses),
+        unread=unread_attributes(food, "BusinessID", "Attributes"),
     )
 
 

@@ -28,8 +28,8 @@ EXCLAMATION_STEP, EXCLAMATION_MAX = 0.292, 4
 QUESTION_STEP, QUESTION_MAX, QUESTION_CAP = 0.18, 3, 0.96
 NORMALISER = 15.0
 
-WORD = r"\w+(?:'\w+)*"
-MAX_LISTED = 20_000
+# Possessive, because Java matches a greedy group by recursion, which overflows the stack on long words.
+WORD = r"\w++(?:'\w++)*+"
 
 
 @dataclass(frozen=True)
@@ -91,26 +91,14 @@ def _adjusted(valence: Column, word: Column, decay: float, rules: Rules) -> Colu
     return (valence + F.signum(valence) * strength) * factor
 
 
-def _listed_words(lexicon: DataFrame) -> list[str] | None:
-    """The lexicon's words if they are few enough to stand in the plan, else None."""
-    found = lexicon.select("token").limit(MAX_LISTED + 1).collect()
-    return [r.token for r in found] if len(found) <= MAX_LISTED else None
-
-
-def _in_context(words: Column, listed: list[str] | None) -> Column:
-    """Each word as (at, token, back1, back2, back3) with the three words before it.
-
-    Rows made of these need not carry the text.  Words outside the lexicon weigh
-    nothing but their count, so they are left out where its words are known; a long
-    literal list is looked up by hash.  Without the list the join drops them.
-    """
+def _in_context(words: Column) -> Column:
+    """Each word as (at, token, back1, back2, back3) with the three words before it, so that rows made of these need not carry the text."""
 
     def entry(word: Column, position: Column) -> Column:
         before = [F.get(words, position - d).alias(f"back{d}") for d in (1, 2, 3)]
-        row = F.struct((position + 1).alias("at"), word.alias("token"), *before)
-        return row if listed is None else F.when(word.isin(listed), row)
+        return F.struct((position + 1).alias("at"), word.alias("token"), *before)
 
-    return F.filter(F.transform(words, entry), lambda e: e.isNotNull())
+    return F.transform(words, entry)
 
 
 def review_scores(
@@ -121,9 +109,9 @@ def review_scores(
 ) -> DataFrame:
     """Scores (Negative, Neutral, positive, Over_all) per review.
 
-    ``keys`` are carried along and identify a review; ``lexicon`` has (token, valence), one row per
-    token.  The words of a review that the lexicon lists become rows, are joined to
-    it, and fold map-side to one row per review.  A NULL text gives NULL scores.
+    ``keys`` are carried along and identify a review; ``lexicon`` has (token, valence), and a token
+    listed several times has its mean valence.  The words of a review become rows without the
+    text, are joined to the lexicon, and fold map-side to one row per review.  A NULL text gives NULL scores.
     """
     text = F.col("_text")
     words = reviews.select(*keys, analysed_text(F.col("Review")).alias("_text")).select(
@@ -138,7 +126,7 @@ def review_scores(
             "_emphasis",
             F.size(array).alias("_size"),
             F.array_position(array, rules.contrast).alias("_contrast"),
-            _in_context(array, _listed_words(lexicon)).alias("_context"),
+            _in_context(array).alias("_context"),
         )
         .select(*keys, "_emphasis", "_size", "_contrast", F.explode_outer("_context").alias("_word"))
         .select(*keys, "_emphasis", "_size", "_contrast", "_word.*")
@@ -148,7 +136,8 @@ def review_scores(
         .when(F.col("at") < F.col("_contrast"), BEFORE_BUT)
         .otherwise(AFTER_BUT)
     )
-    valued = rows.join(lexicon.select("token", F.col("valence").cast("double")), "token", "left")
+    valences = group_apart(lexicon, ["token"], F.avg(F.col("valence").cast("double")).alias("valence"))
+    valued = rows.join(valences, "token", "left")
     # One step per projection: nested into one expression, each would repeat the last.
     for distance, decay in enumerate(DEGREE_DECAY, start=1):
         back = F.col(f"back{distance}")
@@ -212,9 +201,9 @@ def city_scores(
 
 
 def with_texts(scores: DataFrame, reviews: DataFrame, business: DataFrame, city: str | None) -> DataFrame:
-    """Scores next to the text of each review."""
+    """Scores next to the lower-cased text of each review."""
     names = city_filter(business, city).select("BusinessID", F.col("Name").alias("Business_Name"))
-    texts = reviews.select("ReviewID", "Review")
+    texts = reviews.select("ReviewID", F.lower("Review").alias("Review"))
     return (
         scores.join(names, "BusinessID")
         .join(texts, "ReviewID")

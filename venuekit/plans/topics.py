@@ -17,21 +17,22 @@ from pyspark.ml.clustering import LDA
 from pyspark.ml.feature import IDF, CountVectorizer, RegexTokenizer, StopWordsRemover
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.linalg import VectorUDT
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from venuekit.functions.text import WORD, strip_chars, tokens, without_stopwords
 from venuekit.operators.aggregates import group_apart
 from venuekit.operators.filters import HIGH, LOW, city_filter, rating_cohort
-from venuekit.operators.ranking import top_rows
+from venuekit.operators.ranking import numbered
 from venuekit.operators.rows import posexplode_list
 from venuekit.sources.scratch import materialise
 
 # Model settings.
 TOPICS = 6
 SEED = 123
-VOCABULARY_SIZE = 1 << 18
+# MLlib wants a bound on the vocabulary; this one, its largest, leaves no term out.
+ALL_TERMS = (1 << 31) - 1
 KEY_WORDS = 10
 
 
@@ -68,14 +69,11 @@ def tfidf(counts: DataFrame, documents: DataFrame) -> DataFrame:
     )
 
 
-def vocabulary(counts: DataFrame, documents: DataFrame, size: int = VOCABULARY_SIZE) -> DataFrame:
-    """(index, term, idf) of the most frequent terms, most frequent first."""
+def vocabulary(counts: DataFrame, documents: DataFrame) -> DataFrame:
+    """(index, term, idf) of all terms, most frequent first."""
     totals = counts.groupBy("term").agg(F.sum("n").alias("total"), F.count("*").alias("df"))
-    order = (F.desc("total"), F.asc("term"))
-    kept = top_rows(totals, size, "term", *order)
-    # One window over ``size`` rows at most.
-    return kept.select(
-        (F.row_number().over(Window.orderBy(*order)) - 1).alias("index"),
+    return numbered(totals, "index", F.desc("total"), F.asc("term")).select(
+        "index",
         "term",
         F.log((documents.agg(F.count("*")).scalar() + 1) / (F.col("df") + 1)).alias("idf"),
     )
@@ -85,7 +83,7 @@ def vocabulary(counts: DataFrame, documents: DataFrame, size: int = VOCABULARY_S
 def text_features(
     text: str,
     output: str = "idf_vec",
-    size: int = VOCABULARY_SIZE,
+    size: int = ALL_TERMS,
     stopwords: Sequence[str] | None = None,
 ) -> Pipeline:
     """Unfitted pipeline: words, no stop words, counts, inverse document weights."""
@@ -146,7 +144,7 @@ def business_vectors(texts: DataFrame, business: DataFrame) -> tuple[DataFrame,
         .groupBy("BusinessID")
         .agg(
             F.array_sort(
-                F.collect_list(F.struct("index", (F.col("n") * F.col("idf")).alias("weight")))
+                F.collect_list(F.struct(F.col("index").cast("int").alias("index"), (F.col("n") * F.col("idf")).alias("weight")))
             ).alias("terms")
         )
     )

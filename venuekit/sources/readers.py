@@ -28,14 +28,3 @@ def normalise_headers(df: DataFrame, squeeze: bool = False) -> DataFrame:
     """Strip outer spaces from column names; ``squeeze`` removes inner ones too."""
     fix = (lambda c: c.replace(" ", "")) if squeeze else (lambda c: c.strip(" "))
     return df.toDF(*[fix(c) for c in df.columns])
-
-
-def spread(df: DataFrame, key: str) -> DataFrame:
-    """Shuffle a plain scan by a key if its splits leave half of the cores idle.
-
-    One gzipped file, or one file with a single row group, is one task however
-    large it is.  A scan of many splits stays as it is.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    splits = df.rdd.getNumPartitions()  # read off the plan, no job
-    return df.repartition(cores, key) if 2 * splits <= cores else df

@@ -233,8 +233,6 @@ select distinct UserID, BusinessID from fx_review r where not exists (select 1 f
     "unvisited_counts": f"""
 select u.UserID, count(b.BusinessID) as Unvisited from fx_user u left join fx_business b on {_NOT_VISITED}
 group by 1""",
-    "cross_join": f"""
-select BusinessID, Name, UserID, UserName from fx_business, {_PANEL}""",
     "unvisited_pairs": f"""
 select BusinessID, UserID from fx_business b, {_PANEL} u where {_NOT_VISITED}""",
     # --- aggregations
@@ -248,9 +246,7 @@ select l_returnflag, round(avg(l_quantity), 2) as avg_qty, round(avg(l_extendedp
   round(avg(l_discount), 2) as avg_discount, round(avg(l_tax), 2) as avg_tax from lineitem group by 1""",
     "avg_ratio_by_area": _EMPLOYMENT.format(city="true"),
     "collect_distinct_text": """
-select p_brand, cast(0 as int) as part, cast(1 as int) as parts,
-  string_agg(p_name, ' ' order by p_name) as names
-from (select distinct p_brand, p_name from part) group by 1""",
+select p_brand, nullif(p_name, 'ring') as names from part group by 1, 2""",
     "bucket_histogram": """
 select (ReviewCount // 10) * 10 as StartRange, count(UserID) as n from fx_user group by 1""",
     "floor_histogram": """
@@ -325,9 +321,10 @@ select BusinessID, generate_subscripts(string_split(Categories, ','), 1) - 1 as
 select doc_id, length(text) as before, length(kept) as after, md5(kept) as digest
 from (select *, regexp_replace(text, '[^\x01-\x7E]', '', 'g') as kept from documents)""",
     "remove_features": r"""
-select page_id, regexp_replace(regexp_replace(regexp_replace(
-    concat(url, ' Open 24/7, don''t miss it! ', page_id), 'https?://(www.)?\w+\.\w+(/\w+)*/?', ' ', 'g'),
-  '[[:punct:]]', ' ', 'g'), '\d+', ' ', 'g') as clean from pages""",
+select doc_id, md5(regexp_replace(regexp_replace(regexp_replace(
+    concat(regexp_replace(text, '[^\x01-\x7E]', '', 'g'), ' Open 24/7: https://www.example.com/a/b/ ', doc_id),
+    'https?://(www.)?\w+\.\w+(/\w+)*/?', ' ', 'g'),
+  '[[:punct:]]', ' ', 'g'), '\d+', ' ', 'g')) as clean from documents""",
     "lexicon_sentiment": "select ReviewID, Negative, Neutral, positive, Over_all from fx_scores",
     "tokenize": r"""
 select ReviewID, len(w) as n, md5(array_to_string(w, ' ')) as digest
@@ -343,9 +340,8 @@ from fx_counts c join (select term, count(*) as df from fx_counts group by 1) d
     "vocabulary": """
 select row_number() over (order by total desc, term) - 1 as index, term,
   round(ln(((select count(*) from fx_text) + 1) / (df + 1)), 6) as idf
-from (select term, sum(n) as total, count(*) as df from fx_counts group by 1)
-order by total desc, term limit 500""",
-    "text_features": """
+from (select term, sum(n) as total, count(*) as df from fx_counts group by 1)""",
+    "text_pipeline": """
 select t.ReviewID, count(w) filter (w <> 0) as n, round(coalesce(sum(w), 0), 3) as total
 from fx_text t left join (
   select ReviewID, n * ln(((select count(*) from fx_text) + 1) / (df + 1)) as w
@@ -450,7 +446,7 @@ where contains(Categories, 'Italian') order by BusinessStars desc, BusinessID"""
 select concat('M', c_nationkey, 'A') as Postcode, c_mktsegment as Borough, c_name as Neighbourhood
 from customer where not c_acctbal < 0 and c_nationkey <> 3""",
     "review_sentiment": """
-select s.BusinessID, Name as Business_Name, md5(Review) as Review, Negative, Neutral, positive, Over_all
+select s.BusinessID, Name as Business_Name, md5(lower(Review)) as Review, Negative, Neutral, positive, Over_all
 from fx_scores s join fx_business b on s.BusinessID = b.BusinessID""",
     "business_sentiment": f"""
 select s.BusinessID, {_mean("Negative")} as avg_neg, {_mean("Neutral")} as avg_neu,

@@ -244,13 +244,6 @@ def unvisited_counts(i: Inputs) -> DataFrame:
     return joins.unvisited_counts(i.user(), i.business(), i.review())
 
 
-@query
-def cross_join(i: Inputs) -> DataFrame:
-    """Each business with each user of the panel."""
-    panel = joins.first_users(i.user().select("UserID", "UserName"))
-    return joins.unvisited_pairs(panel, i.business().select("BusinessID", "Name"))
-
-
 @query
 def unvisited_pairs(i: Inputs) -> DataFrame:
     panel = joins.first_users(i.user().select("UserID"))
@@ -307,8 +300,8 @@ def _employment(i: Inputs, city: str | None) -> DataFrame:
 
 @query
 def collect_distinct_text(i: Inputs) -> DataFrame:
-    merged = aggregates.collect_distinct_text(i.table("part"), "p_brand", "p_name", "names")
-    return merged.select("p_brand", "part", "parts", "names")
+    named = i.table("part").select("p_brand", F.nullif("p_name", F.lit("ring")).alias("p_name"))
+    return aggregates.collect_distinct_text(named, "p_brand", "p_name", "names")
 
 
 @query
@@ -531,8 +524,8 @@ def strip_non_ascii(i: Inputs) -> DataFrame:
 
 @query
 def remove_features(i: Inputs) -> DataFrame:
-    line = F.concat(col("url"), F.lit(" Open 24/7, don't miss it! "), col("page_id").cast("string"))
-    return i.table("pages").select("page_id", text.remove_features(line).alias("clean"))
+    line = F.concat(text.strip_non_ascii(col("text")), F.lit(" Open 24/7: https://www.example.com/a/b/ "), col("doc_id").cast("string"))
+    return i.table("documents").select("doc_id", F.md5(text.remove_features(line)).alias("clean"))
 
 
 @query
@@ -571,12 +564,12 @@ def tfidf(i: Inputs) -> DataFrame:
 @query
 def vocabulary(i: Inputs) -> DataFrame:
     counts = topics.term_counts(i.text(), "ReviewID", "Review", STOPWORDS)
-    words = topics.vocabulary(counts, i.text().select("ReviewID"), 500)
+    words = topics.vocabulary(counts, i.text().select("ReviewID"))
     return words.select(col("index").cast("long").alias("index"), "term", F.round("idf", 6).alias("idf"))
 
 
 @query
-def text_features(i: Inputs) -> DataFrame:
+def text_pipeline(i: Inputs) -> DataFrame:
     """MLlib's words, stop words, counts and weights; entries per review and their sum."""
     model = topics.text_features("Review", stopwords=STOPWORDS).fit(i.text())
     weights = topics.sparse_arrays(model.transform(i.text()), "ReviewID", "idf_vec")
