@@ -12,9 +12,9 @@ from venuekit.llm import decontaminate, pseudonyms, simhash, toxicity, word_tabl
 from venuekit.llm.queries import KEY, WORD_BPE, table
 from venuekit.sources.scratch import shared_folder
 
-#: Places in which fingerprints of near copies may differ here.  Copies with a fifth of their shingles changed lie
-#: further apart than the operator's default reaches; unrelated texts are some 32 places apart.
-BITS = 6
+#: Words of a shingle, and places in which fingerprints of near copies may differ here.  A changed word moves five
+#: shingles of five words but two of two, so that copies that share 0.8 of the former come within reach of the index.
+SHINGLE, BITS = 2, 6
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -26,7 +26,7 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The document with the least id of each set of near copies."""
-    return simhash.keep_one(docs, bits=BITS)
+    return simhash.keep_one(docs, shingle=SHINGLE, bits=BITS)
 
 
 def drop_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
