@@ -210,3 +210,16 @@ def test_pipeline_takes_effect(spark, small):
 
 def test_pipeline_runs(spark, small):
     assert corpus_pipeline.run(spark, small).count() > 0
+
+
+def test_pipeline_drops_near_copies_and_keeps_others(spark, small):
+    """Copies with every hundredth word exchanged share over 0.8 of their shingles of five words."""
+    r = random.Random(8)
+    words = ["".join(r.choices("abcdefghij", k=r.randint(2, 8))) for _ in range(2000)]
+    own = [r.choices(words, k=r.randint(100, 400)) for _ in range(200)]
+    passage = r.choices(words, k=60)
+    own = [t[:50] + passage + t[50:] if i % 4 == 0 else t for i, t in enumerate(own)]
+    copies = [[("exchanged" if r.random() < 0.01 else w) for w in t] for t in own]
+    rows = [(i, " ".join(t)) for i, t in enumerate(own + copies)]
+    left = {x.doc_id for x in corpus_pipeline.drop_near_copies(spark, spark.createDataFrame(rows, "doc_id long, text string"), small).collect()}
+    assert set(range(200)) <= left and len(left) <= 220
