@@ -8,14 +8,10 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from venuekit.llm import decontaminate, pseudonyms, simhash, toxicity, word_table
+from venuekit.llm import copies, decontaminate, pseudonyms, toxicity, word_table
 from venuekit.llm.queries import KEY, WORD_BPE, table
 from venuekit.sources.scratch import shared_folder
 
-#: Words of a shingle, and places in which fingerprints of near copies may differ here.  A changed word moves five
-#: shingles of five words but two of two, so that copies that share 0.8 of the former come within reach of the index.
-SHINGLE, BITS = 2, 6
-
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents below the threshold of the classifier, which learns from all labelled ones."""
@@ -25,8 +21,8 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the least id of each set of near copies."""
-    return simhash.keep_one(docs, shingle=SHINGLE, bits=BITS)
+    """The document with the least id of each set of near copies, found by SimHash and compared exactly."""
+    return copies.keep_one(docs)
 
 
 def drop_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from venuekit.llm import decontaminate, neighbours, queries, shards, simhash, url_rules
+from venuekit.llm import copies, decontaminate, neighbours, queries, shards, simhash, url_rules
 
 
 # --- shards
@@ -97,9 +97,66 @@ def test_near_copy_edge_cases(odd, empty):
     assert len(found) == odd.count()
     blank = [r for r in found if r.fingerprint == "0" * 16]
     assert len(blank) == 3 and {r.component_id for r in blank} == {0}
-    kept = simhash.keep_one(odd)
+    assert simhash.near_copies(empty).count() == 0
+
+
+def test_one_copy_stays_in_edge_cases(odd, empty):
+    kept = copies.keep_one(odd)
     assert kept.columns == odd.columns and sorted(r.doc_id for r in kept.collect()) == [0, 4, 5, 6, 7]
-    assert simhash.near_copies(empty).count() == 0 and simhash.keep_one(empty).count() == 0
+    assert copies.keep_one(empty).count() == 0
+
+
+def edited(n, texts, share, seed):
+    """``n`` texts of invented words for each of ``texts``, a share of the words exchanged in all but the first."""
+    r = random.Random(seed)
+    words = ["".join(r.choices("abcdefghij", k=r.randint(3, 8))) for _ in range(3000)]
+    first = [r.choices(words, k=r.randint(60, 300)) for _ in range(texts)]
+    return [" ".join(t if not i else [f"new{r.random()}" if r.random() < share else w for w in t]) for t in first for i in range(n)]
+
+
+def jaccard(a, b):
+    a, b = copies.shingles(a), copies.shingles(b)
+    both = len(np.intersect1d(a, b))
+    return both / (len(a) + len(b) - both)
+
+
+def test_sketches_estimate_similarity():
+    texts = edited(2, 200, 0.02, 3)
+    off = []
+    for a, b in zip(texts[::2], texts[1::2]):
+        x, y = (np.frombuffer(copies.sketch(copies.shingles(t)), np.uint8) for t in (a, b))
+        off.append(1 - 2 * np.bitwise_count(x ^ y).sum() / copies.SKETCH - jaccard(a, b))
+    assert abs(np.mean(off)) < 0.01 and np.std(off) < 0.03
+
+
+@pytest.mark.parametrize("large", [8, 4096])
+def test_one_copy_stays_as_by_brute_force(spark, monkeypatch, large):
+    """Sets of texts like one and not like each other; what the index must find is exact within its reach."""
+    monkeypatch.setattr(simhash, "LARGE", large)
+    texts = edited(6, 60, 0.015, 5)
+    values = np.array([simhash.fingerprint(t, copies.SHINGLE) for t in texts], np.uint64)
+    root = list(range(len(texts)))
+
+    def find(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    for i in range(len(texts)):
+        for j in range(i // 6 * 6, i):
+            if np.bitwise_count(values[i] ^ values[j]) <= copies.BITS and jaccard(texts[i], texts[j]) >= copies.SIMILARITY:
+                a, b = find(i), find(j)
+                root[max(a, b)] = min(a, b)
+    want = {i for i in range(len(texts)) if root[i] == i}
+    kept = {r.doc_id for r in copies.keep_one(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()}
+    assert want <= kept and len(kept - want) <= 0.02 * (len(texts) - len(want))
+
+
+def test_texts_below_the_similarity_stay(spark):
+    """Every twentieth word exchanged, so that most pairs share less than 0.8 of their shingles."""
+    texts = edited(2, 100, 0.05, 6)
+    kept = {r.doc_id for r in copies.keep_one(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()}
+    assert all(i in kept or jaccard(texts[i - 1], texts[i]) >= copies.SIMILARITY for i in range(200))
 
 
 # --- benchmark items

@@ -1,0 +1,208 @@
+"""One document of each set of near copies, by SimHash and then by the exact similarity of shingles.
+
+The Gray-order index gives texts whose fingerprints are close.  Each text also carries a sketch, one bit
+from each of ``SKETCH`` min-wise hashes of its shingles, from which a task estimates similarity; only
+texts that may be similar and are not joined yet become a link.  So a set of n near copies gives about n
+links a group, never all pairs, and those are then compared exactly, shingle by shingle.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+import xxhash
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from venuekit.llm import simhash
+from venuekit.llm.cluster import fresh, ship
+from venuekit.llm.decontaminate import gram_hashes
+from venuekit.llm.flat import mix
+from venuekit.sources.scratch import materialise
+
+#: Words of a shingle, and least share of two texts' shingles that both have.
+WORDS, SIMILARITY = 5, 0.8
+#: Words of a shingle of the fingerprint, and places in which fingerprints of near copies may differ.  A changed word
+#: moves five shingles of five words but two of two, so that fingerprints of copies stay within reach of the index.
+SHINGLE, BITS = 2, 8
+#: Bits of a sketch, a multiple of 64.
+SKETCH = 512
+#: How far below ``SIMILARITY`` an estimate may lie for a link to be compared exactly: about three standard deviations.
+MARGIN = 0.08
+#: Steps from sure links to unsure ones in which large groups are gone through.
+STEPS = 4
+SEED = 11
+#: Shingles that are hashed by all min-wise hashes at once.
+BATCH = 1 << 12
+_FACTORS = np.random.default_rng(SEED).integers(0, 1 << 63, SKETCH, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+
+
+def shingles(text: str | None, words: int = WORDS) -> np.ndarray:
+    """Hashes of the different shingles; fewer words than a shingle has are one shingle.  Words as in ``simhash``."""
+    own = (text or "").encode("utf-8", "surrogatepass").lower().split()
+    hashes = np.fromiter(map(xxhash.xxh64_intdigest, own), np.uint64, len(own))
+    return np.unique(gram_hashes(hashes, min(words, len(own)))) if len(own) else hashes
+
+
+def sketch(own: np.ndarray) -> bytes:
+    """One bit from each least hash; two sketches agree in a share of (1 + similarity) / 2 of their bits, about."""
+    least = np.full(SKETCH, ~np.uint64(0))
+    for at in range(0, len(own), BATCH):
+        np.minimum(least, (own[at : at + BATCH, None] * _FACTORS).min(axis=0), out=least)
+    return np.packbits((mix(least) & np.uint64(1)).astype(bool)).tobytes()
+
+
+def _differing(similarity: float) -> int:
+    """Bits in which sketches of texts of this similarity differ, about."""
+    return int(SKETCH * (1 - similarity) / 2)
+
+
+def _nodes(words: int):
+    """Fingerprint, and a node's name: its eight bytes and the sketch."""
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts = [t.as_py() for t in batch.column(1)]
+            values = np.array([simhash.fingerprint(t, SHINGLE) for t in texts], np.uint64)
+            names = [v.tobytes() + sketch(shingles(t, words)) for v, t in zip(values, texts)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(values.view(np.int64)), pa.array(names, pa.binary())], ["row", "value", "node"])
+
+    return work
+
+
+class _Forest:
+    """Links that join members to trees; a link within a tree is left out."""
+
+    def __init__(self, n: int):
+        self.label, self.links = np.arange(n), []
+
+    def add(self, x: np.ndarray, y: np.ndarray) -> None:
+        label = self.label
+        while True:
+            open_ = label[x] != label[y]
+            x, y = x[open_], y[open_]
+            if not len(x):
+                return
+            low, high = np.minimum(label[x], label[y]), np.maximum(label[x], label[y])
+            high, at = np.unique(high, return_index=True)
+            label[high] = low[at]
+            self.links.append((x[at], y[at]))
+            while (label[label] != label).any():
+                label[:] = label[label]
+
+
+def _apart(sketches: np.ndarray, x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    return np.bitwise_count(sketches[x] ^ sketches[y]).sum(axis=1, dtype=np.int16)
+
+
+def group_links(values: np.ndarray, sketches: np.ndarray, bits: int, similarity: float) -> tuple[np.ndarray, np.ndarray]:
+    """Links within one group, as places of its members: trees of the likeliest links."""
+    index = simhash.GrayIndex(values)
+    sketches = sketches[index.order]
+    forest = _Forest(len(values))
+    most = _differing(similarity - MARGIN)
+    if len(values) > simhash.LARGE:
+        for step in np.linspace(0, most, STEPS + 1)[1:].astype(int):
+            _join_large(index.values, sketches, bits, step, forest)
+    else:
+        found = []
+        for x, y in index.pairs(bits):
+            apart = _apart(sketches, x, y)
+            near = apart <= most
+            found.append((x[near].astype(np.int32), y[near].astype(np.int32), apart[near]))
+        x, y, apart = (np.concatenate(c) for c in zip(*found)) if found else (np.zeros(0, int),) * 3
+        for step in np.unique(apart):
+            forest.add(x[apart == step], y[apart == step])
+    if not forest.links:
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    return tuple(index.order[np.concatenate(ends)] for ends in zip(*forest.links))
+
+
+def _join_large(values: np.ndarray, sketches: np.ndarray, bits: int, most: int, forest: _Forest) -> None:
+    """Links of sketches that differ in ``most`` bits, one member after the other; members that were reached leave the search."""
+    left = np.arange(len(values))
+    while len(left):
+        queue, left = [left[0]], left[1:]
+        while queue and len(left):
+            own = queue.pop()
+            near = np.bitwise_count(values[left] ^ values[own]) <= bits
+            some = np.flatnonzero(near)
+            near[some] = _apart(sketches, left[some], np.full(len(some), own)) <= most
+            reached = left[near]
+            forest.add(np.full(len(reached), own), reached)
+            queue += reached.tolist()
+            left = left[~near]
+
+
+def _links(bits: int, similarity: float):
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for group in simhash.groups(batches):
+            if len(group) < 2:
+                continue
+            rows = np.frombuffer(b"".join(group.to_pylist()), np.uint64).reshape(len(group), -1)
+            a, b = group_links(rows[:, 0].copy(), rows[:, 1:], bits, similarity)
+            if len(a):
+                yield pa.RecordBatch.from_arrays([group.take(pa.array(x)) for x in (a, b)], ["a", "b"])
+
+    return work
+
+
+def _sets(words: int):
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sets = [shingles(t.as_py(), words).view(np.int64) for t in batch.column(1)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sets, pa.list_(pa.int64()))], ["node", "shingles"])
+
+    return work
+
+
+def similar(links: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
+    """The links ``a``, ``b`` whose texts share ``similarity`` of their different shingles, or more."""
+    a = sets.select(F.col("node").alias("a"), F.col("shingles").alias("in_a"))
+    b = sets.select(F.col("node").alias("b"), F.col("shingles").alias("in_b"))
+    both = F.size(F.array_intersect("in_a", "in_b"))
+    compared = links.join(a, "a").join(b, "b").select("a", "b", both.alias("n"), (F.size("in_a") + F.size("in_b")).alias("sizes"))
+    # n / (sizes - n) >= similarity, with room for the rounding of the product
+    return compared.where(F.col("n") >= similarity * (F.col("sizes") - F.col("n")) - 1e-9).select("a", "b")
+
+
+def keep_one(
+    docs: DataFrame,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    words: int = WORDS,
+    similarity: float = SIMILARITY,
+    bits: int = BITS,
+) -> DataFrame:
+    """The row with the least id of each set of near copies, with all columns of the input.
+
+    Texts are linked if they share ``similarity`` of their shingles of ``words`` words, which is checked
+    exactly, and if their fingerprints differ in at most ``bits`` places, by which they are found; a
+    set is all that links reach.  Null and empty texts and texts of white space are copies of each
+    other.  Rows with a null id come last; among rows of equal id and text any one stays.
+    Texts of the same fingerprint and sketch count as copies without the exact check.
+    """
+    spark = docs.sparkSession
+    ship(spark)
+    key = fresh(docs, "row_key")
+    of_text = F.md5(F.coalesce(F.col(text_col), F.lit("")))
+    keyed = docs.withColumn(key, F.md5(F.concat_ws(" ", of_text, F.col(id_col).cast("string"))))
+    row = F.struct(F.col(id_col).isNull().alias("none"), F.col(id_col).alias("id"), F.col(key).alias("key"))
+    rows = keyed.select(row.alias("row"), F.col(text_col).alias("text"))
+    schema = T.StructType([rows.schema["row"], T.StructField("value", T.LongType()), T.StructField("node", T.BinaryType())])
+    each = rows.mapInArrow(_nodes(words), schema)
+    nodes = materialise(each.groupBy("node", "value").agg(F.min("row").alias("least")), "nodes")
+    dealt = simhash.deal_out(nodes.select("value", "node"), bits).select("depth", "path", "shared", "node")
+    links = materialise(dealt.mapInArrow(_links(bits, similarity), "a binary, b binary").distinct(), "near-links")
+    ends = links.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+    needed = nodes.join(ends, "node", "left_semi").select("node", F.col("least.key").alias(key))
+    texts = keyed.select(key, F.col(text_col).alias("__text")).join(needed, key).dropDuplicates([key]).select("node", "__text")
+    sets = materialise(texts.mapInArrow(_sets(words), "node binary, shingles array<long>"), "shingles")
+    found = simhash.components(spark, similar(links, sets, similarity))
+    rooted = nodes.join(found, "node", "left").select("least", F.coalesce("root", "node").alias("root"))
+    kept = rooted.groupBy("root").agg(F.min("least").alias("least")).select(F.col("least.key").alias(key))
+    # join and removal of repeats need the rows dealt out alike, so texts are shuffled once
+    return keyed.join(kept, key, "left_semi").dropDuplicates([key]).drop(key)

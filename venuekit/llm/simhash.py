@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from venuekit.llm.cluster import fresh, ship
+from venuekit.llm.cluster import ship
 from venuekit.sources.scratch import materialise
 
 SEED = 42
@@ -77,7 +77,8 @@ class GrayIndex:
     """Fingerprints in Gray order under levels of nodes; each node has the mask and pattern of the bits that its members share."""
 
     def __init__(self, values: np.ndarray):
-        self.values = values[np.argsort(gray_rank(values))]
+        self.order = np.argsort(gray_rank(values))
+        self.values = values[self.order]
         self.levels: list[tuple[np.ndarray, np.ndarray]] = []
         masks, patterns, size = np.full(len(values), ~np.uint64(0)), self.values, NODE
         while True:
@@ -167,49 +168,46 @@ def _signed(x: int) -> int:
 
 
 def _deal(rows: DataFrame, depth: int, masks: list[int], bits: int) -> DataFrame:
-    """Each value under each block of the bits that its path has left."""
+    """Each row under each block of the bits that its path has left."""
     number = F.explode(F.sequence(F.col("path") * (bits + 1), F.col("path") * (bits + 1) + bits)).alias("path")
-    dealt = rows.select("value", number)
+    dealt = rows.select(*(c for c in rows.columns if c != "path"), number)
     table = F.lit([_signed(m) for m in masks])
-    return dealt.select(
-        F.lit(depth).alias("depth"), "path", F.col("value").bitwiseAND(F.get(table, F.col("path"))).alias("shared"), "value"
-    )
+    return dealt.select(F.lit(depth).alias("depth"), F.col("value").bitwiseAND(F.get(table, F.col("path"))).alias("shared"), *dealt.columns)
+
+
+def groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Array]:
+    """The fourth column of each group; groups, named by the first three, come sorted and may span batches."""
+    name, parts = None, []
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        depth, path, shared = (batch.column(i).to_numpy() for i in range(3))
+        change = (np.diff(depth) != 0) | (np.diff(path) != 0) | (np.diff(shared) != 0)
+        cuts = [0, *(np.flatnonzero(change) + 1).tolist(), batch.num_rows]
+        for s, e in zip(cuts[:-1], cuts[1:]):
+            key = int(depth[s]), int(path[s]), int(shared[s])
+            if key != name and parts:
+                yield pa.concat_arrays(parts)
+                parts = []
+            name = key
+            parts.append(batch.column(3).slice(s, e - s))
+    if parts:
+        yield pa.concat_arrays(parts)
 
 
 def _stars(bits: int):
-    """Links of each member of a group to the least member of its set; groups come sorted."""
-
-    def group(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        index = GrayIndex(values)
-        root = index.roots(bits)
-        other = np.flatnonzero(root != np.arange(len(root)))
-        return index.values[other].view(np.int64), index.values[root[other]].view(np.int64)
+    """Links of each member of a group to the least member of its set."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        name, parts = None, []
-
-        def done():
-            values = np.concatenate(parts)
-            if len(values) > 1:
-                a, b = group(values)
-                if len(a):
-                    yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], ["a", "b"])
-
-        for batch in batches:
-            if not batch.num_rows:
+        for group in groups(batches):
+            if len(group) < 2:
                 continue
-            depth, path, shared, value = (batch.column(i).to_numpy() for i in range(4))
-            change = (np.diff(depth) != 0) | (np.diff(path) != 0) | (np.diff(shared) != 0)
-            cuts = [0, *(np.flatnonzero(change) + 1).tolist(), len(value)]
-            for s, e in zip(cuts[:-1], cuts[1:]):
-                key = int(depth[s]), int(path[s]), int(shared[s])
-                if key != name and parts:
-                    yield from done()
-                    parts = []
-                name = key
-                parts.append(value[s:e].view(np.uint64))
-        if parts:
-            yield from done()
+            index = GrayIndex(group.to_numpy().view(np.uint64))
+            root = index.roots(bits)
+            other = np.flatnonzero(root != np.arange(len(root)))
+            if len(other):
+                ends = (pa.array(index.values[x].view(np.int64)) for x in (other, root[other]))
+                yield pa.RecordBatch.from_arrays([*ends], ["a", "b"])
 
     return work
 
@@ -219,8 +217,14 @@ def links(values: DataFrame, bits: int = BITS) -> DataFrame:
 
     Every value that is linked at all reaches all of its kin over these links.
     """
+    dealt = deal_out(values.select("value"), bits).select("depth", "path", "shared", "value")
+    return dealt.mapInArrow(_stars(bits), "a long, b long").distinct()
+
+
+def deal_out(rows: DataFrame, bits: int) -> DataFrame:
+    """Each row of ``rows`` in all groups ``depth``, ``path``, ``shared`` of its ``value``; groups are whole and come sorted."""
     masks = _masks(bits)
-    rest = values.select("value", F.lit(0).alias("path"))
+    rest = rows.withColumn("path", F.lit(0))
     ready = None
     for depth in range(DEPTH):
         dealt = _deal(rest, depth, masks[depth], bits)
@@ -228,13 +232,12 @@ def links(values: DataFrame, bits: int = BITS) -> DataFrame:
         last = depth == DEPTH - 1
         large = large if last else materialise(large, "large-groups")
         small = dealt if last or large.isEmpty() else dealt.join(large, ["path", "shared"], "left_anti")
-        part = small.select("depth", "path", "shared", "value")
+        part = small.select("depth", "path", "shared", *rows.columns)
         ready = part if ready is None else ready.unionAll(part)
         if last or large.isEmpty():
             break
-        rest = dealt.join(large, ["path", "shared"], "left_semi").select("value", "path")
-    sorted_ = ready.repartition("depth", "path", "shared").sortWithinPartitions("depth", "path", "shared")
-    return sorted_.mapInArrow(_stars(bits), "a long, b long").distinct()
+        rest = dealt.join(large, ["path", "shared"], "left_semi").select(*rows.columns, "path")
+    return ready.repartition("depth", "path", "shared").sortWithinPartitions("depth", "path", "shared")
 
 
 def components(spark: SparkSession, edges: DataFrame) -> DataFrame:
@@ -282,18 +285,3 @@ def near_copies(
     return each.join(by_value, F.col("fingerprint") == F.col("value"), "left").select(
         F.col("id").alias(id_col), F.lower(F.lpad(F.hex("fingerprint"), 16, "0")).alias("fingerprint"), "component_id"
     )
-
-
-def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE, bits: int = BITS) -> DataFrame:
-    """The row with the least id of each set of near copies, with all columns of the input.
-
-    Rows with a null id come last; among rows of equal id and text any one stays.
-    """
-    key = fresh(docs, "row_key")
-    of_text = F.md5(F.coalesce(F.col(text_col), F.lit("")))
-    keyed = docs.withColumn(key, F.md5(F.concat_ws(" ", of_text, F.col(id_col).cast("string"))))
-    row = F.struct(F.col(id_col).isNull().alias("none"), F.col(id_col).alias("id"), F.col(key).alias("key"))
-    found = near_copies(keyed.select(row.alias("row"), F.col(text_col).alias("text")), "row", "text", shingle, bits)
-    kept = found.select(F.col("component_id.key").alias(key)).distinct()
-    # join and removal of repeats need the rows dealt out alike, so texts are shuffled once
-    return keyed.join(kept, key, "left_semi").dropDuplicates([key]).drop(key)
