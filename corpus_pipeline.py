@@ -21,8 +21,8 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the least id of each set of near copies, found by SimHash and compared exactly."""
-    return copies.keep_one(docs)
+    """The document with the least id of each set of near copies, compared exactly, however far apart their fingerprints lie."""
+    return copies.keep_one(docs, bits=None)
 
 
 def drop_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -159,6 +159,46 @@ def test_texts_below_the_similarity_stay(spark):
     assert all(i in kept or jaccard(texts[i - 1], texts[i]) >= copies.SIMILARITY for i in range(200))
 
 
+def brute_force(texts, bits=64):
+    """Least place of each set of texts that share 0.8 of their five-word shingles, by all pairs."""
+    sets = [copies.shingles(t) for t in texts]
+    values = np.array([simhash.fingerprint(t, copies.SHINGLE) for t in texts], np.uint64)
+    several, n = np.unique(np.concatenate(sets), return_counts=True)
+    several = several[n > 1]
+    has = np.array([np.isin(several, own) for own in sets], np.float32)
+    both, sizes = has @ has.T, np.array([len(own) for own in sets])
+    near = np.bitwise_count(values[:, None] ^ values) <= bits
+    near &= both >= copies.SIMILARITY * (sizes[:, None] + sizes - both) - 1e-4
+    left, least = set(range(len(texts))), set()
+    while left:
+        queue = [min(left)]
+        least.add(queue[0])
+        left.discard(queue[0])
+        while queue:
+            reached = left & set(np.flatnonzero(near[queue.pop()]).tolist())
+            left -= reached
+            queue += reached
+    return least
+
+
+def kept_of(spark, texts, **how):
+    return {r.doc_id for r in copies.keep_one(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), **how).collect()}
+
+
+def test_copies_with_distant_fingerprints_are_found(spark):
+    """Texts from ten words up with one word exchanged at an end, by similarity alone."""
+    r = random.Random(9)
+    words = ["".join(r.choices("abcdefghij", k=r.randint(3, 8))) for _ in range(3000)]
+    texts = []
+    for n in [*range(10, 60, 2)] * 4:
+        own = r.choices(words, k=n)
+        texts += [" ".join(own), " ".join(own[:-1] + ["exchanged"]), " ".join(["other"] + own)]
+    texts += edited(6, 60, 0.015, 5)
+    want = brute_force(texts)
+    assert len(brute_force(texts, copies.BITS) - want) > 10
+    assert kept_of(spark, texts, bits=None) == want
+
+
 # --- benchmark items
 def test_items_equal_brute_force(spark, small, documents):
     items = spark.read.parquet(f"{small}/benchmark.parquet")

@@ -1,19 +1,25 @@
-"""One document of each set of near copies, by SimHash and then by the exact similarity of shingles.
+"""One document of each set of near copies: all texts that share enough of their shingles, compared exactly.
 
 The Gray-order index gives texts whose fingerprints are close.  Each text also carries a sketch, one bit
 from each of ``SKETCH`` min-wise hashes of its shingles, from which a task estimates similarity; only
 texts that may be similar and are not joined yet become a link.  So a set of n near copies gives about n
 links a group, never all pairs, and those are then compared exactly, shingle by shingle.
+
+What the index does not find or a task has left out comes from a second source, which misses nothing: in any
+order of all shingles, texts that share ``similarity`` share one of the first few of each.  Texts that have
+such a shingle in common and are not in one set yet are compared exactly too.
 """
 
 from __future__ import annotations
 
+import hashlib
+import math
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -35,6 +41,11 @@ MARGIN = 0.08
 #: Steps from sure links to unsure ones in which large groups are gone through.
 STEPS = 4
 SEED = 11
+#: Texts, about, from which the order of shingles is learnt, and shingles that it places last at most.  The order
+#: decides how many pairs share a first shingle, not which similar pairs are found.
+SAMPLE, COMMON = 4000, 1 << 18
+#: Bits of the filter of first shingles that several texts have, a power of two.
+FILTER_BITS = 1 << 23
 #: Shingles that are hashed by all min-wise hashes at once.
 BATCH = 1 << 12
 _FACTORS = np.random.default_rng(SEED).integers(0, 1 << 63, SKETCH, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -61,14 +72,57 @@ def _differing(similarity: float) -> int:
 
 
 def _nodes(words: int):
-    """Fingerprint, and a node's name: its eight bytes and the sketch."""
+    """Fingerprint, a node's name (a hash of its shingles) and its member of the index: fingerprint, sketch and name."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = [t.as_py() for t in batch.column(1)]
             values = np.array([simhash.fingerprint(t, SHINGLE) for t in texts], np.uint64)
-            names = [v.tobytes() + sketch(shingles(t, words)) for v, t in zip(values, texts)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(values.view(np.int64)), pa.array(names, pa.binary())], ["row", "value", "node"])
+            sets = [shingles(t, words) for t in texts]
+            names = [_name(own) for own in sets]
+            members = [v.tobytes() + sketch(own) + name for v, own, name in zip(values, sets, names)]
+            arrays = [batch.column(0), pa.array(values.view(np.int64)), pa.array(names, pa.binary()), pa.array(members, pa.binary())]
+            yield pa.RecordBatch.from_arrays(arrays, ["row", "value", "node", "member"])
+
+    return work
+
+
+def _name(own: np.ndarray) -> bytes:
+    return hashlib.md5(own.tobytes()).digest()
+
+
+def first_shingles(own: np.ndarray, similarity: float, common: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """So many of the shingles, rare ones first, that a set sharing ``similarity`` of them has one among its own first."""
+    at = np.minimum(np.searchsorted(common, own), max(0, len(common) - 1))
+    often = np.where(common[at] == own, counts[at], 0) if len(common) else np.zeros(len(own), np.int64)
+    n = len(own) - math.ceil(similarity * len(own) - 1e-9) + 1
+    return own[np.lexsort((own, often))][:n]
+
+
+def _firsts(words: int, similarity: float, common: np.ndarray, counts: np.ndarray, packed: np.ndarray | None):
+    """First shingles of each text; with a filter, only those that it lets through, with node, size and place."""
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bits = None if packed is None else np.unpackbits(packed).astype(bool)
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            keys, names, sizes, places = [], [], [], []
+            for text in batch.column(0):
+                own = shingles(text.as_py(), words)
+                first = first_shingles(own, similarity, common, counts) if len(own) else own
+                if bits is not None:
+                    place = np.flatnonzero(bits[(first & np.uint64(FILTER_BITS - 1)).astype(np.int64)])
+                    first = first[place]
+                    places.append(place.astype(np.int32))
+                    names += [_name(own)] * len(first)
+                    sizes.append(np.full(len(first), len(own), np.int32))
+                keys.append(first.view(np.int64))
+            if bits is None:
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(keys))], ["key"])
+            elif names:
+                arrays = [pa.array(np.concatenate(keys)), pa.array(names, pa.binary()), pa.array(np.concatenate(sizes)), pa.array(np.concatenate(places))]
+                yield pa.RecordBatch.from_arrays(arrays, ["key", "node", "size", "place"])
 
     return work
 
@@ -143,9 +197,11 @@ def _links(bits: int, similarity: float):
             if len(group) < 2:
                 continue
             rows = np.frombuffer(b"".join(group.to_pylist()), np.uint64).reshape(len(group), -1)
-            a, b = group_links(rows[:, 0].copy(), rows[:, 1:], bits, similarity)
+            sketches = rows[:, 1 : 1 + SKETCH // 64]
+            a, b = group_links(rows[:, 0].copy(), sketches, bits, similarity)
             if len(a):
-                yield pa.RecordBatch.from_arrays([group.take(pa.array(x)) for x in (a, b)], ["a", "b"])
+                names = np.ascontiguousarray(rows[:, 1 + SKETCH // 64 :])
+                yield pa.RecordBatch.from_arrays([pa.array([n.tobytes() for n in names[x]], pa.binary()) for x in (a, b)], ["a", "b"])
 
     return work
 
@@ -160,13 +216,102 @@ def _sets(words: int):
 
 
 def similar(links: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
-    """The links ``a``, ``b`` whose texts share ``similarity`` of their different shingles, or more."""
+    """The links ``a``, ``b`` (other columns stay) whose texts share ``similarity`` of their different shingles, or more."""
     a = sets.select(F.col("node").alias("a"), F.col("shingles").alias("in_a"))
     b = sets.select(F.col("node").alias("b"), F.col("shingles").alias("in_b"))
     both = F.size(F.array_intersect("in_a", "in_b"))
-    compared = links.join(a, "a").join(b, "b").select("a", "b", both.alias("n"), (F.size("in_a") + F.size("in_b")).alias("sizes"))
+    compared = links.join(a, "a").join(b, "b").select(*links.columns, both.alias("n"), (F.size("in_a") + F.size("in_b")).alias("sizes"))
     # n / (sizes - n) >= similarity, with room for the rounding of the product
-    return compared.where(F.col("n") >= similarity * (F.col("sizes") - F.col("n")) - 1e-9).select("a", "b")
+    return compared.where(F.col("n") >= similarity * (F.col("sizes") - F.col("n")) - 1e-9).select(*links.columns)
+
+
+def _common(texts: DataFrame, words: int) -> tuple[np.ndarray, np.ndarray]:
+    """Shingles that several texts of a sample have, in order, and in how many; the driver gets ``COMMON`` at most."""
+    n = texts.count()
+    some = texts if n <= SAMPLE else texts.sample(SAMPLE / n, SEED)
+    none = np.zeros(0, np.uint64), np.zeros(0, np.int64)
+    # similarity 0: all shingles are first ones
+    counted = some.mapInArrow(_firsts(words, 0, *none, None), "key long").groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
+    found = counted.orderBy(F.desc("n"), "key").limit(COMMON).toArrow()
+    keys, counts = found.column("key").to_numpy().view(np.uint64), found.column("n").to_numpy()
+    order = np.argsort(keys)
+    return keys[order], counts[order]
+
+
+def _filter(keys: DataFrame) -> np.ndarray:
+    """A bit for each key, by its low bits; the driver gets ``FILTER_BITS`` numbers at most."""
+    slots = keys.select(F.col("key").bitwiseAND(F.lit(FILTER_BITS - 1)).cast("int").alias("slot")).distinct()
+    bits = np.zeros(FILTER_BITS, bool)
+    bits[slots.toArrow().column("slot").to_numpy()] = True
+    return np.packbits(bits)
+
+
+def _open(shared: DataFrame) -> DataFrame:
+    """Rows of the keys that texts of different sets have."""
+    keys = shared.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low < high").select("key")
+    return materialise(shared.join(keys, "key", "left_semi"), "open-keys")
+
+
+def _pairs(a: Column, b: Column, similarity: float, bits: int | None) -> list[Column]:
+    """What a pair that shares a key must meet to be similar: sets, sizes and, from the place of the key on, shingles left."""
+    both = similarity / (1 + similarity) * (a["size"] + b["size"]) - 1e-6
+    left = F.least(a["size"] - a["place"], b["size"] - b["place"])
+    # a shared shingle before this one would be a key of the pair too, so each pair is found by its first
+    rules = [a["root"] != b["root"], F.least(a["size"], b["size"]) >= similarity * F.greatest(a["size"], b["size"]) - 1e-6, left >= both]
+    return rules if bits is None else [*rules, F.bit_count(a["value"].bitwiseXOR(b["value"])) <= bits]
+
+
+def _candidates(shared: DataFrame, similarity: float, bits: int | None, round_: int | None) -> DataFrame:
+    """Pairs of texts of different sets that share a key: neighbours in an order of the round, or all."""
+    row = F.struct("node", "size", "place", "value", "root")
+    if round_ is None:
+        one = shared.select("key", row.alias("x"))
+        two = shared.select("key", row.alias("y"))
+        met = one.join(two, "key").where(F.col("x.node") < F.col("y.node"))
+    else:
+        order = Window.partitionBy("key").orderBy(F.xxhash64("node", F.lit(round_)), "node")
+        met = shared.select(row.alias("x"), F.lag(row).over(order).alias("y")).where("y is not null")
+    for rule in _pairs(F.col("x"), F.col("y"), similarity, bits):
+        met = met.where(rule)
+    pair = F.when(F.col("x.node") < F.col("y.node"), F.struct("x", "y")).otherwise(F.struct(F.col("y").alias("x"), F.col("x").alias("y")))
+    ends = met.select(pair.alias("p")).select(*(F.col(f"p.{e}.{c}").alias(n) for e, c, n in (("x", "node", "a"), ("y", "node", "b"), ("x", "root", "root_a"), ("y", "root", "root_b"))))
+    return materialise(ends.distinct(), "candidates")
+
+
+def _renamed(rows: DataFrame, joined: DataFrame) -> DataFrame:
+    """``rows`` with the new names of sets that were joined."""
+    new = joined.select(F.col("node").alias("root"), F.col("root").alias("__new"))
+    return rows.join(new, "root", "left").withColumn("root", F.coalesce("__new", "root")).select(*rows.columns)
+
+
+def join_rest(rooted: DataFrame, texts: DataFrame, sets_of, words: int, similarity: float, bits: int | None) -> DataFrame:
+    """``node``, ``value`` and ``root``, the set, after all similar texts of different sets were joined.
+
+    Rounds compare neighbours of each key, about one pair a row, as long as they shorten what is open by
+    half; then all pairs that are still open are compared.
+    """
+    spark = rooted.sparkSession
+    common, counts = _common(texts, words)
+    keys = texts.mapInArrow(_firsts(words, similarity, common, counts, None), "key long")
+    keys = materialise(keys.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key"), "shared-keys")
+    if keys.isEmpty():
+        return rooted
+    rows = texts.mapInArrow(_firsts(words, similarity, common, counts, _filter(keys)), "key long, node binary, size int, place int")
+    shared = _open(materialise(rows.distinct().join(rooted, "node"), "first-shingles"))
+    n, round_ = shared.count(), 0
+    while n:
+        met = _candidates(shared, similarity, bits, round_)
+        if not met.isEmpty():
+            alike = materialise(similar(met, sets_of(met), similarity), "copies")
+            if not alike.isEmpty():
+                joined = simhash.components(spark, alike.select(F.col("root_a").alias("a"), F.col("root_b").alias("b")))
+                rooted = materialise(_renamed(rooted, joined), "sets")
+                shared = _open(_renamed(shared, joined))
+        if round_ is None:
+            return rooted
+        before, n = n, shared.count()
+        round_ = round_ + 1 if 2 * n <= before else None
+    return rooted
 
 
 def keep_one(
@@ -175,34 +320,40 @@ def keep_one(
     text_col: str = "text",
     words: int = WORDS,
     similarity: float = SIMILARITY,
-    bits: int = BITS,
+    bits: int | None = BITS,
 ) -> DataFrame:
     """The row with the least id of each set of near copies, with all columns of the input.
 
-    Texts are linked if they share ``similarity`` of their shingles of ``words`` words, which is checked
-    exactly, and if their fingerprints differ in at most ``bits`` places, by which they are found; a
-    set is all that links reach.  Null and empty texts and texts of white space are copies of each
-    other.  Rows with a null id come last; among rows of equal id and text any one stays.
-    Texts of the same fingerprint and sketch count as copies without the exact check.
+    Texts are linked if they share ``similarity`` of their shingles of ``words`` words and if their fingerprints
+    differ in at most ``bits`` places, or, with None, whatever their fingerprints are; both are checked
+    exactly, and a set is all that links reach.  Null and empty texts and texts of white space are
+    copies of each other, as are texts with the same set of shingles.  Rows with a null id come last;
+    among rows of equal id and text any one stays.
     """
     spark = docs.sparkSession
     ship(spark)
+    reach = BITS if bits is None else bits
     key = fresh(docs, "row_key")
     of_text = F.md5(F.coalesce(F.col(text_col), F.lit("")))
     keyed = docs.withColumn(key, F.md5(F.concat_ws(" ", of_text, F.col(id_col).cast("string"))))
     row = F.struct(F.col(id_col).isNull().alias("none"), F.col(id_col).alias("id"), F.col(key).alias("key"))
     rows = keyed.select(row.alias("row"), F.col(text_col).alias("text"))
-    schema = T.StructType([rows.schema["row"], T.StructField("value", T.LongType()), T.StructField("node", T.BinaryType())])
-    each = rows.mapInArrow(_nodes(words), schema)
-    nodes = materialise(each.groupBy("node", "value").agg(F.min("row").alias("least")), "nodes")
-    dealt = simhash.deal_out(nodes.select("value", "node"), bits).select("depth", "path", "shared", "node")
-    links = materialise(dealt.mapInArrow(_links(bits, similarity), "a binary, b binary").distinct(), "near-links")
-    ends = links.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-    needed = nodes.join(ends, "node", "left_semi").select("node", F.col("least.key").alias(key))
-    texts = keyed.select(key, F.col(text_col).alias("__text")).join(needed, key).dropDuplicates([key]).select("node", "__text")
-    sets = materialise(texts.mapInArrow(_sets(words), "node binary, shingles array<long>"), "shingles")
-    found = simhash.components(spark, similar(links, sets, similarity))
-    rooted = nodes.join(found, "node", "left").select("least", F.coalesce("root", "node").alias("root"))
-    kept = rooted.groupBy("root").agg(F.min("least").alias("least")).select(F.col("least.key").alias(key))
+    fields = [rows.schema["row"], T.StructField("value", T.LongType()), T.StructField("node", T.BinaryType()), T.StructField("member", T.BinaryType())]
+    each = rows.mapInArrow(_nodes(words), T.StructType(fields))
+    grouped = each.groupBy("node").agg(F.min("row").alias("least"), F.min(F.struct("value", "member")).alias("first"))
+    nodes = materialise(grouped.select("node", "least", "first.*"), "nodes")
+
+    def sets_of(links: DataFrame) -> DataFrame:
+        ends = links.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+        needed = nodes.join(ends, "node", "left_semi").select("node", F.col("least.key").alias(key))
+        texts = keyed.select(key, F.col(text_col).alias("__text")).join(needed, key).dropDuplicates([key]).select("node", "__text")
+        return materialise(texts.mapInArrow(_sets(words), "node binary, shingles array<long>"), "shingles")
+
+    dealt = simhash.deal_out(nodes.select("value", "member"), reach).select("depth", "path", "shared", "member")
+    links = materialise(dealt.mapInArrow(_links(reach, similarity), "a binary, b binary").distinct(), "near-links")
+    found = simhash.components(spark, similar(links, sets_of(links), similarity))
+    rooted = materialise(nodes.join(found, "node", "left").select("node", "value", F.coalesce("root", "node").alias("root")), "sets")
+    rooted = join_rest(rooted, keyed.select(F.col(text_col).alias("text")), sets_of, words, similarity, bits)
+    kept = nodes.join(rooted, "node").groupBy("root").agg(F.min("least").alias("least")).select(F.col("least.key").alias(key))
     # join and removal of repeats need the rows dealt out alike, so texts are shuffled once
     return keyed.join(kept, key, "left_semi").dropDuplicates([key]).drop(key)
