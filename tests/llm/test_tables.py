@@ -199,6 +199,38 @@ def test_copies_with_distant_fingerprints_are_found(spark):
     assert kept_of(spark, texts, bits=None) == want
 
 
+@pytest.mark.parametrize("how", [{}, {"bits": None}])
+def test_chains_in_one_family_equal_brute_force(spark, how):
+    """700 edits of one text near 0.8, where the likeliest links of a task often fail the exact comparison."""
+    texts = edited(700, 1, 0.018, 2)
+    want = brute_force(texts, how.get("bits", copies.BITS) or 64)
+    assert 1 < len(want) < 400 and kept_of(spark, texts, **how) == want
+
+
+def test_large_families_equal_brute_force(spark, monkeypatch):
+    """3,000 edits of one text near 0.8, gone through as a large group."""
+    monkeypatch.setattr(simhash, "LARGE", 50)
+    texts = edited(3000, 1, 0.02, 4)
+    assert kept_of(spark, texts, bits=None) == brute_force(texts)
+
+
+def test_the_index_gets_one_member_for_each_fingerprint(spark, monkeypatch):
+    """However many different texts have the same fingerprint."""
+    r = random.Random(4)
+    own = [f"word{r.random()}" for _ in range(600)]
+    texts = [" ".join(own[:i] + [f"new{i}"] + own[i + 1 :]) for i in range(0, 600, 3)]
+    values = {simhash.fingerprint(t, copies.SHINGLE) for t in texts}
+    dealt, deal_out = [], simhash.deal_out
+
+    def counted(rows, bits):
+        dealt.append(rows.count())
+        return deal_out(rows, bits)
+
+    monkeypatch.setattr(simhash, "deal_out", counted)
+    assert kept_of(spark, texts, bits=None) == {0}
+    assert dealt == [len(values)] and len(values) < len(texts)
+
+
 # --- benchmark items
 def test_items_equal_brute_force(spark, small, documents):
     items = spark.read.parquet(f"{small}/benchmark.parquet")

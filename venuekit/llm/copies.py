@@ -349,8 +349,12 @@ def keep_one(
         texts = keyed.select(key, F.col(text_col).alias("__text")).join(needed, key).dropDuplicates([key]).select("node", "__text")
         return materialise(texts.mapInArrow(_sets(words), "node binary, shingles array<long>"), "shingles")
 
-    dealt = simhash.deal_out(nodes.select("value", "member"), reach).select("depth", "path", "shared", "member")
-    links = materialise(dealt.mapInArrow(_links(reach, similarity), "a binary, b binary").distinct(), "near-links")
+    # one member for each fingerprint goes to the index, so that no group grows with the copies
+    firsts = materialise(nodes.groupBy("value").agg(F.min("member").alias("member")), "fingerprints")
+    dealt = simhash.deal_out(firsts, reach).select("depth", "path", "shared", "member")
+    first = firsts.select("value", F.expr(f"substring(member, {9 + SKETCH // 8})").alias("b"))
+    alike = nodes.select("value", F.col("node").alias("a")).join(first, "value").where("a <> b").select("a", "b")
+    links = materialise(dealt.mapInArrow(_links(reach, similarity), "a binary, b binary").unionAll(alike).distinct(), "near-links")
     found = simhash.components(spark, similar(links, sets_of(links), similarity))
     rooted = materialise(nodes.join(found, "node", "left").select("node", "value", F.coalesce("root", "node").alias("root")), "sets")
     rooted = join_rest(rooted, keyed.select(F.col(text_col).alias("text")), sets_of, words, similarity, bits)
