@@ -46,6 +46,8 @@ TOPIC_WORDS = "Topic_{cohort}_rating_topic"
 TOPIC_ROWS = "Topic_{cohort}_topic_exploded"
 MODEL = "TrainedModel"
 RECOMMENDATIONS = "TestModel"
+LEFT_OUT = "TrainingLeftOut"
+UNSCORED = "Unscored"
 
 Job = Callable[[SparkSession, argparse.Namespace], None]
 
@@ -180,10 +182,13 @@ def train(spark: SparkSession, a: argparse.Namespace) -> None:
     )
     trained = recommend.train(features, a.seed)
     recommend.save_model(trained.model, out_path(a.output, MODEL))
+    write_csv(trained.left_out, out_path(a.output, LEFT_OUT))
     trained.metrics.show()
 
 
 def recommendations(spark: SparkSession, a: argparse.Namespace) -> None:
+    missing = recommend.unscored(read_parquet(spark, a.user), read_csv(spark, a.sentiment), a.panel)
+    write_csv(missing, out_path(a.output, UNSCORED))
     best = recommend.recommend(
         recommend.load_model(a.model),
         read_parquet(spark, a.user),

@@ -633,7 +633,8 @@ def recommender_features(i: Inputs) -> DataFrame:
 def gbt_recommend(i: Inputs) -> DataFrame:
     reviews, users, places = i.review(), i.user(), i.sentiment()
     trained = recommend.train(recommend.training_features(reviews, users, places))
-    return recommend.recommend(trained.model, users, reviews, places, as_of=AS_OF)
+    lists = recommend.recommend(trained.model, users, reviews, places, as_of=AS_OF)
+    return lists.unionByName(recommend.unscored(users, places), allowMissingColumns=True)
 
 
 @query
