@@ -10,9 +10,12 @@ from pyspark.sql import functions as F
 
 from venuekit.llm import (
     decontaminate,
+    fertility,
     langid,
+    negatives,
     neighbours,
     pseudonyms,
+    resample,
     shards,
     simhash,
     token_counts,
@@ -23,6 +26,8 @@ from venuekit.llm import (
 
 BYTE_BPE = "byte_bpe_50k.json"
 WORD_BPE = "word_bpe_49k.json"
+#: Vocabularies whose fertility is measured.
+MEASURED = ("byte_bpe_50k.tiktoken", "piece_bpe_32k.model")
 SHARDS = 8
 #: Tokens over which a text is marked.
 LIMIT = 512
@@ -107,6 +112,22 @@ def op10_pseudonyms(spark: SparkSession, folder: str) -> DataFrame:
     return pseudonyms.replace_personal(docs, KEY).withColumn("n_replaced", F.size("spans"))
 
 
+def op11_batch_resampling(spark: SparkSession, folder: str) -> DataFrame:
+    return resample.resample(table(spark, folder, "documents"), table(spark, folder, "benchmark")).drop("n_words")
+
+
+def op12_slot_negatives(spark: SparkSession, folder: str) -> DataFrame:
+    """Every seventh label is a wrong one, and every hundredth row an anchor."""
+    vec = table(spark, folder, "embeddings").select("vec_id", "label", "embedding")
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return negatives.hard_negatives(vec.withColumn("label", moved), F.col("vec_id") % 100 == 0)
+
+
+def op13_token_fertility(spark: SparkSession, folder: str) -> DataFrame:
+    paths = [public_tokenizers.path(name) for name in MEASURED]
+    return fertility.judge(table(spark, folder, "documents"), paths)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -120,6 +141,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_gray_simhash,
         op9_word_table,
         op10_pseudonyms,
+        op11_batch_resampling,
+        op12_slot_negatives,
+        op13_token_fertility,
     )
 }
 
@@ -140,5 +164,25 @@ fits as (
   join rules on (host = rule_host or ends_with(host, '.' || rule_host)) and starts_with(path, rule_path))
 select page_id, p.host, p.path, rule, coalesce(rule_verdict, 'allow') as verdict
 from parts p left join fits f on p.host = f.host and p.path = f.path and place = 1
-"""
+""",
+    "op12_slot_negatives": """
+with usable as (
+  select vec_id as id, case when vec_id % 7 = 0 then (label + 1) % 10 else label end as label,
+    list_transform(embedding, lambda x: floor(256 * x::double)) as v
+  from embeddings
+  where label is not null and embedding is not null
+    and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0),
+scores as (
+  select a.id as anchor_id, r.id, a.label = r.label as same, list_inner_product(a.v, r.v)::bigint as score
+  from usable a join usable r on a.id <> r.id and a.id % 100 = 0),
+positives as (
+  select anchor_id, id as positive_id, score as positive_score from scores where same
+  qualify row_number() over (partition by anchor_id order by score desc, id) <= 5)
+select anchor_id, positive_id,
+  row_number() over (partition by anchor_id, positive_id order by score desc, id)::int as rank,
+  id as negative_id, positive_score, score as negative_score
+from positives join scores using (anchor_id)
+where not same and 30 * positive_score <= 100 * score and 100 * score <= 90 * positive_score
+qualify row_number() over (partition by anchor_id, positive_id order by score desc, id) <= 10
+""",
 }
