@@ -1,12 +1,14 @@
 import math
+import random
 import re
+import string
 
 import pytest
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from venuekit.plans import sentiment, topics
-from workload.inputs import Inputs
+from workload.inputs import REMARKS, Inputs
 
 RULES = sentiment.Rules()
 
@@ -16,19 +18,38 @@ def by_hand(text, lexicon, rules=RULES):
     if text is None:
         return None, None, None, None
     text = "".join(c for c in text.lower() if 0 < ord(c) < 127)
-    words = re.findall(sentiment.WORD, text, re.ASCII)
+    words = []
+    for token in re.split("[ \t\n\x0b\f\r]+", text):
+        if len(token) > 1:
+            bare = token.strip(string.punctuation)
+            words.append(token if token in lexicon or len(bare) < 2 else bare)
+    at = lambda k: words[k] if 0 <= k < len(words) else None
     total = up = down = flat = 0.0
     for n, word in enumerate(words):
         value = lexicon.get(word, 0.0)
-        for back, decay in ((1, 1.0), (2, 0.95), (3, 0.9)):
-            if n - back < 0 or not value:
-                continue
-            before, sign = words[n - back], math.copysign(1, value)
-            if before in rules.stronger:
-                value += sign * 0.293 * decay
-            if before in rules.weaker:
-                value -= sign * 0.293 * decay
-            if before in rules.negations or before.endswith("n't"):
+        if word in rules.stronger or word in rules.weaker or (word, at(n + 1)) == ("kind", "of"):
+            value = 0.0
+        elif word in lexicon:
+            for back, decay in ((1, 1.0), (2, 0.95), (3, 0.9)):
+                before = at(n - back)
+                if before is None or before in lexicon:
+                    continue
+                step = 0.293 * decay * (-1 if value < 0 else 1)
+                value += step * ((before in rules.stronger) - (before in rules.weaker))
+                raised = [at(n - k) in ("so", "this") for k in (1, 2)]
+                if back == 2 and before == "never" and raised[0]:
+                    value *= 1.5
+                elif back == 3 and (before == "never" and raised[1] or raised[0]):
+                    value *= 1.25
+                elif before in rules.negations or "n't" in before:
+                    value *= -0.74
+                if back == 3:
+                    runs = [words[n - 2 + k : n + 1 + k] for k in (2, 0, -1)] + [words[n - 1 + k : n + 1 + k] for k in (1, 0, -1, -2)]
+                    found = [rules.idioms[p] for p in map(" ".join, runs) if p in rules.idioms]
+                    value = found[0] if found else value
+                    if {" ".join(words[n - 2 : n]), " ".join(words[n - 3 : n - 1])} & set(rules.weaker_phrases):
+                        value -= 0.293
+            if at(n - 1) == "least" and "least" not in lexicon and at(n - 2) not in ("at", "very"):
                 value *= -0.74
         if "but" in words:
             value *= 0.5 if n < words.index("but") else 1.5 if n > words.index("but") else 1.0
@@ -45,7 +66,7 @@ def by_hand(text, lexicon, rules=RULES):
     return down / whole, flat / whole, up / whole, total / math.sqrt(total * total + 15)
 
 
-LEXICON = {"good": 1.9, "bad": -2.5, "great": 3.1, "slow": -1.2}
+LEXICON = {"good": 1.9, "bad": -2.5, "great": 3.1, "slow": -1.2, "no": -1.2, "kind": 2.4, "bomb": -2.2, "mustard": 0.5, ":)": 2.0, "i": 3.0, "so": 0.4, "(good": 9.0}
 TEXTS = [
     "The food was good",
     "The food was not good!",
@@ -58,6 +79,10 @@ TEXTS = [
     "",
     "!!!",
     None,
+    *REMARKS,
+    "good (good (good) :) :( (:) x",
+    "I x i y",
+    "\x0bgood\fgood\tgood\rgood",
 ]
 
 
@@ -74,6 +99,59 @@ def test_scores_equal_the_model_by_hand(spark, lexicon):
         assert got[n] == pytest.approx(by_hand(text, LEXICON), abs=6e-4), text
 
 
+def test_random_texts_equal_the_model_by_hand(spark, lexicon):
+    r = random.Random(5)
+    words = [*LEXICON, *RULES.negations[-8:], "isn't", "very", "hardly", "never", "so", "this", "least", "at", "kind of", "sort of", "the bomb", "cut the mustard",
+             "yeah right", "but", "plain", "words", "good!", "'bad'", "x"]
+    texts = [" ".join(r.choices(words, k=r.randint(0, 14))) for _ in range(400)]
+    reviews = spark.createDataFrame(list(enumerate(texts)), "ReviewID int, Review string")
+    got = {x.ReviewID: tuple(x)[1:] for x in sentiment.review_scores(reviews, lexicon).collect()}
+    for n, text in enumerate(texts):
+        assert got[n] == pytest.approx(by_hand(text, LEXICON), abs=6e-4), text
+
+
+CASES = [
+    ("it was good", 1.9),
+    ("it was very good", 1.9 + 0.293),
+    ("it was kinda good", 1.9 - 0.293),
+    ("it was very bad", -2.5 - 0.293),
+    ("it was not good", 1.9 * -0.74),
+    ("it wasn't bad", 2.5 * 0.74),
+    ("bad not bad good", -2.5 + 2.5 * 0.74 + 1.9 * -0.74),  # listed words before another are passed over
+    ("no good", -1.2 + 1.9),
+    ("never this good", 1.9 * 1.5),
+    ("never that this good", 1.9 * 1.25),
+    ("we call it least good", 1.9 * -0.74),
+    ("we call it at least good", 1.9),
+    ("it was sort of good", 1.9 - 0.293),
+    ("what kind of thing", 0.0),
+    ("this was really the bomb", 3.0),
+    ("they really cut the mustard", 2.0),
+    ("the bomb", -2.2),  # idioms are looked for from the fourth word on
+    ("x I i good", 1.9),  # words of one letter do not count
+    ("fine :) fine", 2.0),
+    ("fine (good fine", 9.0),  # listed as it stands
+    ("fine good) fine", 1.9),
+    ("good, but bad", 0.5 * 1.9 + 1.5 * -2.5),
+]
+
+
+def test_each_rule(spark, lexicon):
+    reviews = spark.createDataFrame([(n, text) for n, (text, _) in enumerate(CASES)], "ReviewID int, Review string")
+    got = {r.ReviewID: r.Over_all for r in sentiment.review_scores(reviews, lexicon).collect()}
+    for n, (text, want) in enumerate(CASES):
+        # the sum that the score was squashed from
+        assert got[n] * math.sqrt(15 / (1 - got[n] ** 2)) == pytest.approx(want, abs=0.01), text
+
+
+def test_texts_are_not_shuffled(spark, lexicon):
+    reviews = spark.createDataFrame([(1, "good")], "ReviewID int, Review string")
+    plan = sentiment.review_scores(reviews, lexicon)._jdf.queryExecution().optimizedPlan().toString()
+    windows = plan[: plan.index("Generate")]
+    assert "Window" in windows and "Review#" not in windows and "_words" not in windows and "_bare" not in windows
+    assert plan.count("Join LeftOuter") == 1
+
+
 def test_long_and_repeated_texts_are_scored_whole(spark, lexicon):
     long = " ".join(["word"] * 30000 + ["bad"])
     reviews = spark.createDataFrame([(1, long), (2, "good"), (3, "good")], "ReviewID int, Review string")
@@ -82,8 +160,10 @@ def test_long_and_repeated_texts_are_scored_whole(spark, lexicon):
 
 
 def test_a_megabyte_of_apostrophes_is_scored(spark, lexicon):
-    reviews = spark.createDataFrame([(1, "a'" * (1 << 19) + "a"), (2, "good")], "ReviewID int, Review string")
-    assert {r.ReviewID for r in sentiment.review_scores(reviews, lexicon).collect()} == {1, 2}
+    long = ["a'" * (1 << 19) + "a", "a" + "!" * (1 << 20) + "a", "'" * (1 << 20), "good " * (1 << 17) + "bad"]
+    reviews = spark.createDataFrame([*enumerate(long), (9, "good")], "ReviewID int, Review string")
+    got = {r.ReviewID: r.Over_all for r in sentiment.review_scores(reviews, lexicon).collect()}
+    assert set(got) == {0, 1, 2, 3, 9} and got[0] == got[1] == got[2] == 0 and got[3] == 1.0
 
 
 def test_a_token_listed_twice_counts_once(spark, lexicon, rows):

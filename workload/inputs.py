@@ -8,6 +8,24 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+#: Ends of reviews, dealt out by their ids: a case of each rule of the sentiment model.
+REMARKS = (
+    "The food was never so good!",
+    "The least good of them all, I say.",
+    "Simply put kind of good :) but not that great",
+    "Sure they cut the mustard, yeah right...",
+    "Seen at least good and sort of bad!!",
+    "It isn't no good, really very bad?",
+    "That was really the bomb (so \"great\") ??",
+    "'Kind' words? And this kind of great :( without good",
+    "x y z great I",
+    "Never was this good, hardly that bad ???",
+    "good but bad but great",
+    "very least good, so so bad!!!!!!",
+)
+#: Valences of words in the remarks.
+VALENCES = (("good", 1.9), ("bad", -2.5), ("great", 3.1), ("kind", 2.4), ("no", -1.2), ("bomb", -2.2), ("mustard", 0.5),
+            ("right", 1.0), (":)", 2.0), (":(", -1.9), ("so", 0.4), ("i", 3.0))
 
 
 class Inputs:
@@ -88,6 +106,11 @@ class Inputs:
             F.col("text").alias("Review"),
         )
 
+    def remarks(self) -> DataFrame:
+        """The same reviews, each with a remark at its end."""
+        ends = F.get(F.array(*map(F.lit, REMARKS)), (F.col("ReviewID") % len(REMARKS)).cast("int"))
+        return self.text().withColumn("Review", F.concat("Review", F.lit(" "), ends))
+
     def area(self) -> DataFrame:
         """Neighbourhood statistics, counted over the customers of each nation."""
         counts = self.table("customer").groupBy("c_nationkey").agg(
@@ -123,10 +146,11 @@ class Inputs:
         )
 
     def lexicon(self) -> DataFrame:
-        """Valences for frequent words of the documents."""
+        """Valences for frequent words of the documents and for those of the remarks."""
+        listed = ", ".join(f"('{token}', {value}D)" for token, value in VALENCES)
         return self.spark.sql(
-            """select * from values ('the', 1.5D), ('and', -1.0D), ('that', 2.0D), ('with', -2.5D),
-               ('les', 0.8D), ('und', -1.7D) as t(token, valence)"""
+            f"""select * from values ('the', 1.5D), ('and', -1.0D), ('that', 2.0D), ('with', -2.5D),
+                ('les', 0.8D), ('und', -1.7D), {listed} as t(token, valence)"""
         )
 
     def sentiment(self) -> DataFrame:

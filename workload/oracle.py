@@ -4,6 +4,45 @@ from __future__ import annotations
 
 import re
 
+from venuekit.plans.sentiment import Rules
+from workload.inputs import REMARKS, VALENCES
+
+
+def _quoted(text: str) -> str:
+    return "'" + text.replace("'", "''") + "'"
+
+
+def _listed(words) -> str:
+    return ", ".join(map(_quoted, words))
+
+
+_PUNCTUATION = _quoted("!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~")
+
+_RULES = Rules()
+_WEAKER = _listed(_RULES.weaker_phrases)
+
+
+def _step(back: int, decay: str, exception: str = "false", factor: float = 1.0) -> str:
+    """The effect of one of the words before on a valence, as plain SQL."""
+    b, k = f"b{back}", f"(0.293::double * {decay}::double)"
+    degree = f"case when {b} in ({_listed(_RULES.stronger)}) then {k} when {b} in ({_listed(_RULES.weaker)}) then -{k} else 0.0::double end"
+    negated = f"{b} in ({_listed(_RULES.negations)}) or {b} like '%n''t%'"
+    return f"""
+select * replace (case when v is null or {b} is null or not far{back} then v else
+  (v + case when v < 0 then -1 else 1 end * {degree})
+  * case when {exception} then {factor}::double when {negated} then -0.74::double else 1.0::double end end as v)
+from fx_v{back - 1}"""
+
+
+def _idiom(*words: str) -> str:
+    whens = " ".join(f"when {_quoted(phrase)} then {value}::double" for phrase, value in _RULES.idioms.items())
+    # || gives NULL where a word is missing
+    return f"case {" || ' ' || ".join(words)} {whens} end"
+
+
+_RUNS = (("word", "n1", "n2"), ("b2", "b1", "word"), ("b3", "b2", "b1"), ("word", "n1"), ("b1", "word"), ("b2", "b1"), ("b3", "b2"))
+_IDIOMS = ", ".join(_idiom(*run) for run in _RUNS)
+
 INPUTS = {
     "fx_business": """
 select s_suppkey as BusinessID, s_name as Name, n_name as City, r_name as State,
@@ -49,7 +88,13 @@ union all select s_suppkey, 'Ambience_casual', case when s_suppkey % 2 = 0 then
 from supplier""",
     "fx_lexicon": """
 select * from (values ('the', 1.5::double), ('and', -1.0), ('that', 2.0), ('with', -2.5),
-  ('les', 0.8), ('und', -1.7)) t(token, valence)""",
+  ('les', 0.8), ('und', -1.7), """
+    + ", ".join(f"('{token}', {value})" for token, value in VALENCES)
+    + ") t(token, valence)",
+    "fx_remarks": f"""
+select ReviewID, BusinessID, concat(Review, ' ', [{_listed(REMARKS)}][ReviewID % {len(REMARKS)} + 1]) as Review
+from fx_text where Review is not null
+union all select ReviewID, BusinessID, Review from fx_text where Review is null""",
     "fx_sentiment": """
 select r.BusinessID, Name, replace(PostalCode, ' ', '') as ZipCode, Latitude, Longitude,
   round(avg(case when ReviewStars <= 2 then 1.0::double else 0 end), 2) as avg_neg,
@@ -72,18 +117,33 @@ select ReviewID, unnest(regexp_extract_all(lower(Review), '\w+')) as term from f
 select ReviewID, term, count(*) as n from fx_words
 where term not in ('the', 'and', 'of', 'to', 'in', 'that') group by all""",
     "fx_ascii": r"""
-select *, regexp_replace(lower(Review), '[^\x01-\x7E]', '', 'g') as txt from fx_text""",
-    "fx_tokens": r"""
-select ReviewID, nth, token, lag(token, 1) over w as b1, lag(token, 2) over w as b2, lag(token, 3) over w as b3
-from (select ReviewID, unnest(words) as token, generate_subscripts(words, 1) as nth
-  from (select ReviewID, regexp_extract_all(txt, '\w+(?:''\w+)*') as words from fx_ascii))
+select *, regexp_replace(lower(Review), '[^\x01-\x7E]', '', 'g') as txt from fx_remarks""",
+    "fx_raw_words": r"""
+select ReviewID, unnest(words) as raw, generate_subscripts(words, 1) as nth
+from (select ReviewID, list_filter(regexp_split_to_array(txt, '[ \t\n\x0B\f\r]+'), lambda w: length(w) > 1) as words from fx_ascii)""",
+    "fx_tokens": f"""
+select *, lag(word, 1) over w as b1, lag(word, 2) over w as b2, lag(word, 3) over w as b3,
+  lead(word, 1) over w as n1, lead(word, 2) over w as n2
+from (select *, case when length(trim(raw, {_PUNCTUATION})) > 1 then trim(raw, {_PUNCTUATION}) else raw end as word from fx_raw_words)
 window w as (partition by ReviewID order by nth)""",
-    "fx_but": "select ReviewID, min(nth) as but_nth from fx_tokens where token = 'by' group by ReviewID",
-    "fx_v0": """
-select t.*, l.valence as v from fx_tokens t left join fx_lexicon l on t.token = l.token""",
-    "fx_v1": "select * replace (step(v, b1, 1.0) as v) from fx_v0",
-    "fx_v2": "select * replace (step(v, b2, 0.95) as v) from fx_v1",
-    "fx_v3": "select * replace (step(v, b3, 0.9) as v) from fx_v2",
+    "fx_but": "select ReviewID, min(nth) as but_nth from fx_tokens where word = 'but' group by ReviewID",
+    "fx_listed": """
+select t.*, coalesce(a.valence, b.valence) as valence
+from fx_tokens t left join fx_lexicon a on raw = a.token left join fx_lexicon b on word = b.token""",
+    "fx_v0": f"""
+select *, lag(valence, 1) over w is null as far1, lag(valence, 2) over w is null as far2, lag(valence, 3) over w is null as far3,
+  case when word in ({_listed([*_RULES.stronger, *_RULES.weaker])}) or (word = 'kind' and coalesce(n1, '') = 'of') then null else valence end as v
+from fx_listed window w as (partition by ReviewID order by nth)""",
+    "fx_v1": _step(1, "1.0"),
+    "fx_v2": _step(2, "0.95", "b2 = 'never' and b1 in ('so', 'this')", 1.5),
+    "fx_v3": _step(3, "0.9", "(b3 = 'never' and b2 in ('so', 'this')) or b1 in ('so', 'this')", 1.25),
+    "fx_v4": f"""
+select * replace (case when b3 is null or not far3 then v else
+  coalesce({_IDIOMS}, v) - case when concat(b2, ' ', b1) in ({_WEAKER}) or concat(b3, ' ', b2) in ({_WEAKER}) then 0.293::double else 0 end end as v)
+from fx_v3 where v is not null""",
+    "fx_v5": """
+select * replace (case when b1 = 'least' and far1 and coalesce(b2, '') not in ('at', 'very') then v * -0.74::double else v end as v)
+from fx_v4""",
     "fx_emphasis": """
 select ReviewID, BusinessID, Review,
   least(length(txt) - length(replace(txt, '!', '')), 4) * 0.292::double
@@ -95,9 +155,10 @@ select r.ReviewID, r.BusinessID, r.Review, e, coalesce(sum(x), 0.0) as s,
   coalesce(sum(case when x < 0 then 1 - x else 0.0::double end), 0.0) as down,
   count(*) filter (x = 0) as flat
 from fx_emphasis r left join (
-  select t.ReviewID, coalesce(v, 0.0::double) * case when but_nth is null or nth = but_nth then 1.0::double
-    when nth < but_nth then 0.5::double else 1.5::double end as x
-  from fx_v3 t left join fx_but b on t.ReviewID = b.ReviewID) x on r.ReviewID = x.ReviewID
+  select t.ReviewID, coalesce(v, 0.0::double) * case when but_nth is null or t.nth = but_nth then 1.0::double
+    when t.nth < but_nth then 0.5::double else 1.5::double end as x
+  from fx_tokens t left join fx_v5 f on t.ReviewID = f.ReviewID and t.nth = f.nth
+  left join fx_but b on t.ReviewID = b.ReviewID) x on r.ReviewID = x.ReviewID
 group by all""",
     "fx_scores": """
 select ReviewID, BusinessID, Review,
@@ -112,21 +173,6 @@ from (select *, up + down + flat as whole from (
 }
 
 
-def _step(match: re.Match[str]) -> str:
-    """One predecessor's effect on a valence, as plain SQL."""
-    v, b, decay = (part.strip() for part in match[1].split(","))
-    k = f"(0.293::double * {decay}::double)"
-    return (
-        f"case when {b} is null then {v} else ({v} + sign({v}) * case "
-        f"when {b} in ('of', 'la') then {k} when {b} in ('to', 'der') then -{k} else 0.0::double end) "
-        f"* case when {b} in ('in', 'de', 'not') or {b} like '%n''t' then -0.74::double else 1.0::double end end"
-    )
-
-
-for _name in ("fx_v1", "fx_v2", "fx_v3"):
-    INPUTS[_name] = re.sub(r"step\(([^)]*)\)", _step, INPUTS[_name])
-
-
 def _with_inputs(sql: str) -> str:
     """Put the inputs that a statement names, and those they name, in front of it."""
     needed: list[str] = []

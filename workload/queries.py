@@ -22,10 +22,6 @@ Query = Callable[[Inputs], DataFrame]
 QUERIES: dict[str, Query] = {}
 col = F.col
 
-# Rule words that occur in the documents, so that every rule has work to do.
-RULES = sentiment.Rules(
-    negations=("in", "de", "not"), stronger=("of", "la"), weaker=("to", "der"), contrast="by"
-)
 STOPWORDS = ("the", "and", "of", "to", "in", "that")
 CUISINES = ("Italian", "AsianFusion", "Chinese")
 VOCABULARY = ("gear", "rod", "bolt", "plate", "ring")
@@ -530,7 +526,7 @@ def remove_features(i: Inputs) -> DataFrame:
 
 @query
 def lexicon_sentiment(i: Inputs) -> DataFrame:
-    return sentiment.review_scores(i.text(), i.lexicon(), RULES)
+    return sentiment.review_scores(i.remarks(), i.lexicon())
 
 
 @query
@@ -864,14 +860,14 @@ def clean_directory(i: Inputs) -> DataFrame:
 
 @query
 def review_sentiment(i: Inputs) -> DataFrame:
-    scores = sentiment.city_scores(i.text(), i.business(), i.lexicon(), None, RULES)
-    found = sentiment.with_texts(scores, i.text(), i.business(), None)
+    scores = sentiment.city_scores(i.remarks(), i.business(), i.lexicon(), None)
+    found = sentiment.with_texts(scores, i.remarks(), i.business(), None)
     return found.withColumn("Review", F.md5("Review"))
 
 
 @query
 def business_sentiment(i: Inputs) -> DataFrame:
-    scores = sentiment.city_scores(i.text(), i.business(), i.lexicon(), None, RULES)
+    scores = sentiment.city_scores(i.remarks(), i.business(), i.lexicon(), None)
     return sentiment.business_means(scores, i.business(), None)
 
 
