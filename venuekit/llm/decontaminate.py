@@ -13,7 +13,6 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -28,8 +27,10 @@ EDITS = 0.2
 REPEATS, SAMPLED = 16, 2
 #: Ratio of the item lengths (in words) that share walks and a window size.
 RATIO = 1.25
-#: Bits of the filters of item grams and item keys, a power of two.
-FILTER_BITS = 1 << 22
+#: Slots of the filters of item grams and item keys: this many for each value, up to a bound, in powers of two.
+SLOTS_EACH, LEAST_SLOTS, MOST_SLOTS = 16, 1 << 16, 1 << 22
+#: Length classes that a slot tells apart; classes beyond share its bits.
+CLASS_BITS = 32
 SEED = 5
 
 
@@ -95,14 +96,27 @@ def walk_keys(words: np.ndarray, starts: np.ndarray, ends: np.ndarray, c: int) -
     return keys
 
 
+def _side_by_side(lists: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """The lists as rows filled up with zeros, and their lengths."""
+    sizes = np.array([len(x) for x in lists], np.int64)
+    out = np.zeros((len(lists), int(sizes.max(initial=0))), np.uint64)
+    out[np.arange(out.shape[1]) < sizes[:, None]] = np.concatenate(lists)
+    return out, sizes
+
+
+def words_shared(items: list[np.ndarray], regions: list[np.ndarray]) -> np.ndarray:
+    """Words of each item that its region has too; an item has more edits than words that it doesn't share."""
+    (a, sizes), (b, _) = _side_by_side(items), _side_by_side(regions)
+    shared = np.zeros(len(a), np.int64)
+    for i in range(a.shape[1]):
+        shared += (b == a[:, i : i + 1]).any(axis=1) & (i < sizes)
+    return shared
+
+
 def distances(items: list[np.ndarray], regions: list[np.ndarray]) -> np.ndarray:
     """Words to insert, leave out or exchange to turn each item into the beginning of its region that is nearest to it."""
-    rows, columns = max(map(len, items)), max(map(len, regions))
-    a = np.zeros((len(items), rows), np.uint64)
-    b = np.zeros((len(items), columns), np.uint64)
-    for k, (x, y) in enumerate(zip(items, regions)):
-        a[k, : len(x)], b[k, : len(y)] = x, y
-    sizes, widths = np.array([len(x) for x in items]), np.array([len(y) for y in regions])
+    (a, sizes), (b, widths) = _side_by_side(items), _side_by_side(regions)
+    rows, columns = a.shape[1], b.shape[1]
     across = np.arange(columns + 1)
     beyond = across[None, :] > widths[:, None]
     line = np.broadcast_to(across, (len(items), columns + 1)).copy()
@@ -134,59 +148,78 @@ def _read_items(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
-def _filter(rows: DataFrame, column: str) -> np.ndarray:
-    """A bit for each value, by its low bits; the driver gets ``FILTER_BITS`` numbers at most."""
-    slots = rows.select(F.explode(column).alias("v")).select(F.col("v").bitwiseAND(F.lit(FILTER_BITS - 1)).cast("int").alias("slot")).distinct()
-    bits = np.zeros(FILTER_BITS, bool)
-    bits[slots.toArrow().column("slot").to_numpy()] = True
-    return np.packbits(bits)
+def _filter(rows: DataFrame, column: str, classes: list[int]) -> np.ndarray:
+    """For each slot a bit for each class that has a value there, by the value's low bits.
 
-
-def _windows(grams: np.ndarray, keys: np.ndarray, classes: list[int]):
-    """Windows of documents that keep enough item grams and have the key of some item."""
+    The driver gets ``MOST_SLOTS`` numbers at most; with more values slots fill up, which only costs work.
+    """
+    size = F.size("words")
+    of = F.coalesce(*(F.when(size.between(*class_lengths(c)), F.lit(1 << (i % CLASS_BITS))) for i, c in enumerate(classes)), F.lit(0))
+    values = rows.select(of.cast("long").alias("of"), F.explode(column).alias("v"))
+    wanted = SLOTS_EACH * values.count()
+    slots = min(MOST_SLOTS, max(LEAST_SLOTS, 1 << wanted.bit_length()))
+    found = values.groupBy(F.col("v").bitwiseAND(F.lit(slots - 1)).cast("int").alias("slot")).agg(F.bit_or("of").alias("of")).toArrow()
+    bits = np.zeros(slots, np.uint32)
+    bits[found.column("slot").to_numpy()] = found.column("of").to_numpy().astype(np.uint32)
+    return bits
+
+
+def crowded(at: np.ndarray, least: int, region: int, text_of: np.ndarray, first: np.ndarray) -> np.ndarray:
+    """Places of a text from which the next ``region`` places hold at least ``least`` of the places ``at``."""
+    if len(at) < least:
+        return np.zeros(0, np.int64)
+    low, high = at[least - 1 :], at[: len(at) - least + 1]
+    begin = np.maximum(low - region + 1, first[text_of[high]])
+    fit = (text_of[low] == text_of[high]) & (begin <= high)
+    begin, end = begin[fit], high[fit] + 1
+    begin = np.maximum(begin, np.append(0, np.maximum.accumulate(end))[: len(end)])  # each place once
+    sizes = np.maximum(end - begin, 0)
+    return np.repeat(begin - (np.cumsum(sizes) - sizes), sizes) + np.arange(int(sizes.sum()))
+
+
+def _windows(grams, keys, classes: list[int]):
+    """Windows of documents that keep enough item grams and have the key of some item; ``grams`` and ``keys`` are broadcast filters."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        gram_bits, key_bits = np.unpackbits(grams).astype(bool), np.unpackbits(keys).astype(bool)
-        mask = np.uint64(FILTER_BITS - 1)
-        task, row = TaskContext.get().partitionId(), 0
+        gram_bits, key_bits = grams.value, keys.value
+        gram_mask, key_mask = np.uint64(len(gram_bits) - 1), np.uint64(len(key_bits) - 1)
         lengths = {c: range(class_lengths(c)[0], class_lengths(c)[1] + 1) for c in classes}
         sizes = sorted({gram_length(n) for own in lengths.values() for n in own})
+        longs = pa.list_(pa.int64())
         for batch in batches:
             texts = batch.column(1).to_pylist()
             for part in flat.pieces([t or "" for t in texts]):
                 words, first = symbols(texts[part])
                 hits = {}
                 for g in sizes:
-                    hit = np.zeros(len(words) + 1, np.int64)
-                    h = gram_hashes(words, g)
-                    hit[1 : len(h) + 1] = gram_bits[(h & mask).astype(np.int64)]
-                    hits[g] = np.cumsum(hit)
+                    of = gram_bits[(gram_hashes(words, g) & gram_mask).astype(np.int64)]
+                    at = np.flatnonzero(of)
+                    hits[g] = at, of[at]
                 text_of = np.repeat(np.arange(len(first) - 1), np.diff(first))
                 end_of = first[1:][text_of]
-                for c in classes:
-                    longest = lengths[c][-1]
+                for i, c in enumerate(classes):
+                    longest, bit = lengths[c][-1], np.uint32(1 << (i % CLASS_BITS))
                     region = longest + allowed(longest)
-                    start = np.arange(len(words))
-                    end = np.minimum(start + region, end_of)
-                    enough = np.zeros(len(words), bool)
+                    starts = []
                     for g in {gram_length(n) for n in lengths[c]}:
                         least = min(grams_left(n) for n in lengths[c] if gram_length(n) == g)
-                        enough |= hits[g][end] - hits[g][start] >= least
-                    start = np.flatnonzero(enough)
+                        at, of = hits[g]
+                        starts.append(crowded(at[(of & bit) != 0], least, region, text_of, first))
+                    start = np.unique(np.concatenate(starts))
+                    end = np.minimum(start + region, end_of[start])
                     for at in range(0, len(start), 1 << 14):
-                        own = start[at : at + (1 << 14)]
-                        found = walk_keys(words, own, end[own], c)
-                        likely = key_bits[(found & mask).astype(np.int64)]
+                        own, own_end = start[at : at + (1 << 14)], end[at : at + (1 << 14)]
+                        found = walk_keys(words, own, own_end, c)
+                        likely = (key_bits[(found & key_mask).astype(np.int64)] & bit) != 0
                         some = np.flatnonzero(likely.any(axis=1))
                         if not len(some):
                             continue
                         texts_hit = text_of[own[some]]
-                        longs = pa.list_(pa.int64())
                         yield pa.RecordBatch.from_arrays(
                             [
                                 batch.column(0).take(pa.array(texts_hit + part.start)),
                                 pa.array(own[some] - first[texts_hit], pa.int64()),
-                                pa.array([words[own[k] : end[own[k]]].view(np.int64) for k in some], longs),
+                                pa.array([words[own[k] : own_end[k]].view(np.int64) for k in some], longs),
                                 pa.array([np.unique(found[k][likely[k]]).view(np.int64) for k in some], longs),
                             ],
                             ["doc", "start", "region", "keys"],
@@ -199,10 +232,13 @@ def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for part in (batch.slice(i, 1024) for i in range(0, batch.num_rows, 1024)):
             lists = [[np.asarray(r, np.int64).view(np.uint64) for r in part.column(name).to_pylist()] for name in ("words", "region")]
-            near = distances(*lists)
-            keep = near <= np.array([allowed(len(x)) for x in lists[0]])
-            own = part.select(["region_key", "item"]).append_column("distance", pa.array(near, pa.int64()))
-            yield own.filter(pa.array(keep))
+            sizes, most = (np.array([f(len(x)) for x in lists[0]]) for f in (int, allowed))
+            may = np.flatnonzero(words_shared(*lists) >= sizes - most)
+            if not len(may):
+                continue
+            near = distances(*([rows[i] for i in may] for rows in lists))
+            own = part.select(["region_key", "item"]).take(pa.array(may)).append_column("distance", pa.array(near, pa.int64()))
+            yield own.filter(pa.array(near <= most[may]))
 
 
 def find_items(
@@ -230,7 +266,7 @@ def find_items(
     read = materialise(read.where((F.size("words") > 0) & F.col("item").isNotNull()), "items")
     counts = [r[0] for r in read.select(F.size("words")).distinct().collect()]
     classes = sorted({length_class(n) for n in counts})
-    work = _windows(_filter(read, "grams"), _filter(read, "keys"), classes)
+    work = _windows(*(spark.sparkContext.broadcast(_filter(read, name, classes)) for name in ("grams", "keys")), classes)
     schema = T.StructType(
         [T.StructField("doc", docs.schema[id_col].dataType), T.StructField("start", T.LongType()), T.StructField("region", longs), T.StructField("keys", longs)]
     )

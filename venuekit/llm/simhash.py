@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from venuekit.llm.cluster import ship
+from venuekit.llm.cluster import fresh, ship
 from venuekit.sources.scratch import materialise
 
 SEED = 42
@@ -285,3 +285,19 @@ def near_copies(
     return each.join(by_value, F.col("fingerprint") == F.col("value"), "left").select(
         F.col("id").alias(id_col), F.lower(F.lpad(F.hex("fingerprint"), 16, "0")).alias("fingerprint"), "component_id"
     )
+
+
+def keep_one(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE, bits: int = BITS
+) -> DataFrame:
+    """The row of ``docs`` with the least id of each set of near copies, with all columns.
+
+    Rows with a null id come after all others, rows of one id are told apart by their contents; of rows
+    that are equal in all columns one stays.  Texts without a word are near copies of each other.
+    """
+    key = fresh(docs, "copy_key")
+    # ids that share a text are compared as they are; the hash only orders rows of one id
+    keyed = docs.withColumn(key, F.struct(F.col(id_col).isNull().alias("last"), F.col(id_col).alias("id"), F.xxhash64(*docs.columns).alias("row")))
+    found = near_copies(keyed.select(key, text_col), key, text_col, shingle, bits)
+    kept = found.where(F.col(key) == F.col("component_id")).select(key).distinct()
+    return keyed.join(kept, key, "left_semi").dropDuplicates([key]).select(*docs.columns)
