@@ -2,16 +2,32 @@
 
 from __future__ import annotations
 
+import secrets
 import uuid
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from venuekit.llm import copies, decontaminate, pseudonyms, toxicity, word_table
-from venuekit.llm.queries import KEY, WORD_BPE, table
+from venuekit.llm import decontaminate, pseudonyms, simhash, toxicity, word_table
+from venuekit.llm.queries import WORD_BPE, table
 from venuekit.sources.scratch import shared_folder
 
+#: Setting of the session with the key of the pseudonyms.
+KEY_SETTING = "venuekit.pseudonyms.key"
+
+
+def pseudonym_key(spark: SparkSession) -> str:
+    """The key that the session names; a session that names none gets one of its own, known to nobody else.
+
+    Pseudonyms stay linked across runs only if the same key is set for them.
+    """
+    key = spark.conf.get(KEY_SETTING, None)
+    if not key:
+        key = secrets.token_hex(32)
+        spark.conf.set(KEY_SETTING, key)
+    return key
+
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents below the threshold of the classifier, which learns from all labelled ones."""
@@ -21,8 +37,8 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the least id of each set of near copies, compared exactly, however far apart their fingerprints lie."""
-    return copies.keep_one(docs, bits=None)
+    """The document with the least id of each set of near copies, as the SimHash operator links them."""
+    return simhash.keep_one(docs)
 
 
 def drop_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -32,7 +48,7 @@ def drop_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 def replace_personal(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, with pseudonyms for personal data and the lengths of the new texts."""
-    done = pseudonyms.replace_personal(docs, KEY, spans_col=None)
+    done = pseudonyms.replace_personal(docs, pseudonym_key(spark), spans_col=None)
     if "n_chars" not in docs.columns:
         return done
     return done.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
