@@ -160,29 +160,43 @@ def visits(spark):
     return users, places, reviews
 
 
-def test_unvisited_pairs_equal_brute_force(visits):
+@pytest.mark.parametrize("sizes", [(512, 4096), (2, 3), (1, 1)])
+def test_unvisited_pairs_equal_brute_force(visits, sizes):
     users, places, reviews = visits
-    panel = joins.first_users(users, 4)
-    pairs = joins.unvisited_pairs(panel, places, reviews)
+    served = users.where("UserID <> 5")
+    pairs = joins.unvisited_pairs(served, places, reviews, *sizes)
     seen = {(r.UserID, r.BusinessID) for r in reviews.collect()}
-    want = {(u, b) for u in range(1, 5) for b in "abcd"} - seen
+    want = {(u, b) for u in (1, 2, 3, 4, 6) for b in "abcd"} - seen
     got = [(r.UserID, r.BusinessID) for r in pairs.collect()]
     assert len(got) == len(set(got)) and set(got) == want
     assert pairs.columns == ["BusinessID", "Name", "UserID", "UserName"]
-    assert joins.unvisited_pairs(panel, places).count() == 16
+    assert joins.unvisited_pairs(served, places, None, *sizes).count() == 20
+    assert joins.unvisited_pairs(served.limit(0), places, reviews, *sizes).count() == 0
+    assert joins.unvisited_pairs(served, places.limit(0), reviews, *sizes).count() == 0
 
 
 def test_pairs_need_no_product_join(visits):
     users, places, reviews = visits
-    pairs = joins.unvisited_pairs(joins.first_users(users, 4), places, reviews)
+    pairs = joins.unvisited_pairs(users, places, reviews)
     for df in (pairs, joins.unvisited_counts(users, places, reviews)):
         assert "Cartesian" not in plan(df) and "NestedLoop" not in plan(df)
 
 
-def test_an_oversized_panel_fails(visits):
-    users, places, reviews = visits
-    with pytest.raises(Exception, match="more than 3 users"):
-        joins.unvisited_pairs(users, places, reviews, max_panel=3).collect()
+def test_users_are_not_shuffled_with_the_businesses(spark, visits):
+    """Arrays of users lie below no exchange but that of the users themselves."""
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        pairs = joins.unvisited_pairs(*visits)
+        tree = pairs._jdf.queryExecution().sparkPlan().toString()
+        text = pairs._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[-1]
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "_users" in tree
+    for line in text.splitlines():
+        if "Exchange hashpartitioning(" in line and "_visited" in line:
+            assert "_users" not in line
+    by_business = [n for n, line in enumerate(text.splitlines()) if "Exchange hashpartitioning(BusinessID" in line]
+    assert by_business and all("_users" not in line for line in text.splitlines()[by_business[0] :] if "Project" in line and "BusinessID" in line)
 
 
 def test_unvisited_counts(visits, rows):

@@ -12,6 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
+from venuekit.operators.joins import present_in
 from venuekit.plans import areas, clean, recommend, reports, sentiment, topics
 from venuekit.sources import schemas
 from venuekit.sources.readers import read_csv, read_json, read_parquet
@@ -178,7 +179,7 @@ def topic_long(spark: SparkSession, a: argparse.Namespace) -> None:
 
 def train(spark: SparkSession, a: argparse.Namespace) -> None:
     features = recommend.training_features(
-        read_parquet(spark, a.review), read_parquet(spark, a.user), read_csv(spark, a.sentiment)
+        read_parquet(spark, a.review), read_parquet(spark, a.user), read_csv(spark, a.sentiment), every=True
     )
     trained = recommend.train(features, a.seed)
     recommend.save_model(trained.model, out_path(a.output, MODEL))
@@ -187,14 +188,17 @@ def train(spark: SparkSession, a: argparse.Namespace) -> None:
 
 
 def recommendations(spark: SparkSession, a: argparse.Namespace) -> None:
-    missing = recommend.unscored(read_parquet(spark, a.user), read_csv(spark, a.sentiment), a.panel)
+    users = read_parquet(spark, a.user)
+    if a.only:
+        wanted = read_csv(spark, a.only).select("UserID")
+        users = present_in(users, "UserID", wanted, "UserID")
+    missing = recommend.unscored(users, read_csv(spark, a.sentiment))
     write_csv(missing, out_path(a.output, UNSCORED))
     best = recommend.recommend(
         recommend.load_model(a.model),
-        read_parquet(spark, a.user),
+        users,
         read_parquet(spark, a.review),
         read_csv(spark, a.sentiment),
-        a.panel,
         a.as_of,
     )
     write_csv(best, out_path(a.output, RECOMMENDATIONS), single_file=True)
@@ -240,7 +244,7 @@ def parser() -> argparse.ArgumentParser:
     sub["area-share"].add_argument("--group", default="South Asian")
     sub["sentiment"].add_argument("--per-review", action="store_true")
     sub["train"].add_argument("--seed", type=int, default=42)
-    sub["recommend"].add_argument("--panel", type=int, default=recommend.PANEL)
+    sub["recommend"].add_argument("--only", help="CSV file with a column UserID: the users to serve, else all")
     sub["recommend"].add_argument("--as-of", type=dt.date.fromisoformat, default=None)
     return top
 

@@ -208,7 +208,7 @@ _RANGE = "cast((ReviewCount // {w}) * {w} as varchar) || '-' || cast((ReviewCoun
 
 _HASH = "cast('0x' || substr(md5('{seed}|' || cast({key} as varchar)), 1, 8) as bigint)"
 
-_PANEL = "(select UserID, UserName, AverageStars from fx_user order by UserID limit 50)"
+_SERVED = "(select UserID, UserName, AverageStars from fx_user where UserID % 20 = 0)"
 _NOT_VISITED = "not exists (select 1 from fx_review r where r.UserID = u.UserID and r.BusinessID = b.BusinessID)"
 
 SQL = {
@@ -280,7 +280,7 @@ select distinct UserID, BusinessID from fx_review r where not exists (select 1 f
 select u.UserID, count(b.BusinessID) as Unvisited from fx_user u left join fx_business b on {_NOT_VISITED}
 group by 1""",
     "unvisited_pairs": f"""
-select BusinessID, UserID from fx_business b, {_PANEL} u where {_NOT_VISITED}""",
+select BusinessID, UserID from fx_business b, {_SERVED} u where {_NOT_VISITED}""",
     # --- aggregations
     "count_by_key": "select BusinessID, count(*) as n from fx_review group by 1",
     "count_by_keys": """
@@ -411,10 +411,16 @@ from fx_review r join fx_user u on r.UserID = u.UserID join fx_sentiment s on r.
 select UserID, BusinessID, round(FinalStar, 6) as FinalStar, rank from (
   select *, row_number() over (partition by UserID order by FinalStar desc, BusinessID) as rank from (
     select u.UserID, b.BusinessID, least(5.0, greatest(0.0, AverageStars * BusinessStars)) as FinalStar
-    from {_PANEL} u, fx_business b where {_NOT_VISITED} and AverageStars is not null
+    from {_SERVED} u, fx_business b where {_NOT_VISITED} and AverageStars is not null
     union all
-    select u.UserID, b.BusinessID, null from {_PANEL} u, fx_business b
+    select u.UserID, b.BusinessID, null from {_SERVED} u, fx_business b
     where {_NOT_VISITED} and AverageStars is null)) where rank <= 10""",
+    "unscored": f"""
+select UserID, null::bigint as BusinessID, 'UserAverageStars' as Missing from {_SERVED} where AverageStars is null
+union all
+select null, BusinessID, case when BusinessID % 7 = 0 then 'BusinessPostalCode'
+  else concat_ws(',', case when BusinessID % 5 = 0 then 'Latitude' end, case when BusinessID % 3 = 0 then 'AveragePositive' end) end
+from fx_sentiment where BusinessID % 7 = 0 or BusinessID % 5 = 0 or BusinessID % 3 = 0""",
     # --- clean tables
     "build_business": """
 select BusinessID, Name, City, State, PostalCode, Latitude, Longitude, BusinessStars, Categories, ReviewCount

@@ -240,10 +240,14 @@ def unvisited_counts(i: Inputs) -> DataFrame:
     return joins.unvisited_counts(i.user(), i.business(), i.review())
 
 
+def _served(i: Inputs) -> DataFrame:
+    """The users who get recommendations: every twentieth."""
+    return i.user().where("UserID % 20 = 0")
+
+
 @query
 def unvisited_pairs(i: Inputs) -> DataFrame:
-    panel = joins.first_users(i.user().select("UserID"))
-    return joins.unvisited_pairs(panel, i.business().select("BusinessID"), i.review())
+    return joins.unvisited_pairs(_served(i).select("UserID"), i.business().select("BusinessID"), i.review())
 
 
 # --- aggregations -------------------------------------------------------------------
@@ -628,15 +632,31 @@ def recommender_features(i: Inputs) -> DataFrame:
 @query
 def gbt_recommend(i: Inputs) -> DataFrame:
     reviews, users, places = i.review(), i.user(), i.sentiment()
-    trained = recommend.train(recommend.training_features(reviews, users, places))
-    lists = recommend.recommend(trained.model, users, reviews, places, as_of=AS_OF)
-    return lists.unionByName(recommend.unscored(users, places), allowMissingColumns=True)
+    trained = recommend.train(recommend.training_features(reviews, users, places, every=True))
+    return recommend.recommend(trained.model, _served(i), reviews, places, as_of=AS_OF)
+
+
+@query
+def unscored(i: Inputs) -> DataFrame:
+    return recommend.unscored(_served(i), _places(i))
+
+
+def _places(i: Inputs) -> DataFrame:
+    """Businesses of which some lack a postal code, a coordinate or a score."""
+    key = col("BusinessID")
+    return i.sentiment().withColumns(
+        {
+            "ZipCode": F.when(key % 7 != 0, col("ZipCode")),
+            "Latitude": F.when(key % 5 != 0, col("Latitude").cast("string")).otherwise("north"),
+            "avg_pos": F.when(key % 3 != 0, col("avg_pos")),
+        }
+    )
 
 
 @query
 def recommend_top_n(i: Inputs) -> DataFrame:
-    panel = joins.first_users(i.user().select("UserID", "AverageStars"))
-    pairs = joins.unvisited_pairs(panel, i.business().select("BusinessID", "BusinessStars"), i.review())
+    users = _served(i).select("UserID", "AverageStars")
+    pairs = joins.unvisited_pairs(users, i.business().select("BusinessID", "BusinessStars"), i.review())
     scored = pairs.withColumn("score", col("AverageStars") * col("BusinessStars"))
     best = recommend.best_per_user(scored, "score")
     return best.select(
