@@ -5,13 +5,27 @@ import json
 import pytest
 
 from venuekit import jobs
+from venuekit.sources import scratch
 from venuekit.sources.readers import read_csv
 
 PHRASES = ("good soup and great service", "bad cold noodles", "slow kitchen but good cake", "not bad at all!")
 
 
+BROKEN = {
+    "business": ['{"business_id": "b99", "name": "Half', "not json at all", '{"business_id": "b98", "latitude": "north"}'],
+    "review": ['{"review_id": "r999", "stars": {"a": 1}}', "[1, 2", "plain text"],
+    "user": ['{"user_id": "u99", "review_count": "many"}'],
+    "checkin": ['{"business_id": "b1", "date": "2018-12-31 10:00:00"'],
+    "province": ["{"],
+}
+
+
 def lines(path, records):
-    path.write_text("".join(json.dumps(r) + "\n" for r in records))
+    """Records with broken lines between them."""
+    text = [json.dumps(r) for r in records]
+    for n, line in enumerate(BROKEN.get(path.stem, [])):
+        text.insert(n * 2 + 1, line)
+    path.write_text("".join(f"{line}\n" for line in text))
     return str(path)
 
 
@@ -72,9 +86,10 @@ def work(spark, tmp_path_factory):
         "checkin": lines(root / "checkin.json", checkins),
     }
     files = {
-        "lexicon": "token,valence\ngood,1.9\ngreat,3.1\nbad,-2.5\nslow,-1.2\n",
+        "lexicon": "token,valence\ngood,1.9\ngreat,3.1\nbad,-2.5\nodd,much\nslow,-1.2\n",
         "postcode": "Postcode,Borough,Neighbourhood\nM0V,West,A\nM1V,East,B\nM2V,North,C\n",
         "ethnicity": "Neighbourhood, Total Population,South Asian \nA,100,10\nB,200,50\nC,50,1\n",
+        "only": "UserID\nu03\nu07\nnobody\n",
         "labour": "Neighbourhood,LabourForceCategory,InLabourForce\nA,100,60\nB,10,5\nC,x,5\n",
     }
     for name, text in files.items():
@@ -84,8 +99,14 @@ def work(spark, tmp_path_factory):
     html = "<table><tr><th>p</th></tr><tr><td>M1V</td><td>East</td><td>B</td></tr></table>"
     spark.createDataFrame([(1, html)], "page_id int, html string").write.parquet(str(root / "pages"))
 
+    patch = pytest.MonkeyPatch()
+    patch.setattr(scratch, "shared_folder", lambda spark: str(root / "shared"))
+
     def run(*argv):
         jobs.run(spark, list(argv))
+        assert not list((root / "shared").iterdir()), f"{argv[0]} left tables behind"
+
+    (root / "shared").mkdir()
 
     run("business", path["business"], path["province"], table["Business"])
     run("review", table["Business"], path["review"], table["Review"], "--clean-text")
@@ -98,12 +119,19 @@ def work(spark, tmp_path_factory):
     run("directory", str(root / "pages"), out)
     run("area-share", table["Business"], path["postcode"], path["ethnicity"], out)
     run("employment", table["Business"], path["labour"], path["postcode"], out)
-    run("sentiment", table["Review"], table["Business"], path["lexicon"], out, "--per-review")
+    run("sentiment", table["Review"], table["Business"], path["lexicon"], out)
     run("topics", table["Review"], table["Business"], out)
     run("topic-long", f"{out}/Topic_low_business_topic_dist", f"{out}/Topic_high_business_topic_dist", out)
     run("train", f"{out}/BusinessSentiment", table["User"], table["Review"], out)
     run("recommend", f"{out}/BusinessSentiment", table["User"], table["Review"], f"{out}/TrainedModel", out, "--as-of", "2024-03-01")
-    return lambda name: read_csv(spark, f"{out}/{name}")
+    run("recommend", f"{out}/BusinessSentiment", table["User"], table["Review"], f"{out}/TrainedModel", str(root / "few"), "--as-of", "2024-03-01", "--only", path["only"])
+    patch.undo()
+
+    def read(name):
+        return read_csv(spark, f"{out}/{name}")
+
+    read.root, read.table = root, table
+    return read
 
 
 EXPECTED = {
@@ -136,6 +164,23 @@ def test_report(work, name):
     assert work(name).count() == EXPECTED[name]
 
 
+def test_lines_that_are_no_records_come_back(work, spark):
+    """Lines in = lines read + lines reported, in each job that reads raw files."""
+    outputs = {name.lower(): path for name, path in work.table.items()} | {"province": work.table["Business"] + "Provinces"}
+    for name, broken in BROKEN.items():
+        found = spark.read.parquet(outputs[name] + jobs.UNREAD).collect()
+        assert sorted(r.Text for r in found) == sorted(broken)
+        assert all(r.File.endswith(f"/{name}.json") for r in found)
+    assert [r.Text for r in work("LexiconUnread").collect()] == ["odd,much"]
+
+
+def test_recommendations_for_the_users_asked_for(work, spark):
+    every, few = work("TestModel"), read_csv(spark, str(work.root / "few" / "TestModel"))
+    assert {r.UserID for r in few.collect()} == {"u03", "u07"} < {r.UserID for r in every.collect()}
+    order = [f"{r.UserID}" for r in few.collect()]
+    assert order == sorted(order)
+
+
 def test_topic_rows(work):
     for cohort in ("low", "high"):
         shares = work(f"Topic_{cohort}_business_topic_dist")

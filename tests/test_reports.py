@@ -3,6 +3,7 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
+from venuekit.operators.rows import html_table
 from venuekit.plans import areas, reports
 
 T = dt.datetime
@@ -119,6 +120,44 @@ def test_directory_from_pages(spark, rows):
     assert rows(areas.directory_from_pages(pages, "id", "html")) == [("M3A", "North York", "Parkwoods & Sons &lt;")]
 
 
+TABLES = {
+    "plain": ("<table><tr><th>h</th></tr><tr><td>a</td><td>b</td></tr></table>", [("a", "b", None)]),
+    "nested": (
+        "<table><tr><td>h</td></tr><tr><td>x<table><tr><td>1</td><td>2</td></tr></table>y</td><td>z</td></tr><tr><td>w</td></tr></table>",
+        [("x 1 2 y", "z", None), ("w", None, None)],
+    ),
+    "spans": (
+        "<table><tr><th colspan=3>h</th></tr><tr><td rowspan=3>a</td><td colspan='2'>b</td></tr><tr><td>c</td><td rowspan=\"2\">d</td></tr><tr><td>e</td></tr><tr><td>f</td></tr></table>",
+        [("a", "b", "b"), ("a", "c", "d"), ("a", "e", "d"), ("f", None, None)],
+    ),
+    "to the end": ("<table><tr><td rowspan=0>h</td><td>i</td></tr><tr><td>a</td></tr><tr></tr><tr><td>b</td></tr></table>", [("h", "a", None), ("h", None, None), ("h", "b", None)]),
+    "no end tags": ("<table><tr><td>h<tr><td>a<td>b<tr><td>c", [("a", "b", None), ("c", None, None)]),
+    "stray end": ("</table></td><table><tr><td>h</td></tr><tr><td>a</td></tr></table>", [("a", None, None)]),
+    "not a table": ("<!-- <table><tr><td>h</td></tr><tr><td>a</td></tr></table> --><script>'<table>'</script><p>x", []),
+    "between": ("<table>no<tr>no<td>h</td>no</tr>no<tr><td>a</td>no<td>b</td></tr></table>", [("a", "b", None)]),
+    "second": ("<table><tr><td>h</td></tr></table><table><tr><td>i</td></tr><tr><td>a</td></tr></table>", []),
+    "none": (None, []),
+    "empty": ("", []),
+}
+
+
+def test_tables_as_they_nest(spark):
+    pages = spark.createDataFrame([(k, html) for k, (html, _) in TABLES.items()], "id string, html string")
+    found = {k: [] for k in TABLES}
+    # pages of one key are pages of their own
+    for r in html_table(pages.unionAll(pages), "id", "html", ("x", "y", "z")).orderBy("id", "pos").collect():
+        found[r.id].append((r.x, r.y, r.z))
+    assert found == {k: [row for row in rows for _ in range(2)] for k, (_, rows) in TABLES.items()}
+    assert [r.x for r in html_table(pages.where("id = 'second'"), "id", "html", ("x",), number=2).collect()] == ["a"]
+
+
+def test_a_long_table_is_read_whole(spark):
+    body = "".join(f"<tr><td>{n}</td><td rowspan=2>{n}</td></tr>" for n in range(3000))
+    pages = spark.createDataFrame([(1, f"<table><tr><td>h</td></tr>{body}</table>" + "<" * 100_000)], "id int, html string")
+    found = html_table(pages, "id", "html", ("x", "y"))
+    assert found.count() == 3000 and found.where("pos = 3000").first().x == "2999"
+
+
 def test_cuisine_share(spark, business, directory):
     ethnicity = spark.createDataFrame(
         [("Harbour", "200", "50"), ("Island", "0", "5"), ("Rouge", None, "5")],

@@ -9,15 +9,16 @@ import argparse
 import datetime as dt
 from collections.abc import Callable
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from venuekit.operators.joins import present_in
 from venuekit.plans import areas, clean, recommend, reports, sentiment, topics
 from venuekit.sources import schemas
-from venuekit.sources.readers import read_csv, read_json, read_parquet
-from venuekit.sources.scratch import materialise
-from venuekit.sources.writers import out_path, write_csv, write_parquet
+from venuekit.sources.readers import read_csv, read_csv_checked, read_json_checked, read_parquet
+from venuekit.sources.scratch import materialise, owned_tables
+from venuekit.sources.writers import out_path, write_csv, write_ordered_csv, write_parquet
 
 # City and states of the reports, names of the written datasets.
 CITY = "Toronto"
@@ -42,6 +43,7 @@ AREA_SHARE = "CuisineAreaShare"
 AREA_EMPLOYMENT = "AreaEmploymentStars"
 REVIEW_SCORES = "Sentiment_for_alltext"
 BUSINESS_SCORES = "BusinessSentiment"
+LEXICON_UNREAD = "LexiconUnread"
 TOPIC_SHARES = "Topic_{cohort}_business_topic_dist"
 TOPIC_WORDS = "Topic_{cohort}_rating_topic"
 TOPIC_ROWS = "Topic_{cohort}_topic_exploded"
@@ -50,33 +52,41 @@ RECOMMENDATIONS = "TestModel"
 LEFT_OUT = "TrainingLeftOut"
 UNSCORED = "Unscored"
 
+UNREAD = "Unread"
+
 Job = Callable[[SparkSession, argparse.Namespace], None]
 
 
+def _records(spark: SparkSession, path: str, schema: StructType, output: str) -> DataFrame:
+    """The records of a raw file; its lines that are none are written beside the output."""
+    found = read_json_checked(spark, path, schema)
+    write_parquet(found.unread, output + UNREAD)
+    return found.rows
+
+
 def business(spark: SparkSession, a: argparse.Namespace) -> None:
-    raw = read_json(spark, a.business, schemas.RAW_BUSINESS)
-    provinces = read_json(spark, a.province, schemas.RAW_PROVINCE)
-    kept = clean.open_businesses(raw, provinces).persist()  # read by four writes
+    raw = _records(spark, a.business, schemas.RAW_BUSINESS, a.output)
+    provinces = _records(spark, a.province, schemas.RAW_PROVINCE, a.output + "Provinces")
+    kept = materialise(clean.open_businesses(raw, provinces), "businesses")  # read by four writes
     tables = clean.build_business(kept)
     write_parquet(tables.business, a.output)
     write_parquet(tables.attributes, a.output + "Attributes")
     write_parquet(tables.categories, a.output + "Categories")
     write_parquet(tables.unread, a.output + "UnreadAttributes")
-    kept.unpersist()
 
 
 def review(spark: SparkSession, a: argparse.Namespace) -> None:
-    raw = read_json(spark, a.review, schemas.RAW_REVIEW)
+    raw = _records(spark, a.review, schemas.RAW_REVIEW, a.output)
     write_parquet(clean.build_reviews(raw, read_parquet(spark, a.business), a.clean_text), a.output)
 
 
 def checkin(spark: SparkSession, a: argparse.Namespace) -> None:
-    raw = read_json(spark, a.checkin, schemas.RAW_CHECKIN)
+    raw = _records(spark, a.checkin, schemas.RAW_CHECKIN, a.output)
     write_parquet(clean.build_checkins(raw, read_parquet(spark, a.business)), a.output)
 
 
 def user(spark: SparkSession, a: argparse.Namespace) -> None:
-    raw = read_json(spark, a.user, schemas.RAW_USER)
+    raw = _records(spark, a.user, schemas.RAW_USER, a.output)
     write_parquet(clean.build_users(raw, read_parquet(spark, a.review)), a.output)
 
 
@@ -148,12 +158,10 @@ def employment(spark: SparkSession, a: argparse.Namespace) -> None:
 
 def sentiment_scores(spark: SparkSession, a: argparse.Namespace) -> None:
     reviews, table = read_parquet(spark, a.review), read_parquet(spark, a.business)
-    words = read_csv(spark, a.lexicon).withColumn("valence", F.col("valence").cast("double"))
-    scores = sentiment.city_scores(reviews, table, words, a.city)
-    if a.per_review:
-        scores = materialise(scores, "scores")  # read by two writes
-        texts = sentiment.with_texts(scores, reviews, table, a.city)
-        write_csv(texts, out_path(a.output, REVIEW_SCORES))
+    words = read_csv_checked(spark, a.lexicon, schemas.LEXICON)
+    write_csv(words.unread, out_path(a.output, LEXICON_UNREAD))
+    scores = materialise(sentiment.city_scores(reviews, table, words.rows, a.city), "scores")  # read by two writes
+    write_csv(sentiment.with_texts(scores, reviews, table, a.city), out_path(a.output, REVIEW_SCORES))
     means = sentiment.business_means(scores, table, a.city)
     write_csv(means, out_path(a.output, BUSINESS_SCORES))
 
@@ -201,7 +209,7 @@ def recommendations(spark: SparkSession, a: argparse.Namespace) -> None:
         read_csv(spark, a.sentiment),
         a.as_of,
     )
-    write_csv(best, out_path(a.output, RECOMMENDATIONS), single_file=True)
+    write_ordered_csv(best, out_path(a.output, RECOMMENDATIONS), F.asc("UserID"), F.asc("rank"))
 
 
 # name -> (job, positional arguments)
@@ -242,22 +250,25 @@ def parser() -> argparse.ArgumentParser:
     sub["directory"].add_argument("--html", default="html")
     sub["area-share"].add_argument("--cuisine", default="Indian")
     sub["area-share"].add_argument("--group", default="South Asian")
-    sub["sentiment"].add_argument("--per-review", action="store_true")
     sub["train"].add_argument("--seed", type=int, default=42)
     sub["recommend"].add_argument("--only", help="CSV file with a column UserID: the users to serve, else all")
     sub["recommend"].add_argument("--as-of", type=dt.date.fromisoformat, default=None)
     return top
 
 
+def _run(spark: SparkSession, arguments: argparse.Namespace) -> None:
+    # what a job stores on its way is deleted once its products are written
+    with owned_tables(spark):
+        JOBS[arguments.job][0](spark, arguments)
+
+
 def run(spark: SparkSession, argv: list[str]) -> None:
-    arguments = parser().parse_args(argv)
-    JOBS[arguments.job][0](spark, arguments)
+    _run(spark, parser().parse_args(argv))
 
 
 def main(argv: list[str] | None = None) -> None:
     arguments = parser().parse_args(argv)
-    spark = SparkSession.builder.appName(f"venuekit-{arguments.job}").getOrCreate()
-    JOBS[arguments.job][0](spark, arguments)
+    _run(SparkSession.builder.appName(f"venuekit-{arguments.job}").getOrCreate(), arguments)
 
 
 if __name__ == "__main__":

@@ -52,6 +52,9 @@ RAW_USER = _struct(
     average_stars=_DOUBLE,
 )
 
+# --- lexicon of the sentiment model ---------------------------------------------
+LEXICON = _struct(token=_STR, valence=_DOUBLE)
+
 # --- statistic files, after ``normalise_headers(squeeze=True)`` ----------------
 LABOUR_COUNTS = (
     "TotalPopulation",

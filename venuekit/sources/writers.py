@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+
+from venuekit.sources.scratch import materialise
 
 
 def out_path(folder: str, name: str) -> str:
@@ -28,3 +31,23 @@ def write_csv(df: DataFrame, path: str, header: bool = True, single_file: bool =
     if single_file:
         df = df.repartition(1)
     df.write.option("header", header).mode("errorifexists").csv(path)
+
+
+def write_ordered_csv(df: DataFrame, path: str, *order: Column, parts: int | None = None) -> None:
+    """Write rows in ``order`` as CSV parts by range, the header in the first only.
+
+    The parts, put together in order of their names, are the file that one task would have written, but many
+    tasks write them.  ``order`` should end in a unique column; ``parts`` bounds their number.  The
+    rows are stored first, as the ranges are drawn from a look at all of them.
+    """
+    stored = materialise(df, "ordered")
+    first = "_head"
+    while first in stored.columns:
+        first += "_"
+    names = F.to_csv(F.struct(*(F.lit(c).alias(f"c{n}") for n, c in enumerate(stored.columns))))
+    head = stored.sparkSession.range(1).select(*(F.lit(None).cast(f.dataType).alias(f.name) for f in stored.schema), F.lit(0).alias(first))
+    rows = head.unionByName(stored.withColumn(first, F.lit(1)))
+    by = (F.col(first), *order)
+    dealt = rows.repartitionByRange(*by) if parts is None else rows.repartitionByRange(parts, *by)
+    line = F.when(F.col(first) == 0, names).otherwise(F.to_csv(F.struct(*stored.columns)))
+    dealt.sortWithinPartitions(*by).select(line.alias("value")).write.mode("errorifexists").text(path)

@@ -130,6 +130,18 @@ class Inputs:
             F.when(F.col("n_nationkey") != 3, F.col("working")).alias("InLabourForce"),
         )
 
+    def directory_pages(self) -> DataFrame:
+        """The pages, each with a directory in a table that has spans and a table inside, and another table after it."""
+        number = F.col("page_id")
+        name = F.when(number % 3 == 0, "Not assigned").otherwise("East")
+        table = F.concat(
+            F.lit("<!-- <table> --><TABLE class='a'><thead><tr><th>Postcode</th><th>Borough</th><th>Neighbourhood</th></tr></thead>"),
+            F.lit("<tr><td rowspan='2'>M"), number, F.lit("A</td><td><b>West</b></td><td>Area <table><tr><td>inner "), number,
+            F.lit("</td></tr></table> end</td></tr><tr><td>"), name, F.lit("</td><td>Second</td></tr>"),
+            F.lit("<tr><td colspan=2>M"), number, F.lit("B</td><td>Third &amp; more</td></tr></TABLE><table><tr><td>x</td></tr><tr><td>y</td></tr></table>"),
+        )
+        return self.table("pages").select("page_id", F.concat("html", table).alias("html"))
+
     def attributes(self) -> DataFrame:
         key = F.col("s_suppkey")
         return self.table("supplier").select(

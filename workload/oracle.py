@@ -497,6 +497,11 @@ where contains(Categories, 'Italian') order by BusinessStars desc, BusinessID"""
     "clean_directory": """
 select concat('M', c_nationkey, 'A') as Postcode, c_mktsegment as Borough, c_name as Neighbourhood
 from customer where not c_acctbal < 0 and c_nationkey <> 3""",
+    "directory_from_pages": """
+select concat('M', page_id, 'A') as Postcode, 'West' as Borough, concat('Area inner ', page_id, ' end') as Neighbourhood
+from pages where html is not null
+union all select concat('M', page_id, 'A'), 'East', 'Second' from pages where html is not null and page_id % 3 <> 0
+union all select concat('M', page_id, 'B'), concat('M', page_id, 'B'), 'Third & more' from pages where html is not null""",
     "review_sentiment": """
 select s.BusinessID, Name as Business_Name, md5(lower(Review)) as Review, Negative, Neutral, positive, Over_all
 from fx_scores s join fx_business b on s.BusinessID = b.BusinessID""",

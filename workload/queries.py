@@ -878,6 +878,11 @@ def clean_directory(i: Inputs) -> DataFrame:
     return areas.clean_directory(listed)
 
 
+@query
+def directory_from_pages(i: Inputs) -> DataFrame:
+    return areas.directory_from_pages(i.directory_pages(), "page_id", "html")
+
+
 @query
 def review_sentiment(i: Inputs) -> DataFrame:
     scores = sentiment.city_scores(i.remarks(), i.business(), i.lexicon(), None)
