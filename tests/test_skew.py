@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from venuekit.operators import joins
 from venuekit.plans import recommend, sentiment, topics
+from venuekit.sources.scratch import materialise
 
 SETTINGS = {
     "spark.sql.autoBroadcastJoinThreshold": "-1",
@@ -61,6 +62,14 @@ def final_plan(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
 
+def _counts(reviews):
+    """Words per business, of which one word is in a third of all rows."""
+    term = F.when(F.col("UserID") == 0, "hot").otherwise(F.col("UserID").cast("string")).alias("term")
+    counts = reviews.select(F.col("ReviewID").alias("BusinessID"), term, F.lit(1).alias("n"))
+    words = counts.select("term").distinct().select("term", F.hash("term").alias("index"), F.lit(0.5).alias("idf"))
+    return counts, materialise(words, "words")
+
+
 CASES = {
     "present_in": lambda r, u, b, x: joins.present_in(r, "BusinessID", b, "BusinessID"),
     "absent_from": lambda r, u, b, x: joins.absent_from(r, ["BusinessID"], b.where("BusinessID % 2 = 0")),
@@ -73,6 +82,7 @@ CASES = {
     "business scores": lambda r, u, b, x: sentiment.business_means(
         sentiment.city_scores(r, b, x, "X"), b, "X"
     ),
+    "terms of a business": lambda r, u, b, x: topics.weighted_terms(*_counts(r)),
     "term weights": lambda r, u, b, x: topics.tfidf(topics.term_counts(r, "ReviewID", "Review"), r),
 }
 

@@ -81,3 +81,13 @@ def item(c: Column, separator: str, position: int) -> Column:
 def postcode_area(c: Column) -> Column:
     """The part of a postal code before its first space."""
     return F.substring_index(c, " ", 1)
+
+
+def clean_words(c: Column, stopwords: Sequence[str]) -> Column:
+    """A text's words as one line: lower case, ASCII only, without links, punctuation, digits and stop words.
+
+    The steps go in this order, so that a link is known by its punctuation.
+    A NULL text gives NULL, and one without such words an empty line.
+    """
+    plain = remove_features(strip_non_ascii(F.lower(c)))
+    return F.array_join(without_stopwords(tokens(plain), stopwords), " ")

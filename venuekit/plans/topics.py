@@ -72,7 +72,8 @@ def tfidf(counts: DataFrame, documents: DataFrame) -> DataFrame:
 def vocabulary(counts: DataFrame, documents: DataFrame) -> DataFrame:
     """(index, term, idf) of all terms, most frequent first."""
     totals = counts.groupBy("term").agg(F.sum("n").alias("total"), F.count("*").alias("df"))
-    return numbered(totals, "index", F.desc("total"), F.asc("term")).select(
+    # stored, as dealing it out by range takes a look at all of it first
+    return numbered(materialise(totals, "term-totals"), "index", F.desc("total"), F.asc("term")).select(
         "index",
         "term",
         F.log((documents.agg(F.count("*")).scalar() + 1) / (F.col("df") + 1)).alias("idf"),
@@ -119,35 +120,43 @@ def sparse_arrays(df: DataFrame, key: str, vector: str) -> DataFrame:
 
 
 # --- topics -----------------------------------------------------------------------
+def _of_city(reviews: DataFrame, business: DataFrame, city: str | None) -> DataFrame:
+    chosen = city_filter(business, city)
+    return reviews.join(chosen.select("BusinessID"), "BusinessID", "left_semi")
+
+
 def business_texts(reviews: DataFrame, business: DataFrame, city: str | None = None) -> DataFrame:
     """Distinct review texts (BusinessID, Review) of a city's businesses."""
-    chosen = city_filter(business, city)
-    texts = reviews.select("BusinessID", "Review")
-    known = texts.join(chosen.select("BusinessID"), "BusinessID", "left_semi")
+    known = _of_city(reviews.select("BusinessID", "Review"), business, city)
     return group_apart(known, known.columns)
 
 
-def business_vectors(texts: DataFrame, business: DataFrame) -> tuple[DataFrame, DataFrame]:
+def reviewed(reviews: DataFrame, business: DataFrame, city: str | None = None) -> DataFrame:
+    """The city's businesses that have a review, without reading any text."""
+    return group_apart(_of_city(reviews.select("BusinessID"), business, city), ["BusinessID"])
+
+
+def weighted_terms(counts: DataFrame, words: DataFrame) -> DataFrame:
+    """(BusinessID, terms): the weights of a business's terms in order of their index, one per vocabulary term at most."""
+    weight = F.struct(F.col("index").cast("int").alias("index"), (F.col("n") * F.col("idf")).alias("weight"))
+    return group_apart(counts.join(words, "term"), ["BusinessID"], F.array_sort(F.collect_list(weight)).alias("terms"))
+
+
+def business_vectors(
+    texts: DataFrame, business: DataFrame, documents: DataFrame | None = None, stopwords: Sequence[str] | None = None
+) -> tuple[DataFrame, DataFrame]:
     """Fit term weights; return (vectors, vocabulary), both as stored tables.
 
-    ``vectors`` has BusinessID, BusinessName, BusinessStars and a sparse ``features``.
+    ``vectors`` has BusinessID, BusinessName, BusinessStars and a sparse ``features``.  ``documents`` lists the businesses
+    of ``texts``; without it they are read from the texts once more.
     """
-    counts = materialise(
-        term_counts(texts, "BusinessID", "Review", english_stopwords()), "term-counts"
-    )
-    documents = materialise(texts.select("BusinessID").distinct(), "documents")
+    left_out = english_stopwords() if stopwords is None else stopwords
+    counts = materialise(term_counts(texts, "BusinessID", "Review", left_out), "term-counts")
+    listed = texts.select("BusinessID").distinct() if documents is None else documents.select("BusinessID")
+    documents = materialise(listed, "documents")
     words = materialise(vocabulary(counts, documents), "vocabulary")
 
-    # One entry per vocabulary term at most, so the list of a business is bounded.
-    entries = (
-        counts.join(words, "term")
-        .groupBy("BusinessID")
-        .agg(
-            F.array_sort(
-                F.collect_list(F.struct(F.col("index").cast("int").alias("index"), (F.col("n") * F.col("idf")).alias("weight")))
-            ).alias("terms")
-        )
-    )
+    entries = weighted_terms(counts, words)
     size = words.agg(F.count("*").cast("int")).scalar()
     empty = F.from_json(F.lit("[]"), "array<struct<index:int,weight:double>>")
     # A review without words still is a document, with an empty vector.
@@ -215,7 +224,7 @@ def cohort_topics(
     Term weights are fitted on both cohorts together, topics on each alone.
     """
     texts = business_texts(reviews, business, city)
-    vectors, words = business_vectors(texts, business)
+    vectors, words = business_vectors(texts, business, reviewed(reviews, business, city))
     cohort = rating_cohort(F.col("BusinessStars"))
 
     @inheritable_thread_target(vectors.sparkSession)

@@ -106,6 +106,46 @@ class Inputs:
             F.col("text").alias("Review"),
         )
 
+    def spread_text(self) -> DataFrame:
+        """The same reviews, dealt out over all businesses."""
+        businesses = self.table("supplier").agg(F.count("*")).scalar()
+        return self.text().withColumn("BusinessID", F.col("ReviewID") % businesses)
+
+    def raw_reviews(self) -> DataFrame:
+        """The reviews under the field names of the raw file, with bad dates, blank and missing texts and unknown businesses."""
+        number = F.col("ReviewID")
+        month, day = (F.lpad((number % n + 1).cast("string"), 2, "0") for n in (12, 28))
+        written = F.concat(number % 14 + 2010, F.lit("-"), month, F.lit("-"), day, F.lit(" 10:00:00"))
+        date = F.when(number % 6 == 0, "yesterday").when(number % 6 == 1, "2024-13-45").when(number % 6 != 2, written)
+        text = (
+            F.when(number % 8 == 0, F.concat(F.lit("line one\nline two "), "Review"))
+            .when(number % 8 == 1, " ")
+            .when(number % 8 == 2, "\n ")
+            .when(number % 8 != 3, F.col("Review"))
+        )
+        return self.text().select(
+            number.alias("review_id"),
+            (number % 50).alias("user_id"),
+            F.when(number % 10 == 0, -1).otherwise(F.col("BusinessID")).alias("business_id"),
+            ((number % 9 + 1) / 2.0).alias("stars"),
+            text.alias("text"),
+            (number % 4).alias("useful"),
+            date.alias("date"),
+        )
+
+    def raw_users(self) -> DataFrame:
+        """The users under the field names of the raw file, with bad and missing dates and names."""
+        number = F.col("UserID")
+        since = F.when(number % 5 == 0, "soon").when(number % 7 != 0, F.concat(F.col("YelpingSince").cast("string"), F.lit(" 08:30:00")))
+        return self.user().select(
+            number.alias("user_id"),
+            F.when(number % 9 != 0, F.col("UserName")).alias("name"),
+            *((number % n).alias(c) for n, c in ((7, "useful"), (5, "funny"), (3, "cool"))),
+            F.col("ReviewCount").alias("review_count"),
+            since.alias("yelping_since"),
+            F.col("AverageStars").alias("average_stars"),
+        )
+
     def remarks(self) -> DataFrame:
         """The same reviews, each with a remark at its end."""
         ends = F.get(F.array(*map(F.lit, REMARKS)), (F.col("ReviewID") % len(REMARKS)).cast("int"))
@@ -143,19 +183,20 @@ class Inputs:
         return self.table("pages").select("page_id", F.concat("html", table).alias("html"))
 
     def attributes(self) -> DataFrame:
+        """Attributes of each business; of some an inner object, or the whole, does not parse, or there are none."""
         key = F.col("s_suppkey")
-        return self.table("supplier").select(
-            key.alias("BusinessID"),
-            F.concat(
-                F.lit('{"Price":"'),
-                key % 4,
-                F.lit('","WiFi":"'),
-                F.when(key % 3 == 0, "None").otherwise("free"),
-                F.lit('","Ambience":"{\'casual\': '),
-                F.when(key % 2 == 0, "True").otherwise("False"),
-                F.lit(", u'quiet': u'none'}\"}"),
-            ).alias("Attributes"),
+        casual = F.when(key % 2 == 0, "True").otherwise("False")
+        whole = F.concat(
+            F.lit('{"Price":"'),
+            key % 4,
+            F.lit('","WiFi":"'),
+            F.when(key % 3 == 0, "None").otherwise("free"),
+            F.lit('","Ambience":"{\'casual\': '),
+            casual,
+            F.when(key % 11 == 0, '"}').otherwise(", u'quiet': u'none'}\"}"),
         )
+        text = F.when(key % 17 == 0, None).when(key % 13 == 0, "free WiFi").otherwise(whole)
+        return self.table("supplier").select(key.alias("BusinessID"), text.alias("Attributes"))
 
     def lexicon(self) -> DataFrame:
         """Valences for frequent words of the documents and for those of the remarks."""

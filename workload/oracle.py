@@ -76,16 +76,34 @@ select n_name as Neighbourhood, concat('M', n_nationkey, 'A') as PostCode,
   case when n_nationkey <> 3 then count(*) filter (c_acctbal > 2500) end as InLabourForce
 from customer join nation on c_nationkey = n_nationkey group by n_name, n_nationkey""",
     "fx_attributes": """
-select s_suppkey as BusinessID, concat('{"Price":"', s_suppkey % 4, '","WiFi":"',
+select s_suppkey as BusinessID, case when s_suppkey % 17 = 0 then null when s_suppkey % 13 = 0 then 'free WiFi' else
+  concat('{"Price":"', s_suppkey % 4, '","WiFi":"',
   case when s_suppkey % 3 = 0 then 'None' else 'free' end,
   '","Ambience":"{''casual'': ', case when s_suppkey % 2 = 0 then 'True' else 'False' end,
-  ', u''quiet'': u''none''}"}') as Attributes
+  case when s_suppkey % 11 = 0 then '"}' else ', u''quiet'': u''none''}"}' end) end as Attributes
 from supplier""",
+    "fx_parsed": "select * from supplier where s_suppkey % 17 <> 0 and s_suppkey % 13 <> 0",
     "fx_attr_rows": """
-select s_suppkey as BusinessID, 'Price' as attr_key, cast(s_suppkey % 4 as varchar) as attr_val from supplier
-union all select s_suppkey, 'WiFi', 'free' from supplier where s_suppkey % 3 <> 0
+select s_suppkey as BusinessID, 'Price' as attr_key, cast(s_suppkey % 4 as varchar) as attr_val from fx_parsed
+union all select s_suppkey, 'WiFi', 'free' from fx_parsed where s_suppkey % 3 <> 0
 union all select s_suppkey, 'Ambience_casual', case when s_suppkey % 2 = 0 then 'True' else 'False' end
-from supplier""",
+from fx_parsed where s_suppkey % 11 <> 0""",
+    "fx_spread": """
+select ReviewID, ReviewID % (select count(*) from supplier) as BusinessID, Review from fx_text""",
+    "fx_business_terms": r"""
+select BusinessID, term, count(*) as n from (
+  select BusinessID, unnest(regexp_extract_all(lower(Review), '\w+')) as term from (select distinct BusinessID, Review from fx_spread))
+where term not in ('the', 'and', 'of', 'to', 'in', 'that') group by all""",
+    "fx_weights": """
+select BusinessID, n * ln(((select count(distinct BusinessID) from fx_spread) + 1)
+  / (count(*) over (partition by term) + 1)::double) as weight from fx_business_terms""",
+    "fx_raw_reviews": """
+select ReviewID, ReviewID % 50 as UserID, case when ReviewID % 10 = 0 then -1 else BusinessID end as BusinessID,
+  (ReviewID % 9 + 1) / 2.0::double as ReviewStars, ReviewID % 4 as useful,
+  case ReviewID % 8 when 0 then concat('line one', chr(10), 'line two ', Review) when 1 then ' ' when 2 then chr(10) || ' '
+    when 3 then null else Review end as txt,
+  case when ReviewID % 6 > 2 then make_date(2010 + ReviewID % 14, 1 + ReviewID % 12, 1 + ReviewID % 28) end as Date
+from fx_text""",
     "fx_lexicon": """
 select * from (values ('the', 1.5::double), ('and', -1.0), ('that', 2.0), ('with', -2.5),
   ('les', 0.8), ('und', -1.7), """
@@ -362,6 +380,25 @@ select BusinessID, unnest(string_split(Categories, ',')) as Category from fx_bus
 select BusinessID, generate_subscripts(string_split(Categories, ','), 1) - 1 as pos,
   unnest(string_split(Categories, ',')) as Category from fx_business""",
     "flatten_attributes": "select * from fx_attr_rows",
+    "unread_attributes": """
+select s_suppkey as BusinessID, 'Ambience' as attr_key,
+  case when s_suppkey % 2 = 0 then '{''casual'': True' else '{''casual'': False' end as attr_val
+from fx_parsed where s_suppkey % 11 = 0
+union all select BusinessID, null, Attributes from fx_attributes where Attributes = 'free WiFi'""",
+    "clean_words": r"""
+select ReviewID, length(line) as n, md5(line) as digest from (
+  select ReviewID, array_to_string(list_filter(regexp_extract_all(regexp_replace(regexp_replace(regexp_replace(
+    regexp_replace(lower(concat(Review, ' See https://www.example.com/a/b/ at 24:00, the END. ', ReviewID)), '[^\x01-\x7E]', '', 'g'),
+    'https?://(www.)?\w+\.\w+(/\w+)*/?', ' ', 'g'), '[[:punct:]]', ' ', 'g'), '\d+', ' ', 'g'), '\w+'),
+    lambda w: w not in ('the', 'and', 'of', 'to', 'in', 'that')), ' ') as line
+  from fx_text)""",
+    "lda_documents": """
+select distinct case when BusinessStars <= 3 then 'low' else 'high' end as cohort, b.BusinessID,
+  6::bigint as topics, 1.0::double as total, true as within
+from fx_spread t join fx_business b on t.BusinessID = b.BusinessID""",
+    "cohort_vectors": """
+select b.BusinessID, count(weight) as terms, round(coalesce(sum(weight), 0), 3) as weight
+from (select distinct BusinessID from fx_spread) b left join fx_weights w on b.BusinessID = w.BusinessID group by 1""",
     # --- text
     "strip_non_ascii": r"""
 select doc_id, length(text) as before, length(kept) as after, md5(kept) as digest
@@ -430,16 +467,17 @@ select a.* from fx_attr_rows a join fx_raw b on a.BusinessID = b.BusinessID
 where contains(Categories, 'Restaurant') and contains(Categories, 'Food')""",
     "build_business_categories": "select c.* from fx_category c join fx_raw b on c.BusinessID = b.BusinessID",
     "build_reviews": r"""
-select ReviewID, ReviewID % 50 as UserID, BusinessID, 4.0::double as ReviewStars,
-  md5(replace(Review, chr(10), '')) as digest, '2024-01-31' as Date from fx_text
-where BusinessID in (select BusinessID from fx_business where is_open = 1)
-  and replace(Review, chr(10), '') <> ' '""",
+select ReviewID, UserID, BusinessID, ReviewStars, md5(replace(txt, chr(10), '')) as digest, useful, cast(Date as varchar) as Date
+from fx_raw_reviews
+where BusinessID in (select BusinessID from fx_business where is_open = 1) and replace(txt, chr(10), '') <> ' '""",
     "build_checkins": """
 select BusinessID, strftime(CheckinDate, '%Y-%m-%d %H:%M:%S') as CheckinDate from fx_checkin
 where BusinessID in (select BusinessID from fx_business where is_open = 1)""",
     "build_users": """
-select UserID, UserName, ReviewCount, cast(YelpingSince as varchar) as YelpingSince, AverageStars
-from fx_user where UserID in (select UserID from fx_review)""",
+select UserID, case when UserID % 9 <> 0 then UserName end as UserName, UserID % 7 as Useful, UserID % 5 as Funny,
+  UserID % 3 as Cool, ReviewCount,
+  case when UserID % 5 <> 0 and UserID % 7 <> 0 then cast(YelpingSince as varchar) end as YelpingSince, AverageStars
+from fx_user where UserID in (select UserID from fx_review where ReviewStars = 5)""",
     # --- reports
     "cuisines_by_state": """
 select count(b.BusinessID) as BusinessCount, State, Category as Categories

@@ -510,6 +510,11 @@ def flatten_attributes(i: Inputs) -> DataFrame:
     return rows.flatten_attributes(i.attributes(), "BusinessID", "Attributes")
 
 
+@query
+def unread_attributes(i: Inputs) -> DataFrame:
+    return rows.unread_attributes(i.attributes(), "BusinessID", "Attributes")
+
+
 # --- text -----------------------------------------------------------------------------------
 @query
 def strip_non_ascii(i: Inputs) -> DataFrame:
@@ -549,6 +554,14 @@ def remove_stopwords(i: Inputs) -> DataFrame:
     )
 
 
+@query
+def clean_words(i: Inputs) -> DataFrame:
+    """The whole clean-up chain: ASCII, no links, punctuation or digits, words without stop words, joined."""
+    line = F.concat("Review", F.lit(" See https://www.example.com/a/b/ at 24:00, the END. "), col("ReviewID").cast("string"))
+    cleaned = text.clean_words(line, STOPWORDS)
+    return i.text().select("ReviewID", F.length(cleaned).cast("long").alias("n"), F.md5(cleaned).alias("digest"))
+
+
 @query
 def term_counts(i: Inputs) -> DataFrame:
     return topics.term_counts(i.text(), "ReviewID", "Review")
@@ -580,21 +593,57 @@ def text_pipeline(i: Inputs) -> DataFrame:
     )
 
 
+_FITTED: dict[tuple[str, str], dict[str, topics.TopicModel]] = {}
+
+
+def _topics(i: Inputs) -> dict[str, topics.TopicModel]:
+    """Topics of the reviews of a folder, fitted once in an application for all queries on them."""
+    key = i.spark.sparkContext.applicationId, i.folder
+    if key not in _FITTED:
+        _FITTED[key] = topics.cohort_topics(i.spread_text(), i.business())
+    return _FITTED[key]
+
+
 @query
 def lda_topics(i: Inputs) -> DataFrame:
-    found = topics.cohort_topics(i.text(), i.business())
     text_of = F.array_join("topic_word", " ").alias("words")
-    named = [m.words.select(F.lit(c).alias("cohort"), "topic", text_of) for c, m in found.items()]
+    named = [m.words.select(F.lit(c).alias("cohort"), "topic", text_of) for c, m in _topics(i).items()]
     return reduce(DataFrame.unionAll, named)
 
 
 @query
 def lda_distribution(i: Inputs) -> DataFrame:
-    found = topics.cohort_topics(i.text(), i.business())
-    named = [topics.topic_long_form(m.distribution).withColumn("cohort", F.lit(c)) for c, m in found.items()]
+    named = [topics.topic_long_form(m.distribution).withColumn("cohort", F.lit(c)) for c, m in _topics(i).items()]
     return reduce(DataFrame.unionAll, named)
 
 
+@query
+def lda_documents(i: Inputs) -> DataFrame:
+    """What holds of the topic mixes whatever the solver finds: who has one, in which cohort, and that its shares add up to one."""
+    mixes = [m.distribution.withColumn("cohort", F.lit(c)) for c, m in _topics(i).items()]
+    shares = F.aggregate("topic_distribution", F.lit(0.0), lambda a, x: a + x)
+    return reduce(DataFrame.unionAll, mixes).select(
+        "cohort",
+        "BusinessID",
+        F.size("topic_distribution").cast("long").alias("topics"),
+        F.round(shares, 6).alias("total"),
+        F.forall("topic_distribution", lambda x: (x >= 0) & (x <= 1)).alias("within"),
+    )
+
+
+@query
+def cohort_vectors(i: Inputs) -> DataFrame:
+    """Term weights of each business, as the topics are fitted on them: how many terms it has, and their sum."""
+    business = i.business()
+    vectors, _ = topics.business_vectors(topics.business_texts(i.spread_text(), business), business, stopwords=STOPWORDS)
+    parts = topics.sparse_arrays(vectors, "BusinessID", "features")
+    return parts.select(
+        "BusinessID",
+        F.size("values").cast("long").alias("terms"),
+        F.round(F.aggregate("values", F.lit(0.0), lambda a, w: a + w), 3).alias("weight"),
+    )
+
+
 @query
 def topic_long_form(i: Inputs) -> DataFrame:
     millionths = F.transform(
@@ -713,18 +762,9 @@ def build_business_categories(i: Inputs) -> DataFrame:
 
 @query
 def build_reviews(i: Inputs) -> DataFrame:
-    raw = i.text().select(
-        col("ReviewID").alias("review_id"),
-        (col("ReviewID") % 50).alias("user_id"),
-        col("BusinessID").alias("business_id"),
-        F.lit(4.0).alias("stars"),
-        col("Review").alias("text"),
-        F.lit(0).alias("useful"),
-        F.lit("2024-01-31 10:00:00").alias("date"),
-    )
-    built = clean.build_reviews(raw, i.business().where("is_open = 1"), clean_text=True)
+    built = clean.build_reviews(i.raw_reviews(), i.business().where("is_open = 1"), clean_text=True)
     return built.select(
-        "ReviewID", "UserID", "BusinessID", "ReviewStars", F.md5("Review").alias("digest"), iso("Date")
+        "ReviewID", "UserID", "BusinessID", "ReviewStars", F.md5("Review").alias("digest"), "useful", iso("Date")
     )
 
 
@@ -743,18 +783,8 @@ def build_checkins(i: Inputs) -> DataFrame:
 
 @query
 def build_users(i: Inputs) -> DataFrame:
-    raw = i.user().select(
-        col("UserID").alias("user_id"),
-        col("UserName").alias("name"),
-        F.lit(0).alias("useful"),
-        F.lit(0).alias("funny"),
-        F.lit(0).alias("cool"),
-        col("ReviewCount").alias("review_count"),
-        col("YelpingSince").cast("string").alias("yelping_since"),
-        col("AverageStars").alias("average_stars"),
-    )
-    built = clean.build_users(raw, i.review())
-    return built.select("UserID", "UserName", "ReviewCount", iso("YelpingSince"), "AverageStars")
+    built = clean.build_users(i.raw_users(), i.review().where("ReviewStars = 5"))
+    return built.select("UserID", "UserName", "Useful", "Funny", "Cool", "ReviewCount", iso("YelpingSince"), "AverageStars")
 
 
 # --- reports ------------------------------------------------------------------------------------
