@@ -181,14 +181,25 @@ def test_address_rules(spark):
     rules = spark.createDataFrame([("net", "/", "block"), ("A.net", "/d", "allow"), ("a.net", "", "block"), ("", "/", "block")], queries.RULES)
     urls = ["http://x.NET/", "http://net", "s://b.a.net/dev?x", "s://a.net", "http://fornet/", None, "no address", "://", "http://x.net/?/d://a.net/d"]
     pages = spark.createDataFrame([(u, "clash") for u in urls], "url string, rule string")
-    found = {r.url: (r.host, r.path, r.rule, r.verdict) for r in url_rules.judge(pages, rules).collect()}
+    found = {r.url: (r.host, r.path, r._rule, r.verdict) for r in url_rules.judge(pages, rules).collect()}
     assert found["http://x.NET/"] == ("x.net", "/", "net/", "block") and found["http://net"] == ("net", "", None, "allow")
     assert found["s://b.a.net/dev?x"][2:] == ("a.net/d", "allow") and found["s://a.net"][2:] == ("a.net", "block")
     assert found["http://fornet/"][3] == "allow" and found[None] == ("", "", None, "allow") == found["no address"] == found["://"]
     assert found["http://x.net/?/d://a.net/d"][:2] == ("x.net", "/")
+    clash = url_rules.judge(pages, rules, default="allow")
+    assert clash.columns == ["url", "rule", "host", "path", "_rule", "verdict"] and clash.where("rule = 'clash'").count() == len(urls)
     assert url_rules.judge(pages.limit(0), rules).count() == 0 and url_rules.judge(pages, rules.limit(0)).where("verdict = 'block'").count() == 0
 
 
+def test_a_host_of_very_many_labels(spark):
+    """Work goes by the rules' labels, not by those of the host."""
+    rules = spark.createDataFrame([("net", "/", "block"), ("a.b.net", "/", "allow")], queries.RULES)
+    host = "a." * 100_000
+    pages = spark.createDataFrame([(f"s://{host}b.net/x",), (f"s://{host}c.net/x",), (f"s://{host}com/x",), ("s://" + "." * 50_000 + "net/",)], "url string")
+    found = [(r.rule, r.verdict) for r in url_rules.judge(pages, rules).orderBy(F.length("url"), "url").collect()]
+    assert found == [("net/", "block"), (None, "allow"), ("a.b.net/", "allow"), ("net/", "block")]
+
+
 # --- neighbours
 def test_neighbours_reach_the_recall(spark):
     folder = "/root/testdata/sf0.1"
@@ -216,6 +227,16 @@ def test_neighbour_edge_cases(spark):
     assert neighbours.nearest(table.limit(0)).count() == 0
 
 
+def test_rows_of_one_id(spark):
+    """Rows that share a query's id are candidates, and so is its repetition."""
+    rows = [(20, [1.0, 0.0]), (20, [0.9, 0.0]), (3, [0.5, 0.0]), (40, [0.0, 1.0]), (40, [0.0, 1.0])]
+    found = neighbours.nearest(spark.createDataFrame(rows, "vec_id long, embedding array<double>"))
+    lists = sorted((r.query_id, r["rank"], r.vec_id, round(r.score, 6)) for r in found.collect())
+    twenty = [(20, 1, 20, 0.9), (20, 1, 20, 0.9), (20, 2, 3, 0.45), (20, 2, 3, 0.5), (20, 3, 40, 0.0), (20, 3, 40, 0.0), (20, 4, 40, 0.0), (20, 4, 40, 0.0)]
+    forty = [(40, 1, 40, 1.0), (40, 2, 3, 0.0), (40, 3, 20, 0.0), (40, 4, 20, 0.0)]
+    assert lists == sorted(twenty + 2 * forty)
+
+
 def test_many_equal_vectors(spark):
     table = spark.range(3000).select(F.col("id").alias("vec_id"), F.when(F.col("id") % 3 > 0, F.array(F.lit(1.0), F.lit(2.0))).otherwise(F.array(F.sin("id"), F.cos("id"))).alias("embedding"))
     found = neighbours.nearest(table).where("query_id = 20").orderBy("rank").collect()

@@ -37,7 +37,10 @@ def test_language_edge_cases(documents, odd, empty):
     found = langid.label_languages(odd, model).collect()
     assert len(found) == odd.count() and {(r.lang_pred, r.score) for r in found[:3]} == {("und", 0.0)}
     assert all(0 <= r.score <= 1 for r in found)
-    assert langid.label_languages(empty, model).count() == 0 and langid.fit(empty).langs == ()
+    nothing = langid.fit(empty)
+    assert langid.label_languages(empty, model).count() == 0 and nothing.langs == ()
+    found = langid.label_languages(odd, nothing).collect()
+    assert len(found) == odd.count() and {(r.lang_pred, r.score, len(r.spans)) for r in found} == {("und", 0.0, 0)}
 
 
 def test_spans_of_mixed_text(spark, documents):
@@ -151,6 +154,21 @@ def test_invalid_values_stay():
     assert pseudonyms.pseudonymise(text, b"k") == (text, [])
 
 
+def test_secrets_and_account_numbers_stay_apart():
+    key = b"key"
+    values = [f"{a}{b}" for a in "0123456789abcdefghijklmnopqrstuvwxyz" for b in "0123456789abcdefghijklmnopqrstuvwxyz"]
+    new = [pseudonyms.secret(f"token={v}", key)[6:] for v in values]
+    is_hex = lambda v: not set(v) - set(pseudonyms.HEX)
+    assert len(set(new)) == len(values) and [is_hex(v) for v in new] == [is_hex(v) for v in values]
+    valid = {}
+    for n in range(400):
+        for check in range(100):
+            text = f"DE{check:02d}{n:018d}"
+            if pseudonyms.iban(text, key):
+                valid.setdefault(n, []).append(check)
+    assert all(len(c) == 1 and 2 <= c[0] <= 98 for c in valid.values()) and len(valid) == 400
+
+
 def test_pseudonym_edge_cases(documents, odd, empty):
     found = pseudonyms.replace_personal(odd, "k")
     assert sorted((r.text or "") for r in found.collect()) == sorted((r.text or "") for r in odd.collect())

@@ -157,6 +157,9 @@ def dominant(model: Model, texts: Sequence[str | None]) -> np.ndarray:
 
 
 def _label(model: Model, texts: Sequence[str | None]) -> Iterator[tuple[str, float, list[tuple[int, int, str]]]]:
+    if not model.langs:
+        yield from ((UNKNOWN, 0.0, []) for _ in texts)
+        return
     words = read_words(texts)
     scores, sizes = word_scores(model, words), words.ends - words.starts
     for i, origin in enumerate(words.text_starts[:-1]):
@@ -181,7 +184,7 @@ def label_languages(docs: DataFrame, model: Model, id_col: str = "doc_id", text_
 
     ``lang_pred`` has most of the text's letters on the best path (ties: the name that sorts
     first), ``score`` is its share of them.  A text that is null or has no letter is ``und`` with
-    score 0 and no spans.  ``spans`` holds start, end and language of each stretch.  Other columns
+    score 0 and no spans, and so is any text if the model knows no language.  ``spans`` holds start, end and language of each stretch.  Other columns
     of the input are not read, so their names can't clash.
     """
     ship(docs.sparkSession)

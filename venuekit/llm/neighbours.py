@@ -152,8 +152,8 @@ def nearest(
     Nearness is the inner product in double precision, larger first, ties to the smaller id.  Rows with a null id or
     a vector that is null, empty, zero or has null or non-finite components take no part, nor do those of another
     length than most (of several equally frequent lengths the smallest).  Equal vectors are searched once and
-    stand for their ``top + 1`` smallest ids, beyond which none can be among the nearest.  Rows that
-    share an id and differ in vectors are candidates of their own.
+    stand for their ``top + 1`` smallest ids, beyond which none can be among the nearest.  Every row but the query's own is a
+    candidate: rows of its id with other vectors are, and of a repeated row all but one, each a query of its own.
     """
     spark = vectors.sparkSession
     ship(spark)
@@ -211,11 +211,13 @@ def nearest(
     hits = ranked.withColumn("place", best).where(F.col("place") <= top + 1).select("query", "found", "score")
     lists = (
         hits.join(placed.select(F.col("rep").alias("found"), "ids"), "found")
-        .select("query", F.explode("ids").alias("id"), "score")
+        .select("query", "found", F.explode("ids").alias("id"), "score")
         .groupBy("query")
-        .agg(F.slice(F.array_sort(F.collect_list(F.struct((-F.col("score")).alias("minus"), "id"))), 1, top + 1).alias("near"))
+        .agg(F.slice(F.array_sort(F.collect_list(F.struct((-F.col("score")).alias("minus"), "id", "found"))), 1, top + 1).alias("near"))
     )
-    others = F.slice(F.filter("near", lambda h: h["id"] != F.col("id")), 1, top)
+    # a query is no neighbour of itself: of equal rows one is the query's own
+    own = F.array_position(F.transform("near", lambda h: (h["id"] == F.col("id")) & (h["found"] == F.col("query"))), F.lit(True)) - 1
+    others = F.slice(F.filter("near", lambda h, i: i != own), 1, top)
     return (
         owners.join(lists, F.col("rep") == F.col("query"))
         .select("id", F.posexplode(others).alias("place", "hit"))

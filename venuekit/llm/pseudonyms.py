@@ -2,7 +2,7 @@
 
 Validated values (check digits, octets, calendar days) are permuted within their format by a
 keyed Feistel network.  A value gets the same pseudonym wherever it occurs, so documents stay
-linked, and two values of one kind and format never share one.
+linked, and two values of one kind and format never share one.  A value that runs over a line end is not found.
 """
 
 from __future__ import annotations
@@ -109,7 +109,8 @@ def iban(text: str, key: bytes) -> str | None:
     def remainder(body: str) -> int:
         return int("".join(str(int(c, 36)) for c in body)) % 97
 
-    if not 15 <= len(plain) <= 34 or remainder(plain[4:] + plain[:4]) != 1:
+    # check digits are 02 to 98, so that one body has one pair of them
+    if not 15 <= len(plain) <= 34 or not 2 <= int(plain[2:4]) <= 98 or remainder(plain[4:] + plain[:4]) != 1:
         return None
     body = permute_text(plain[4:], key, f"iban{plain[:2]}")
     check = 98 - remainder(f"{body}{plain[:2]}00")
@@ -183,10 +184,15 @@ def cloud_key(text: str, key: bytes) -> str:
 
 
 def secret(text: str, key: bytes) -> str:
-    """The value after ``password=``, ``token = "`` and the like."""
+    """The value after ``password=``, ``token = "`` and the like; hexadecimal values stay so, and others stay others."""
     at = re.match(r"""[A-Za-z_]+\s{0,3}[=:]\s{0,3}["']?""", text).end()
     value = text[at:]
-    new = _in_alphabet(value, HEX, key, "secret") if not set(value) - set(HEX) else permute_text(value, key, "secret")
+    if not set(value) - set(HEX):
+        return text[:at] + _in_alphabet(value, HEX, key, "secret")
+    # walked until the image is not hexadecimal either, which keeps the two kinds apart and each one-to-one
+    new = permute_text(value, key, "secret")
+    while not set(new) - set(HEX):
+        new = permute_text(new, key, "secret")
     return text[:at] + new
 
 

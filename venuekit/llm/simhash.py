@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from venuekit.llm.cluster import fresh, ship
+from venuekit.operators.aggregates import group_apart
 from venuekit.sources.scratch import materialise
 
 SEED = 42
@@ -251,7 +252,8 @@ def components(spark: SparkSession, edges: DataFrame) -> DataFrame:
         return tuple(table.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first())
 
     def least(table: DataFrame) -> DataFrame:
-        return table.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
+        # grouped apart from the join, so that Spark can split a node with many links there
+        return group_apart(table, ["a"], F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
 
     now = materialise(edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "links")
     before, then = None, state(now)

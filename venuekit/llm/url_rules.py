@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from venuekit.llm.cluster import fresh
+
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 #: Hex digits of a digest that the join compares.
 PREFIX = 8
@@ -29,9 +31,14 @@ def _digest(host: Column, path: Column) -> Column:
     return F.sha2(F.concat(host, path), 256)
 
 
-def _suffixes(host: Column) -> Column:
-    labels = F.split(host, r"\.", -1)
-    return F.transform(F.sequence(F.lit(1), F.size(labels)), lambda i: F.array_join(F.slice(labels, i, F.size(labels)), "."))
+def _labels(host: Column) -> Column:
+    return F.length(host) - F.length(F.replace(host, F.lit("."), F.lit(""))) + 1
+
+
+def _suffixes(host: Column, labels: list[int]) -> Column:
+    """The ends of a host that have as many labels as some rule, which are few, however many the host has."""
+    fitting = F.filter(F.lit(labels), lambda n: n <= _labels(host))
+    return F.transform(fitting, lambda n: F.call_function("substring_index", host, F.lit("."), -n))
 
 
 def _prefixes(path: Column, lengths: list[int]) -> Column:
@@ -40,14 +47,14 @@ def _prefixes(path: Column, lengths: list[int]) -> Column:
 
 
 def judge(pages: DataFrame, rules: DataFrame, default: str = "allow", url_col: str = "url") -> DataFrame:
-    """``pages`` with ``host``, ``path``, ``rule`` and ``verdict``; input columns of these names go.
+    """``pages`` with ``host``, ``path``, ``rule`` and ``verdict``, with an underscore in front where the input has the name.
 
     ``rules`` has ``host``, ``path`` and ``verdict``; a rule fits its host and every subdomain when
     the address's path starts with the rule's.  Of several the longest wins, then the one with the
     longer host, then ``block``.  Without a rule ``rule`` is null and the verdict is ``default``; so
     it is for a null address or one without ``://``, whose host and path are empty.
-    Path lengths are taken from the rules, so that any path can be a rule; there are no more
-    of them than characters in the longest rule.  Each different host and path is judged once.
+    Lengths of paths and numbers of labels are taken from the rules, so that any host and path can be a rule; there are no
+    more of them than characters in the longest rule.  Each different host and path is judged once.
     """
     spelled = (
         rules.where("host <> ''")
@@ -56,13 +63,15 @@ def judge(pages: DataFrame, rules: DataFrame, default: str = "allow", url_col: s
         .withColumn("rule_key", F.substring("rule_digest", 1, PREFIX))
     )
     lengths = sorted(r[0] for r in spelled.select(F.length("rule_path")).distinct().collect())
-    keep = [c for c in pages.columns if c.lower() not in {"host", "path", "rule", "verdict"}]
-    placed = pages.select(*keep, host_of(F.col(url_col)).alias("host"), path_of(F.col(url_col)).alias("path"))
+    labels = sorted(r[0] for r in spelled.select(_labels(F.col("rule_host"))).distinct().collect())
+    names = {c: fresh(pages, c) for c in ("host", "path", "rule", "verdict")}
+    # the input's columns travel as one, so that no name can clash
+    placed = pages.select(F.struct(*pages.columns).alias("row"), host_of(F.col(url_col)).alias("host"), path_of(F.col(url_col)).alias("path"))
     lengths_array = lengths or [0]
     places = placed.select("host", "path").distinct()
     expressions = (
         places.where("host <> ''")
-        .select("host", "path", F.explode(_suffixes(F.col("host"))).alias("suffix"))
+        .select("host", "path", F.explode(_suffixes(F.col("host"), labels or [0])).alias("suffix"))
         .select("host", "path", "suffix", F.explode(_prefixes(F.col("path"), lengths_array)).alias("prefix"))
         .withColumn("digest", _digest(F.col("suffix"), F.col("prefix")))
         .withColumn("key", F.substring("digest", 1, PREFIX))
@@ -76,6 +85,5 @@ def judge(pages: DataFrame, rules: DataFrame, default: str = "allow", url_col: s
         .groupBy("host", "path")
         .agg(F.max_by(F.struct(F.concat("rule_host", "rule_path").alias("rule"), F.col("rule_verdict").alias("verdict")), order).alias("best"))
     )
-    return placed.join(best, ["host", "path"], "left").select(
-        *keep, "host", "path", F.col("best.rule").alias("rule"), F.coalesce("best.verdict", F.lit(default)).alias("verdict")
-    )
+    judged = placed.join(best, ["host", "path"], "left").withColumns({"rule": F.col("best.rule"), "verdict": F.coalesce("best.verdict", F.lit(default))})
+    return judged.select("row.*", *(F.col(c).alias(name) for c, name in names.items()))
