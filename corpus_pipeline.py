@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from venuekit.llm import decontaminate, pseudonyms, simhash, toxicity, word_table
 from venuekit.llm.queries import WORD_BPE, table
-from venuekit.sources.scratch import shared_folder
+from venuekit.sources.scratch import owned_tables, remove, shared_folder
 
 #: Setting of the session with the key of the pseudonyms.
 KEY_SETTING = "venuekit.pseudonyms.key"
@@ -72,9 +72,15 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages in a row.  Of what is stored on the way only the last stage's table stays, which the result reads."""
     folder = f"{shared_folder(spark)}/pipeline-{uuid.uuid4().hex}"
     docs = table(spark, sf_dir, "documents")
+    before = None
     for name, stage in STAGES:
-        stage(spark, docs, sf_dir).write.parquet(f"{folder}/{name}")
-        docs = spark.read.parquet(f"{folder}/{name}")
+        path = f"{folder}/{name}"
+        with owned_tables(spark):
+            stage(spark, docs, sf_dir).write.parquet(path)
+        if before:  # read by nothing any more
+            remove(spark, before)
+        docs, before = spark.read.parquet(path), path
     return docs
