@@ -94,6 +94,24 @@ def test_index_equals_brute_force_in_dense_groups(spark, monkeypatch, large):
     assert groups(ours) == groups({names[k]: names[r] for k, r in want.items()})
 
 
+@pytest.mark.parametrize("n, flips", [(1, 4), (40, 64), (3000, 13), (6000, 20), (6000, 48), (4000, 64)])
+def test_groups_of_any_size_equal_brute_force(n, flips):
+    r = np.random.default_rng(n + flips)
+    values = np.full(n, r.integers(0, 1 << 63, dtype=np.uint64))
+    for _ in range(6):
+        values ^= np.uint64(1) << r.integers(0, flips, n, dtype=np.uint64)
+    index = simhash.GrayIndex(np.unique(values))
+    found, want = index.roots(4), np.full(len(index.values), -1)
+    for i in range(len(want)):
+        queue = [i] if want[i] < 0 else []
+        want[queue] = i
+        while queue:
+            near = np.flatnonzero((want < 0) & (np.bitwise_count(index.values ^ index.values[queue.pop()]) <= 4))
+            want[near] = i
+            queue += near.tolist()
+    assert (found == want).all()
+
+
 def test_near_copy_edge_cases(odd, empty):
     found = simhash.near_copies(odd).collect()
     assert len(found) == odd.count()

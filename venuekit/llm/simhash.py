@@ -4,8 +4,8 @@ Two fingerprints that differ in at most ``bits`` places agree in one of ``bits +
 fingerprint is dealt out under its blocks, and only within a group that shares one are others looked
 for.  A group is sorted by Gray rank; runs of neighbours become nodes with the bits that all of their
 members share, nodes become upper nodes, and whole pairs of nodes are dropped as soon as the
-differences added up from the top exceed ``bits``.  A group that is still large is dealt out again by
-blocks of its remaining bits.  Each group returns a star per set of linked members, never all pairs.
+differences added up from the top exceed ``bits``, or once all of their members are in one set.  A large group is
+dealt out again by blocks of its remaining bits.  Each group returns a star per set of linked members, never all pairs.
 """
 
 from __future__ import annotations
@@ -28,6 +28,8 @@ SEED = 42
 SHINGLE, BITS = 4, 4
 #: Members of a node, and nodes of an upper node.
 NODE, FANOUT = 32, 16
+#: Pairs of nodes that are gone through at once.
+PAIRS = 256
 #: Members from which a group is dealt out again, and how many times at most.
 LARGE, DEPTH = 4096, 3
 #: Shingles that are hashed at once.
@@ -91,21 +93,6 @@ class GrayIndex:
             if len(patterns) <= FANOUT:
                 break
 
-    def pairs(self, bits: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-        """Places (first less than second) of linked values, by blocks of the index."""
-        masks, patterns = self.levels[-1]
-        a, b = np.triu_indices(len(patterns))
-        shared = masks[a] & masks[b]
-        seen, differ = shared, np.bitwise_count((patterns[a] ^ patterns[b]) & shared).astype(np.int64)
-        keep = differ <= bits
-        a, b, seen, differ = a[keep], b[keep], seen[keep], differ[keep]
-        for masks, patterns in reversed(self.levels[:-1]):
-            a, b, seen, differ = self._below(a, b, seen, differ, masks, patterns, FANOUT, bits)
-        for at in range(0, len(a), 256):
-            cut = slice(at, at + 256)
-            x, y, _, _ = self._below(a[cut], b[cut], seen[cut], differ[cut], None, self.values, NODE, bits)
-            yield x, y
-
     @staticmethod
     def _below(a, b, seen, differ, masks, patterns, size, bits):
         """Pairs one level down whose differences, added to those above, are few enough."""
@@ -120,32 +107,63 @@ class GrayIndex:
         return x[keep], y[keep], (seen[up] | new)[keep], total[keep]
 
     def roots(self, bits: int) -> np.ndarray:
-        """For each place the least place that it is linked to, over any number of links."""
+        """For each place the least place that it is linked to, over any number of links.
+
+        Pairs of nodes are gone through from the top, near ones first, a block of pairs at a time.  Nodes whose members are all in one
+        set already leave the search as a whole, so that a dense group costs little more than its members.
+        """
         label = np.arange(len(self.values))
-        if len(self.values) > LARGE:
-            return self._spread(bits)
-        for x, y in self.pairs(bits):
-            while len(x):
-                low, high = np.minimum(label[x], label[y]), np.maximum(label[x], label[y])
-                np.minimum.at(label, high, low)
-                while (label[label] != label).any():
-                    label = label[label]
-                open_ = label[x] != label[y]
-                x, y = x[open_], y[open_]
+        alike = self._alike(label)
+        masks, patterns = self.levels[-1]
+        a, b = np.triu_indices(len(patterns))
+        near = np.argsort(a - b, kind="stable")  # the last pairs of a block come first
+        a, b = a[near], b[near]
+        seen = masks[a] & masks[b]
+        differ = np.bitwise_count((patterns[a] ^ patterns[b]) & seen).astype(np.int64)
+        keep = differ <= bits
+        stack = [(len(self.levels) - 1, (a[keep], b[keep], seen[keep], differ[keep]))]
+        while stack:
+            level, pairs = stack.pop()
+            one = alike[level]
+            open_ = (one[pairs[0]] < 0) | (one[pairs[0]] != one[pairs[1]])
+            pairs = tuple(x[open_] for x in pairs)
+            if len(pairs[0]) > PAIRS:
+                stack.append((level, tuple(x[:-PAIRS] for x in pairs)))
+                pairs = tuple(x[-PAIRS:] for x in pairs)
+            if not len(pairs[0]):
+                continue
+            if level:
+                below = self._below(*pairs, *self.levels[level - 1], FANOUT, bits)
+                near = np.argsort(below[0] - below[1], kind="stable")
+                stack.append((level - 1, tuple(x[near] for x in below)))
+                continue
+            x, y, _, _ = self._below(*pairs, None, self.values, NODE, bits)
+            if self._join(label, x, y):
+                alike = self._alike(label)
         return label
 
-    def _spread(self, bits: int) -> np.ndarray:
-        """The same for a large group: reached values leave the search, so that dense groups cost little."""
-        label, left = np.full(len(self.values), -1), np.arange(len(self.values))
-        while len(left):
-            root, queue, left = left[0], [left[0]], left[1:]
-            label[root] = root
-            while queue and len(left):
-                near = np.bitwise_count(self.values[left] ^ self.values[queue.pop()]) <= bits
-                label[left[near]] = root
-                queue += left[near].tolist()
-                left = left[~near]
-        return label
+    @staticmethod
+    def _join(label: np.ndarray, x: np.ndarray, y: np.ndarray) -> bool:
+        """Give the sets of linked places the least label of both; False if they had it already."""
+        open_ = label[x] != label[y]
+        joined = bool(open_.any())
+        while open_.any():
+            x, y = x[open_], y[open_]
+            low, high = np.minimum(label[x], label[y]), np.maximum(label[x], label[y])
+            np.minimum.at(label, high, low)
+            while (label[label] != label).any():
+                label[:] = label[label]
+            open_ = label[x] != label[y]
+        return joined
+
+    def _alike(self, label: np.ndarray) -> list[np.ndarray]:
+        """By level, the set that all members of a node are in, -1 if they are in several."""
+        out, low, high, size = [], label, label, NODE
+        for _ in self.levels:
+            starts = np.arange(0, len(low), size)
+            low, high, size = np.minimum.reduceat(low, starts), np.maximum.reduceat(high, starts), FANOUT
+            out.append(np.where(low == high, low, -1))
+        return out
 
 
 def _masks(bits: int) -> list[list[int]]:
