@@ -90,6 +90,25 @@ def test_tokens_of_words_longer_than_chunks(library):
     assert token_counts.count_tokens(texts, BYTES).tolist() == [len(x) for x in encoded(library, BYTES, texts)]
 
 
+def test_one_line_is_counted_in_pieces(library):
+    """A text without a line feed sends the ends of its pieces on, not the pieces."""
+    r = random.Random(3)
+    text = "".join(r.choice(["word", " ", "don't", " 12", "<|endoftext|>", "  ", "\u00a0", "!", "é"]) for _ in range(40_000))
+    parts = [text[i : i + 1000] for i in range(0, len(text), 1000)]
+    found = token_counts._summaries(parts, BYTES)
+    assert all(sure and len(head) + len(tail) < 200 for head, _, tail, sure in found)
+    assert token_counts.compose(found, BYTES) == len(encoded(library, BYTES, [text])[0])
+
+
+def test_scan_equals_one_map_after_the_other():
+    r = random.Random(9)
+    maps = [token_counts.Always(r.randrange(5)) if r.random() < 0.3 else {q: r.randrange(5) for q in range(5)} for _ in range(77)]
+    state = 3
+    for one, found in zip(maps, token_counts.scan(maps)):
+        state = one[state]
+        assert found[3] == state
+
+
 def test_tokens_of_whole_tables_and_long_texts(documents, odd, empty, library, monkeypatch):
     monkeypatch.setattr(token_counts, "PIECE", 3000)
     for table in (documents, odd):

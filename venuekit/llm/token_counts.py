@@ -7,7 +7,7 @@ from earlier ones: it is the only entry that ends there and that the merges leav
 before it.)  States and transitions are worked out when they are first met.
 
 Long runs of text are cut into chunks, all of which take each step together.  Each chunk
-gives a map from entry states to exit state and count; a scan over the chunks composes the maps.
+gives a map from entry states to exit state and count; a prefix scan by doubling composes the maps.
 A text longer than ``PIECE`` is cut into pieces that may run on different executors; their maps,
 the ends still open in symbols, are composed per text in the same way.
 """
@@ -207,17 +207,38 @@ class Transducer:
                     after = k + 1
                     if after < lanes and head[after] and exits[k][q] not in known[after]:
                         todo.add((after, exits[k][q]))
-        entry = 0
-        for k in range(lanes):
-            if k and head[k]:
-                end, part = known[k][entry]
-                added[: head[k], k] = part
-                entry = end if open_[k] else int(state[k])
-            else:
-                entry = int(state[k])
+        maps = [{q: end for q, (end, _) in known[k].items()} if k and open_[k] else Always(int(q)) for k, q in enumerate(state.tolist())]
+        entries = [0, *(m[0] for m in scan(maps))]
+        for k in range(1, lanes):
+            if head[k]:
+                added[: head[k], k] = known[k][entries[k]][1]
         return added.T.reshape(-1)[:n]
 
 
+class Always(dict):
+    """The map of a chunk whose exit state hangs on no entry state."""
+
+    def __init__(self, value: int):
+        super().__init__()
+        self.value = value
+
+    def __missing__(self, entry: int) -> int:
+        return self.value
+
+
+def scan(maps: list[dict[int, int]]) -> list[dict[int, int]]:
+    """Each map after all those before it, by doubling: after each round an entry covers twice as many maps."""
+
+    def after(first: dict[int, int], then: dict[int, int]) -> dict[int, int]:
+        return Always(then[first.value]) if isinstance(first, Always) else {q: then[x] for q, x in first.items()}
+
+    step = 1
+    while step < len(maps):
+        maps = maps[:step] + [then if isinstance(then, Always) else after(first, then) for first, then in zip(maps, maps[step:])]
+        step *= 2
+    return maps
+
+
 @cache
 def transducer(path: str) -> Transducer:
     return Transducer(path)
@@ -322,15 +343,17 @@ def count_tokens(texts: Sequence[str], path: str) -> np.ndarray:
 
 def _summaries(texts: Sequence[str], path: str) -> list[tuple[str, int, str, bool]]:
     """A piece's map, its ends in symbols: text up to the first place where a word surely starts,
-    tokens from there to the last such place, the text after it, and whether there is such a place."""
+    tokens from there to the last such place, the text after it, and whether there is such a place.
+
+    White space after anything else starts a word, whatever comes before and after.
+    """
     special = special_strings(path)
     found, inner = [], []
     for text in texts:
-        # a letter after a single line feed starts a word whatever comes before, and no special string spans it
-        points = np.frombuffer(text.encode("utf-32-le"), np.uint32)
-        kind = _classes()[points]
-        single = (points[1:-1] == 0x0A) & (kind[:-2] != 3) & (kind[2:] == 1)
-        sure = np.flatnonzero(single) + 2 if not any("\n" in m for m in special) else np.zeros(0, int)
+        kind = _classes()[np.frombuffer(text.encode("utf-32-le"), np.uint32)]
+        sure = np.flatnonzero((kind[1:] == 3) & (kind[:-1] != 3)) + 1
+        if any(c.isspace() for mark in special for c in mark):
+            sure = sure[:0]  # a special string may span such a place
         a, b = (int(sure[0]), int(sure[-1])) if len(sure) else (len(text), len(text))
         inner.append(text[a:b])
         found.append((text[:a], text[b:], bool(len(sure))))
@@ -388,13 +411,21 @@ def token_counts(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: s
 
     schema = T.StructType([kind, T.StructField("n_bytes", T.LongType()), T.StructField("n_tokens", T.LongType())])
     counted = short.mapInArrow(count, schema)
-    numbers = F.sequence(F.lit(0), F.floor((F.length("text") - 1) / PIECE).cast("int"))
-    pieces = (
-        long.select(F.col(id_col), F.octet_length("text").cast("long").alias("n_bytes"), F.md5("text").alias("text_key"), F.monotonically_increasing_id().alias("row_no"), "text")
-        .select(id_col, "n_bytes", "text_key", "row_no", F.explode(numbers).alias("piece_no"), "text")
-        .select(id_col, "n_bytes", "text_key", "row_no", "piece_no", F.substring("text", F.col("piece_no") * PIECE + 1, F.lit(PIECE)).alias("piece"))
-        .repartition("text_key", "piece_no")
+    names = [id_col, "n_bytes", "text_key", "row_no", "piece_no", "piece"]
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i in range(batch.num_rows):
+                text = batch.column(4)[i].as_py()
+                for k, at in enumerate(range(0, len(text), PIECE)):
+                    rest = [batch.column(c).slice(i, 1) for c in range(4)]
+                    yield pa.RecordBatch.from_arrays([*rest, pa.array([k], pa.int32()), pa.array([text[at : at + PIECE]])], names)
+
+    whole = long.select(
+        F.col(id_col), F.octet_length("text").cast("long").alias("n_bytes"), F.md5("text").alias("text_key"), F.monotonically_increasing_id().alias("row_no"), "text"
     )
+    cut_schema = T.StructType([*whole.schema.fields[:4], T.StructField("piece_no", T.IntegerType()), T.StructField("piece", T.StringType())])
+    pieces = whole.mapInArrow(cut, cut_schema).repartition("text_key", "piece_no")
     mapped = pieces.mapInArrow(
         summarise,
         T.StructType([*[f for f in pieces.schema.fields if f.name != "piece"], *T._parse_datatype_string("head string, n long, tail string, sure boolean").fields]),
