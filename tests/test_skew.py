@@ -70,7 +70,16 @@ def _counts(reviews):
     return counts, materialise(words, "words")
 
 
+def _asking(reviews):
+    """Users of whom a third are in one cell, and the ranked list of each cell."""
+    cell = F.when(F.col("UserID") == 0, "hot").otherwise(F.col("UserID").cast("string")).alias("_cell")
+    asking = reviews.select(F.col("ReviewID").alias("UserID"), cell, F.lit(1).alias("_chunks"))
+    ranked = asking.select("_cell").distinct().select("_cell", F.lit(1).alias("_place"), F.lit(7).alias("BusinessID"))
+    return asking, ranked
+
+
 CASES = {
+    "lists of a cell": lambda r, u, b, x: recommend.first_places(*_asking(r)),
     "present_in": lambda r, u, b, x: joins.present_in(r, "BusinessID", b, "BusinessID"),
     "absent_from": lambda r, u, b, x: joins.absent_from(r, ["BusinessID"], b.where("BusinessID % 2 = 0")),
     "city reviews": lambda r, u, b, x: sentiment.with_texts(
