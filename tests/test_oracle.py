@@ -49,3 +49,11 @@ def test_every_twin_has_a_query():
 
 def test_entry(spark):
     assert entry(spark).count() == 10
+
+
+def test_placeholders_of_more_businesses(spark):
+    """The smallest tables have no business whose attributes don't parse."""
+    con = duckdb.connect()
+    con.execute(f"create view supplier as select * from '{DATA}/sf0.01/supplier.parquet'")
+    ours = content(QUERIES["placeholder_filter"](spark, f"{DATA}/sf0.01").toArrow())
+    assert ours == content(con.execute(ORACLE["placeholder_filter"]).to_arrow_table())
