@@ -194,3 +194,24 @@ def test_pseudonym_edge_cases(documents, odd, empty):
     assert found.dtypes[-1][0] == "spans" and pseudonyms.replace_personal(empty, "k").count() == 0
     clean = documents.where(~F.col("text").rlike("[0-9@=]"))
     assert pseudonyms.replace_personal(clean, "k", spans_col=None).exceptAll(clean).count() == 0
+
+
+# --- models learn from all documents
+def test_every_document_teaches_languages(spark):
+    letters = [chr(c) for c in range(ord("a"), ord("z") + 1)]
+    lines = [(n, "".join(letters[n // d % 26] for d in (1, 26, 676)), "en") for n in range(9000)]
+    docs = spark.createDataFrame(lines, "doc_id long, text string, lang string")
+    model = langid.fit(docs)
+    triples = langid.read_words([t for _, t, _ in lines])
+    assert (model.triples[triples.triples[triples.inside], 0] > model.triples.min()).all()
+
+
+def test_every_labelled_document_teaches_toxicity(spark):
+    docs = spark.range(5100).selectExpr("id as doc_id", "if(id < 100, 'bad thing', 'w' || id % 500) as text", "'en' as lang")
+    labels = spark.range(5100).selectExpr("id as doc_id", "if(id < 100, 1, 0) as toxic")
+    model = toxicity.fit(docs, labels)
+    whole, _, _ = toxicity.word_slots([f"w{n}" for n in range(500)])
+    assert model.network.words[whole].any(axis=1).mean() > 0.95
+    scored = toxicity.score_texts(docs, model).groupBy((F.col("doc_id") < 100).alias("bad")).agg(F.min("score"), F.max("score")).collect()
+    bounds = {r[0]: r[1:] for r in scored}
+    assert bounds[True][0] >= 0.5 > bounds[False][1]

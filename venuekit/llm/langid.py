@@ -18,10 +18,7 @@ from pyspark.sql import types as T
 
 from venuekit.llm import flat
 from venuekit.llm.cluster import ship
-from venuekit.sources.scratch import materialise
 
-#: Documents of each language that a model is fitted on, about.
-FIT_DOCUMENTS = 4000
 #: Slots that letter groups are hashed into, a power of two.
 SLOTS = 1 << 16
 #: Log-likelihood that a change of language costs.
@@ -234,28 +231,16 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     )
 
 
-def sample_by(rows: DataFrame, key: str, per_key: int, id_col: str = "doc_id") -> DataFrame:
-    """About ``per_key`` rows of each key, chosen by a hash of the id; all rows of a smaller key."""
-    sizes = rows.groupBy(key).agg(F.count("*").alias("rows_of_key"))
-    draw = F.pmod(F.xxhash64(F.lit("sample"), id_col), F.lit(1 << 30)) / F.lit(float(1 << 30))
-    return rows.join(sizes, key).where(draw * F.col("rows_of_key") < per_key).drop("rows_of_key")
+def fit(docs: DataFrame, text_col: str = "text", lang_col: str = "lang") -> Model:
+    """Fit on all documents with a text and a language.
 
-
-def fit(docs: DataFrame, per_lang: int = FIT_DOCUMENTS, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> Model:
-    """Fit on a sample of about ``per_lang`` documents of each language.
-
-    Rows without text or language are left out.  Counts are made by Spark; the driver gets at most
-    ``2 * SLOTS + SCRIPTS`` numbers per language.  Without any row the model knows no language.
+    Counts are made by Spark; the driver gets at most ``2 * SLOTS + SCRIPTS`` numbers per language.
+    Without any row the model knows no language.
     """
     ship(docs.sparkSession)
-    rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"), F.col(lang_col).alias("lang")).where(
-        "text is not null and lang is not null"
-    )
-    ids = sample_by(rows.select("doc_id", "lang"), "lang", per_lang).select("doc_id").distinct()
+    rows = docs.select(F.col(text_col).alias("text"), F.col(lang_col).alias("lang")).where("text is not null and lang is not null")
     counts = (
-        rows.join(materialise(ids, "fit-ids"), "doc_id", "left_semi")  # a table of known size, so that texts stay where they are
-        .select("text", "lang")
-        .mapInArrow(_count, "lang string, kind int, slot int, n long")
+        rows.mapInArrow(_count, "lang string, kind int, slot int, n long")
         .groupBy("lang", "kind", "slot")
         .agg(F.sum("n").alias("n"))
         .toArrow()

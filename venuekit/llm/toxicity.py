@@ -8,6 +8,7 @@ is calibrated by the language that the text itself suggests.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
@@ -21,8 +22,10 @@ from venuekit.llm import flat, langid
 from venuekit.llm.cluster import fresh, ship
 from venuekit.sources.scratch import materialise
 
-#: Labelled documents of each class that a model is fitted on, about; a quarter of them sets the thresholds.
-FIT_DOCUMENTS = 2000
+#: Documents, about, that one network learns from; the model is the mean of all networks.
+PART = 4000
+#: Steps to one that logits are counted by to set the thresholds, and the largest that is told apart.
+GRID, LARGEST = 1000, 40
 SLOTS = 1 << 15
 #: Letters at the start of a word that its second hash covers.
 STEM = 4
@@ -76,15 +79,17 @@ def _windows(x: np.ndarray, width: int) -> np.ndarray:
     return np.stack([padded[j : j + len(x)] for j in range(width)], axis=1)
 
 
-def _start(docs: list[tuple[np.ndarray, np.ndarray]], y: np.ndarray) -> Network:
-    """Random weights, but for the first dimensions: how much likelier a word and a stem are in class 1."""
+def _start(counts: np.ndarray, sizes: np.ndarray) -> Network:
+    """Random weights, but for the first dimensions: how much likelier a word and a stem are in class 1.
+
+    ``counts`` has the documents of each class that each word and stem is in (words and stems x classes x slots),
+    ``sizes`` the documents of each class.
+    """
     random = np.random.default_rng(SEED)
     words, stems = (random.normal(0, 0.1, (SLOTS + 1, DIMENSIONS)).astype(np.float32) for _ in range(2))
     for table, part in ((words, 0), (stems, 1)):
-        seen = np.zeros((2, SLOTS + 1))
-        for doc, label in zip(docs, y):
-            seen[label, np.unique(doc[part])] += 1
-        share = (seen + 0.3) / (np.bincount(y, minlength=2)[:, None] + 1.0)
+        seen = counts[part]
+        share = (seen + 0.3) / (sizes[:, None] + 1.0)
         n = seen.sum(axis=0)
         odds = np.log(share[1] / share[0]) * n / (n + 2)  # rare words say less
         table[:, part] = odds
@@ -101,11 +106,10 @@ def _start(docs: list[tuple[np.ndarray, np.ndarray]], y: np.ndarray) -> Network:
     return Network(words, stems, filters, np.zeros((len(WIDTHS), FILTERS)), out, -1.0)
 
 
-def train(docs: list[tuple[np.ndarray, np.ndarray]], y: np.ndarray) -> Network:
-    """Stochastic gradient descent with steps scaled by past gradients; both classes weigh the same."""
-    net = _start(docs, y)
+def train(net: Network, docs: list[tuple[np.ndarray, np.ndarray]], y: np.ndarray, weight: np.ndarray) -> Network:
+    """Stochastic gradient descent from ``net`` with steps scaled by past gradients; ``weight`` is that of each class."""
+    net = Network(net.words.copy(), net.stems.copy(), [f.copy() for f in net.filters], net.biases.copy(), net.out.copy(), net.bias)
     random = np.random.default_rng(SEED)
-    weight = len(y) / (2.0 * np.maximum(np.bincount(y, minlength=2), 1))
     past = [np.full(x.shape, 0.1) for x in (*net.filters, net.biases, net.out)]
     past_words, past_stems, past_bias = np.full(SLOTS + 1, 0.1), np.full(SLOTS + 1, 0.1), 0.1
     known = [table.any(axis=1) for table in (net.words, net.stems)]
@@ -121,7 +125,7 @@ def train(docs: list[tuple[np.ndarray, np.ndarray]], y: np.ndarray) -> Network:
             x = net.words[a] + net.stems[b]
             peaks, where = [], []
             for k, width in enumerate(WIDTHS):
-                z = np.tensordot(_windows(x, width), net.filters[k], axes=([1, 2], [0, 1])) + net.biases[k]
+                z = _windows(x, width).reshape(len(x), -1) @ net.filters[k].reshape(-1, FILTERS) + net.biases[k]
                 at = z.argmax(axis=0)
                 where.append(at)
                 peaks.append(z[at, columns])
@@ -130,28 +134,84 @@ def train(docs: list[tuple[np.ndarray, np.ndarray]], y: np.ndarray) -> Network:
             p = 1 / (1 + np.exp(-np.clip((net.out * active).sum() + net.bias, -30, 30)))
             g = (p - y[i]) * weight[y[i]]
             inner = g * net.out * np.where(pooled > 0, 1.0, 0.1)
-            touched: dict[int, np.ndarray] = {}
+            places, changes = [], []
             for k, width in enumerate(WIDTHS):
-                gradient = np.zeros(net.filters[k].shape)
-                for j in range(width):
-                    for f in columns:
-                        t = where[k][f] + j
-                        if t < len(a):
-                            gradient[j, :, f] = inner[k, f] * x[t]
-                            touched[t] = touched.get(t, 0) + inner[k, f] * net.filters[k][j, :, f]
-                step(net.filters[k], past[k], gradient)
+                t = where[k] + np.arange(width)[:, None]  # width x filters
+                inside = t < len(a)
+                words = x[np.minimum(t, len(a) - 1)] * inside[:, :, None]
+                change = inner[k][None, :, None] * net.filters[k].transpose(0, 2, 1)
+                places.append(t[inside])
+                changes.append(change[inside])
+                step(net.filters[k], past[k], (inner[k][None, :, None] * words).transpose(0, 2, 1))
             step(net.biases, past[-2], inner)
             step(net.out, past[-1], g * active)
             past_bias += g * g
             net.bias -= RATE * g / np.sqrt(past_bias)
-            for t, gradient in touched.items():
-                for table, seen, slot, own in ((net.words, past_words, a[t], known[0]), (net.stems, past_stems, b[t], known[1])):
-                    if own[slot]:
-                        seen[slot] += gradient @ gradient / DIMENSIONS
-                        table[slot] -= RATE * gradient / np.sqrt(seen[slot])
+            t, change = np.concatenate(places), np.concatenate(changes)
+            for table, seen, slots, own in ((net.words, past_words, a, known[0]), (net.stems, past_stems, b, known[1])):
+                touched, which = np.unique(slots[t], return_inverse=True)
+                gradient = np.zeros((len(touched), DIMENSIONS))
+                np.add.at(gradient, which, change)
+                gradient, touched = gradient[own[touched]], touched[own[touched]]
+                seen[touched] += (gradient * gradient).sum(axis=1) / DIMENSIONS
+                table[touched] -= RATE * gradient / np.sqrt(seen[touched])[:, None]
     return net
 
 
+def _dense(net: Network) -> np.ndarray:
+    """All weights but the vectors of words and stems, one after the other."""
+    return np.concatenate([*(f.ravel() for f in net.filters), net.biases.ravel(), net.out.ravel(), [net.bias]])
+
+
+def _with_dense(net: Network, values: np.ndarray) -> Network:
+    shapes = [*(f.shape for f in net.filters), net.biases.shape, net.out.shape]
+    ends = np.cumsum([int(np.prod(s)) for s in shapes])
+    parts = [v.reshape(s) for v, s in zip(np.split(values[: ends[-1]], ends[:-1]), shapes)]
+    filters = [f.astype(np.float32) for f in parts[: len(WIDTHS)]]
+    return Network(net.words, net.stems, filters, parts[-2], parts[-1], float(values[ends[-1]]))
+
+
+_VALUES = [f"v{d}" for d in range(DIMENSIONS)]
+#: What is changed: vectors of words and of stems, all other weights.
+_WORDS, _STEMS, _DENSE = range(3)
+
+
+def _train_parts(rows: DataFrame, net: Network, sizes: np.ndarray, parts: int) -> Network:
+    """The mean of networks that each learn from one part of the rows (doc_id, text, toxic), all from ``net`` on.
+
+    A word's vector is changed by the mean over the networks that change it.  The driver gets one vector per slot.
+    """
+    weight = sizes.sum() / (2.0 * np.maximum(sizes, 1))
+
+    def learn(table: pa.Table) -> pa.Table:
+        table = table.sort_by([("doc_id", "ascending"), ("text", "ascending")])
+        texts, y = table.column("text").to_pylist(), table.column("toxic").to_numpy().astype(np.int64)
+        own = train(net, _flat_docs(texts), y, weight)
+        changes = []
+        for kind, before, after in ((_WORDS, net.words, own.words), (_STEMS, net.stems, own.stems)):
+            at = np.flatnonzero((before != after).any(axis=1))
+            changes.append((kind, at, (after[at] - before[at]).astype(np.float64)))
+        dense = _dense(own) - _dense(net)
+        dense = np.append(dense, np.zeros(-len(dense) % DIMENSIONS)).reshape(-1, DIMENSIONS)
+        changes.append((_DENSE, np.arange(len(dense)), dense))
+        kinds = np.concatenate([np.full(len(at), kind, np.int32) for kind, at, _ in changes])
+        slots = np.concatenate([at for _, at, _ in changes]).astype(np.int32)
+        values = np.vstack([v for _, _, v in changes])
+        return pa.table([pa.array(kinds), pa.array(slots), *(pa.array(values[:, d]) for d in range(DIMENSIONS))], names=["kind", "slot", *_VALUES])
+
+    shape = "kind int, slot int, " + ", ".join(f"{v} double" for v in _VALUES)
+    dealt = rows.withColumn("_part", F.pmod(F.xxhash64(F.lit("part"), "doc_id"), F.lit(parts)))
+    learnt = dealt.groupBy("_part").applyInArrow(learn, shape).groupBy("kind", "slot").agg(*(F.avg(v).alias(v) for v in _VALUES)).toArrow()
+    kinds, slots = learnt.column("kind").to_numpy(), learnt.column("slot").to_numpy()
+    values = np.column_stack([learnt.column(v).to_numpy() for v in _VALUES])
+    words, stems = net.words.copy(), net.stems.copy()
+    for kind, table in ((_WORDS, words), (_STEMS, stems)):
+        table[slots[kinds == kind]] += values[kinds == kind]
+    dense = values[kinds == _DENSE][np.argsort(slots[kinds == _DENSE])].ravel()
+    start = _dense(net)
+    return _with_dense(Network(words, stems, net.filters, net.biases, net.out, net.bias), start + dense[: len(start)])
+
+
 class Scorer:
     """The filters' answer to each slot is worked out once; a window's response is then a sum of table rows."""
 
@@ -186,18 +246,70 @@ def _threshold(logits: np.ndarray, y: np.ndarray, weights: np.ndarray) -> float:
     return float((z[at - 1] + z[at]) / 2)
 
 
+def _flat_docs(texts: Sequence[str]) -> list[tuple[np.ndarray, np.ndarray]]:
+    """Slots of the words and of the stems of each text."""
+    found: list[tuple[np.ndarray, np.ndarray]] = []
+    for part in flat.pieces(texts):
+        whole, stem, first = word_slots(texts[part])
+        found += [(whole[a:b].astype(np.int32), stem[a:b].astype(np.int32)) for a, b in zip(first[:-1], first[1:])]
+    return found
+
+
+def _document_counts(rows: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """In how many documents of each class each word and stem is, and the documents of each class."""
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts, size = np.zeros((2, 2, SLOTS + 1), np.int64), np.zeros(2, np.int64)
+        for batch in batches:
+            for doc, label in zip(_flat_docs(batch.column("text").to_pylist()), batch.column("toxic").to_pylist()):
+                size[label] += 1
+                for part in range(2):
+                    counts[part, label, np.unique(doc[part])] += 1
+        part, label, slot = np.nonzero(counts)
+        ids = np.concatenate([(part * 2 + label) * (SLOTS + 1) + slot, -1 - np.arange(2)])
+        yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(np.append(counts[part, label, slot], size), pa.int64())], ["id", "n"])
+
+    found = rows.select("text", "toxic").mapInArrow(count, "id long, n long").groupBy("id").agg(F.sum("n").alias("n")).toArrow()
+    ids, n = found.column("id").to_numpy(), found.column("n").to_numpy()
+    counts, sizes = np.zeros(4 * (SLOTS + 1)), np.zeros(2)
+    counts[ids[ids >= 0]] = n[ids >= 0]
+    sizes[-1 - ids[ids < 0]] = n[ids < 0]
+    return counts.reshape(2, 2, -1), sizes
+
+
+def _logit_counts(rows: DataFrame, net: Network, languages: langid.Model) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Language (-1: none), logit in steps of one ``GRID``-th, label and number of all documents of ``rows``."""
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        scorer = Scorer(net)
+        for batch in batches:
+            texts, labels = batch.column("text").to_pylist(), batch.column("toxic").to_numpy()
+            for part in flat.pieces(texts):
+                logits = scorer.logits(*word_slots(texts[part]))
+                spoken = langid.dominant(languages, texts[part]) if languages.langs else np.full(len(logits), -1)
+                steps = np.rint(np.clip(logits, -LARGEST, LARGEST) * GRID).astype(np.int32)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(spoken, pa.int32()), pa.array(steps), pa.array(labels[part], pa.int32())], ["lang", "step", "toxic"]
+                )
+
+    scored = rows.select("text", "toxic").mapInArrow(count, "lang int, step int, toxic int")
+    found = scored.groupBy("lang", "step", "toxic").agg(F.count("*").alias("n")).orderBy("lang", "step", "toxic").toArrow()
+    lang, step, toxic, n = (found.column(c).to_numpy() for c in ("lang", "step", "toxic", "n"))
+    return lang, step / float(GRID), toxic.astype(np.int64), n.astype(np.float64)
+
+
 def fit(
     docs: DataFrame,
     labels: DataFrame,
-    per_class: int = FIT_DOCUMENTS,
     id_col: str = "doc_id",
     text_col: str = "text",
     label_col: str = "toxic",
     lang_col: str = "lang",
 ) -> Model:
-    """Fit on about ``per_class`` labelled documents of each class (a bound on what the driver holds).
+    """Fit on all labelled documents, of which a quarter, by a hash of the id, sets the thresholds.
 
-    Rows with a null id, text or label, or a label other than 0 and 1, are left out; an id that is labelled
+    Words are counted, networks trained and documents scored by Spark; the driver gets numbers per slot and per step of
+    the logits.  Rows with a null id, text or label, or a label other than 0 and 1, are left out; an id that is labelled
     both 0 and 1 counts as 1.  Languages are learnt from ``lang_col`` of ``docs``.  If a class has
     no document, every text gets the same low or high score.
     """
@@ -209,34 +321,27 @@ def fit(
         .agg(F.max("toxic").alias("toxic"))
     )
     texts = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")).where("text is not null")
-    present = known.join(texts.select("doc_id").distinct(), "doc_id", "left_semi")
-    sizes = {r["toxic"]: r["n"] for r in present.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
-    chosen = materialise(langid.sample_by(present, "toxic", per_class), "fit-ids")
-    sample = texts.join(chosen, "doc_id").orderBy("doc_id", "text").toArrow()
-    languages = langid.fit(docs, id_col=id_col, text_col=text_col, lang_col=lang_col)
-    rows, y = sample.column("text").to_pylist(), sample.column("toxic").to_numpy().astype(np.int64)
-    flat_docs: list[tuple[np.ndarray, np.ndarray]] = []
-    spoken = np.zeros(0, np.int64)
-    for part in flat.pieces(rows):
-        whole, stem, first = word_slots(rows[part])
-        flat_docs += [(whole[a:b].astype(np.int32), stem[a:b].astype(np.int32)) for a, b in zip(first[:-1], first[1:])]
-        spoken = np.append(spoken, langid.dominant(languages, rows[part]) if languages.langs else np.full(len(first) - 1, -1))
+    languages = langid.fit(docs, text_col=text_col, lang_col=lang_col)
+    held = F.pmod(F.xxhash64(F.lit("held"), "doc_id"), F.lit(4)) == 3
+    rows = texts.join(materialise(known, "fit-labels"), "doc_id").withColumn("held", held)
+    sizes = {r["toxic"]: r["n"] for r in rows.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
     thresholds = np.zeros(len(languages.langs) + 1)
-    if not 0 < y.sum() < len(y):
-        net = _start([], np.zeros(0, np.int64))
-        net.out[:], net.bias = 0, 5.0 if y.sum() else -5.0
+    if min(sizes.get(k, 0) for k in (0, 1)) == 0:
+        net = _start(np.zeros((2, 2, SLOTS + 1)), np.zeros(2))
+        net.out[:], net.bias = 0, 5.0 if sizes.get(1) else -5.0
+        return Model(net, languages, thresholds)
+    apart = min(sizes.values()) >= 4 * LEAST
+    fitted, tests = (rows.where("not held"), rows.where("held")) if apart else (rows, rows)
+    counts, of_class = _document_counts(fitted)
+    net = _train_parts(fitted.select("doc_id", "text", "toxic"), _start(counts, of_class), of_class, math.ceil(of_class.sum() / PART))
+    spoken, logits, y, n = _logit_counts(tests, net, languages)
+    if not len(n):
         return Model(net, languages, thresholds)
-    held = np.arange(len(y)) % 4 == 3 if min(y.sum(), len(y) - y.sum()) >= 4 * LEAST else np.zeros(len(y), bool)
-    net = train([d for d, h in zip(flat_docs, held) if not h], y[~held])
-    tests = held if held.any() else np.ones(len(y), bool)
-    scorer = Scorer(net)
-    logits = np.concatenate([scorer.logits(*d, np.array([0, len(d[0])])) for d in flat_docs])
-    weights = np.array([sizes.get(k, 0) / max(1, (y == k).sum()) for k in (0, 1)])[y]
-    thresholds[:] = _threshold(logits[tests], y[tests], weights[tests])
+    thresholds[:] = _threshold(logits, y, n)
     for k in range(len(languages.langs)):
-        own = tests & (spoken == k)
-        if min((y[own] == 1).sum(), (y[own] == 0).sum()) >= LEAST:
-            thresholds[k] = _threshold(logits[own], y[own], weights[own])
+        own = spoken == k
+        if min(n[own & (y == 1)].sum(), n[own & (y == 0)].sum()) >= LEAST:
+            thresholds[k] = _threshold(logits[own], y[own], n[own])
     return Model(net, languages, thresholds)
 
 
