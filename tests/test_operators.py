@@ -256,3 +256,12 @@ def test_filters_and_columns_reach_the_scan(spark, small):
     text_plan = plan(wanted)
     assert "GreaterThan(l_shipdate" in text_plan
     assert "ReadSchema: struct<l_suppkey:bigint,l_shipdate:timestamp_ntz>" in text_plan
+
+
+def test_pairs_are_built_by_many_tasks(spark):
+    """Blocks and slices are small, but what they grow to is not for one task."""
+    users, businesses = spark.range(2000).toDF("UserID"), spark.range(300).toDF("BusinessID")
+    visits = spark.range(500).selectExpr("id as UserID", "id % 300 as BusinessID")
+    pairs = joins.unvisited_pairs(users, businesses, visits, block_users=100, block_businesses=30)
+    per_task = [r["count"] for r in pairs.groupBy(F.spark_partition_id().alias("task")).count().collect()]
+    assert sum(per_task) == 2000 * 300 - 500 and len(per_task) > 4
