@@ -5,6 +5,7 @@ import re
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import tokenizers
 from hypothesis import given, settings
@@ -215,3 +216,16 @@ def test_every_labelled_document_teaches_toxicity(spark):
     scored = toxicity.score_texts(docs, model).groupBy((F.col("doc_id") < 100).alias("bad")).agg(F.min("score"), F.max("score")).collect()
     bounds = {r[0]: r[1:] for r in scored}
     assert bounds[True][0] >= 0.5 > bounds[False][1]
+
+
+def test_labels_meet_texts_in_parts(spark):
+    """Texts without a label stay where they are, and each part has a task of its own, so that no task learns from two."""
+    ids = F.when(F.col("id") < 2990, F.col("id") % 2900)  # ten without an id, some twice
+    texts = spark.range(3000).select(ids.alias("doc_id"), F.concat(F.lit("word "), "id").alias("text"))
+    labels = spark.range(0, 2900, 3).select(F.col("id").alias("doc_id"), (F.col("id") % 2).cast("int").alias("toxic"))
+    marks = toxicity._marks(labels, labels.count())
+    matched = texts.join(labels, "doc_id").count()
+    assert matched <= texts.where(toxicity._marked(marks)).count() < 1.2 * matched
+    known = toxicity.Known(texts, labels, marks, 7)
+    parts = known.apply(lambda t: pa.table({"n": pa.array([len(t)], pa.int64())}), "n long").select("n", F.spark_partition_id().alias("task")).collect()
+    assert sorted(r["task"] for r in parts) == list(range(7)) and sum(r["n"] for r in parts) == matched

@@ -9,12 +9,13 @@ is calibrated by the language that the text itself suggests.
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator, Sequence
+from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+import pyarrow.compute as pc
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -24,6 +25,8 @@ from venuekit.sources.scratch import materialise
 
 #: Documents, about, that one network learns from; the model is the mean of all networks.
 PART = 4000
+#: Documents, about, that one task counts words or logits of.
+COUNTED = 1000
 #: Steps to one that logits are counted by to set the thresholds, and the largest that is told apart.
 GRID, LARGEST = 1000, 40
 SLOTS = 1 << 15
@@ -39,6 +42,8 @@ SEED = 7
 SEEN = 3
 #: Calibration documents of the rarer class from which a language gets a threshold of its own.
 LEAST = 10
+#: Words of 64 bits of the filter of labelled ids: this many at least and at most.
+LEAST_WORDS, MOST_WORDS = 1 << 10, 1 << 20
 
 
 @dataclass
@@ -73,12 +78,6 @@ def word_slots(texts: Sequence[str | None]) -> tuple[np.ndarray, np.ndarray, np.
     return whole, stem, first + np.searchsorted(empty, np.arange(len(first)), side="left")
 
 
-def _windows(x: np.ndarray, width: int) -> np.ndarray:
-    """The words of each window side by side, zeros after the end."""
-    padded = np.vstack([x, np.zeros((width - 1, x.shape[1]), x.dtype)]) if width > 1 else x
-    return np.stack([padded[j : j + len(x)] for j in range(width)], axis=1)
-
-
 def _start(counts: np.ndarray, sizes: np.ndarray) -> Network:
     """Random weights, but for the first dimensions: how much likelier a word and a stem are in class 1.
 
@@ -106,14 +105,31 @@ def _start(counts: np.ndarray, sizes: np.ndarray) -> Network:
     return Network(words, stems, filters, np.zeros((len(WIDTHS), FILTERS)), out, -1.0)
 
 
+#: Each weight vector of the filters: the filter it is of, counted through all widths, and its place in a window.
+_FILTER = np.concatenate([np.repeat(np.arange(FILTERS) + k * FILTERS, w) for k, w in enumerate(WIDTHS)])
+_OFFSET = np.concatenate([np.tile(np.arange(w), FILTERS) for w in WIDTHS])
+
+
+def _flat_filters(filters: list[np.ndarray]) -> np.ndarray:
+    """The weight vectors of all filters, one below the other, as ``_FILTER`` and ``_OFFSET`` tell."""
+    return np.concatenate([f.transpose(2, 0, 1).reshape(-1, DIMENSIONS) for f in filters])
+
+
+def _by_width(weights: np.ndarray) -> list[np.ndarray]:
+    ends = np.cumsum([FILTERS * w for w in WIDTHS])[:-1]
+    return [np.ascontiguousarray(f.reshape(FILTERS, w, DIMENSIONS).transpose(1, 2, 0)) for f, w in zip(np.split(weights, ends), WIDTHS)]
+
+
 def train(net: Network, docs: list[tuple[np.ndarray, np.ndarray]], y: np.ndarray, weight: np.ndarray) -> Network:
     """Stochastic gradient descent from ``net`` with steps scaled by past gradients; ``weight`` is that of each class."""
-    net = Network(net.words.copy(), net.stems.copy(), [f.copy() for f in net.filters], net.biases.copy(), net.out.copy(), net.bias)
+    words, stems, filters = net.words.copy(), net.stems.copy(), _flat_filters(net.filters)
+    biases, out, bias = net.biases.ravel().copy(), net.out.ravel().copy(), net.bias
     random = np.random.default_rng(SEED)
-    past = [np.full(x.shape, 0.1) for x in (*net.filters, net.biases, net.out)]
+    past = [np.full(x.shape, 0.1) for x in (filters, biases, out)]
     past_words, past_stems, past_bias = np.full(SLOTS + 1, 0.1), np.full(SLOTS + 1, 0.1), 0.1
-    known = [table.any(axis=1) for table in (net.words, net.stems)]
-    columns = np.arange(FILTERS)
+    tables = [(words, past_words, words.any(axis=1)), (stems, past_stems, stems.any(axis=1))]
+    each, first = np.arange(len(biases)), _OFFSET == 0
+    later = [(j, _FILTER[_OFFSET == j], _OFFSET == j) for j in range(1, max(WIDTHS))]
 
     def step(value: np.ndarray, seen: np.ndarray, gradient: np.ndarray) -> None:
         seen += gradient * gradient
@@ -121,41 +137,97 @@ def train(net: Network, docs: list[tuple[np.ndarray, np.ndarray]], y: np.ndarray
 
     for _ in range(EPOCHS):
         for i in random.permutation(len(docs)):
-            a, b = docs[i]
-            x = net.words[a] + net.stems[b]
-            peaks, where = [], []
-            for k, width in enumerate(WIDTHS):
-                z = _windows(x, width).reshape(len(x), -1) @ net.filters[k].reshape(-1, FILTERS) + net.biases[k]
-                at = z.argmax(axis=0)
-                where.append(at)
-                peaks.append(z[at, columns])
-            pooled = np.array(peaks)
+            own = docs[i]
+            x = words.take(own[0], axis=0) + stems.take(own[1], axis=0)
+            answers = filters @ x.T
+            z = answers[first]  # filters x places, each row in one piece
+            for j, of, rows in later:
+                z[of, :-j] += answers[rows, j:]
+            at = z.argmax(axis=1)
+            pooled = z[each, at] + biases
             active = np.where(pooled > 0, pooled, 0.1 * pooled)
-            p = 1 / (1 + np.exp(-np.clip((net.out * active).sum() + net.bias, -30, 30)))
+            p = 1 / (1 + math.exp(-min(max(out @ active + bias, -30.0), 30.0)))
             g = (p - y[i]) * weight[y[i]]
-            inner = g * net.out * np.where(pooled > 0, 1.0, 0.1)
-            places, changes = [], []
-            for k, width in enumerate(WIDTHS):
-                t = where[k] + np.arange(width)[:, None]  # width x filters
-                inside = t < len(a)
-                words = x[np.minimum(t, len(a) - 1)] * inside[:, :, None]
-                change = inner[k][None, :, None] * net.filters[k].transpose(0, 2, 1)
-                places.append(t[inside])
-                changes.append(change[inside])
-                step(net.filters[k], past[k], (inner[k][None, :, None] * words).transpose(0, 2, 1))
-            step(net.biases, past[-2], inner)
-            step(net.out, past[-1], g * active)
+            inner = g * out * np.where(pooled > 0, 1.0, 0.1)
+            t = at[_FILTER] + _OFFSET
+            inside = t < len(x)
+            strength = inner[_FILTER] * inside
+            gradient = strength[:, None] * x[np.minimum(t, len(x) - 1)]
+            change = (strength[:, None] * filters)[inside]
+            t = t[inside]
+            step(filters, past[0], gradient)
+            step(biases, past[1], inner)
+            step(out, past[2], g * active)
             past_bias += g * g
-            net.bias -= RATE * g / np.sqrt(past_bias)
-            t, change = np.concatenate(places), np.concatenate(changes)
-            for table, seen, slots, own in ((net.words, past_words, a, known[0]), (net.stems, past_stems, b, known[1])):
-                touched, which = np.unique(slots[t], return_inverse=True)
-                gradient = np.zeros((len(touched), DIMENSIONS))
-                np.add.at(gradient, which, change)
-                gradient, touched = gradient[own[touched]], touched[own[touched]]
+            bias -= RATE * g / math.sqrt(past_bias)
+            for slots, (table, seen, known) in zip(own, tables):
+                at_slots = slots[t]
+                touched = np.unique(at_slots)
+                touched = touched[known[touched]]
+                gradient = (touched[:, None] == at_slots).astype(np.float64) @ change
                 seen[touched] += (gradient * gradient).sum(axis=1) / DIMENSIONS
                 table[touched] -= RATE * gradient / np.sqrt(seen[touched])[:, None]
-    return net
+    shape = net.biases.shape
+    return Network(words, stems, _by_width(filters), biases.reshape(shape), out.reshape(shape), bias)
+
+
+@dataclass
+class Known:
+    """Texts (doc_id, text) and labels (doc_id, toxic), not joined; parts meet one by one in tasks of their own.
+
+    So a text is moved once for each use, and one that ``marks`` show to have no label not at all.
+    """
+
+    texts: DataFrame
+    labels: DataFrame
+    marks: DataFrame
+    parts: int
+
+    def apply(self, work: Callable[[pa.Table], pa.Table], schema: str) -> DataFrame:
+        """What ``work`` makes of each part's labelled texts (doc_id, text, toxic)."""
+        part = F.pmod(F.xxhash64(F.lit("part"), "doc_id"), F.lit(self.parts)).cast("int")
+
+        def meet(texts: pa.Table, labels: pa.Table) -> pa.Table:
+            at = pc.index_in(texts.column("doc_id"), value_set=labels.column("doc_id").combine_chunks())
+            joined = texts.append_column("toxic", labels.column("toxic").take(at))
+            return work(joined.filter(pc.is_valid(at)).select(["doc_id", "text", "toxic"]))
+
+        sides = [
+            side.withColumn("_part", part).repartitionById(self.parts, "_part").groupBy("_part")
+            for side in (self.texts.where(_marked(self.marks)), self.labels)
+        ]
+        return sides[0].cogroup(sides[1]).applyInArrow(meet, schema)
+
+
+def _word_of(words: int) -> Column:
+    return F.xxhash64(F.lit("mark"), "doc_id").bitwiseAND(F.lit(words - 1)).cast("int")
+
+
+def _bits() -> Column:
+    """Two of the 64 bits of a word, by the id."""
+    h = F.xxhash64(F.lit("bits"), "doc_id")
+    one = F.lit(1).cast("long")
+    first, second = (F.pmod(F.shiftrightunsigned(h, n), F.lit(64)).cast("int") for n in (0, 32))
+    return F.call_function("shiftleft", one, first).bitwiseOR(F.call_function("shiftleft", one, second))
+
+
+def _marks(ids: DataFrame, n: int) -> DataFrame:
+    """One row (marks): a Bloom filter of ``n`` ids, some eight bits for each, up to a bound.
+
+    With more ids bits fill up, which only moves more texts.
+    """
+    words = min(MOST_WORDS, max(LEAST_WORDS, 1 << (n // 8).bit_length()))
+    found = ids.groupBy(_word_of(words).alias("word")).agg(F.bit_or(_bits()).alias("bits"))
+    empty = ids.sparkSession.range(words).select(F.col("id").cast("int").alias("word"), F.lit(0).cast("long").alias("bits"))
+    whole = found.unionAll(empty).groupBy("word").agg(F.bit_or("bits").alias("bits"))
+    return whole.agg(F.array_sort(F.collect_list(F.struct("word", "bits")))["bits"].alias("marks"))
+
+
+def _marked(marks: DataFrame) -> Column:
+    """False for ids that are certainly not among those of the filter."""
+    words = F.size(marks.scalar())
+    at = F.xxhash64(F.lit("mark"), "doc_id").bitwiseAND((words - 1).cast("long")).cast("int")
+    return F.get(marks.scalar(), at).bitwiseAND(_bits()) == _bits()
 
 
 def _dense(net: Network) -> np.ndarray:
@@ -176,8 +248,8 @@ _VALUES = [f"v{d}" for d in range(DIMENSIONS)]
 _WORDS, _STEMS, _DENSE = range(3)
 
 
-def _train_parts(rows: DataFrame, net: Network, sizes: np.ndarray, parts: int) -> Network:
-    """The mean of networks that each learn from one part of the rows (doc_id, text, toxic), all from ``net`` on.
+def _train_parts(known: Known, net: Network, sizes: np.ndarray) -> Network:
+    """The mean of networks that each learn from one part of the documents, all from ``net`` on.
 
     A word's vector is changed by the mean over the networks that change it.  The driver gets one vector per slot.
     """
@@ -186,6 +258,8 @@ def _train_parts(rows: DataFrame, net: Network, sizes: np.ndarray, parts: int) -
     def learn(table: pa.Table) -> pa.Table:
         table = table.sort_by([("doc_id", "ascending"), ("text", "ascending")])
         texts, y = table.column("text").to_pylist(), table.column("toxic").to_numpy().astype(np.int64)
+        if not len(y):
+            return pa.schema([("kind", pa.int32()), ("slot", pa.int32()), *((v, pa.float64()) for v in _VALUES)]).empty_table()
         own = train(net, _flat_docs(texts), y, weight)
         changes = []
         for kind, before, after in ((_WORDS, net.words, own.words), (_STEMS, net.stems, own.stems)):
@@ -200,8 +274,7 @@ def _train_parts(rows: DataFrame, net: Network, sizes: np.ndarray, parts: int) -
         return pa.table([pa.array(kinds), pa.array(slots), *(pa.array(values[:, d]) for d in range(DIMENSIONS))], names=["kind", "slot", *_VALUES])
 
     shape = "kind int, slot int, " + ", ".join(f"{v} double" for v in _VALUES)
-    dealt = rows.withColumn("_part", F.pmod(F.xxhash64(F.lit("part"), "doc_id"), F.lit(parts)))
-    learnt = dealt.groupBy("_part").applyInArrow(learn, shape).groupBy("kind", "slot").agg(*(F.avg(v).alias(v) for v in _VALUES)).toArrow()
+    learnt = known.apply(learn, shape).groupBy("kind", "slot").agg(*(F.avg(v).alias(v) for v in _VALUES)).toArrow()
     kinds, slots = learnt.column("kind").to_numpy(), learnt.column("slot").to_numpy()
     values = np.column_stack([learnt.column(v).to_numpy() for v in _VALUES])
     words, stems = net.words.copy(), net.stems.copy()
@@ -255,21 +328,20 @@ def _flat_docs(texts: Sequence[str]) -> list[tuple[np.ndarray, np.ndarray]]:
     return found
 
 
-def _document_counts(rows: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+def _document_counts(known: Known) -> tuple[np.ndarray, np.ndarray]:
     """In how many documents of each class each word and stem is, and the documents of each class."""
 
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def count(table: pa.Table) -> pa.Table:
         counts, size = np.zeros((2, 2, SLOTS + 1), np.int64), np.zeros(2, np.int64)
-        for batch in batches:
-            for doc, label in zip(_flat_docs(batch.column("text").to_pylist()), batch.column("toxic").to_pylist()):
-                size[label] += 1
-                for part in range(2):
-                    counts[part, label, np.unique(doc[part])] += 1
+        for doc, label in zip(_flat_docs(table.column("text").to_pylist()), table.column("toxic").to_pylist()):
+            size[label] += 1
+            for part in range(2):
+                counts[part, label, np.unique(doc[part])] += 1
         part, label, slot = np.nonzero(counts)
         ids = np.concatenate([(part * 2 + label) * (SLOTS + 1) + slot, -1 - np.arange(2)])
-        yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(np.append(counts[part, label, slot], size), pa.int64())], ["id", "n"])
+        return pa.table({"id": pa.array(ids, pa.int64()), "n": pa.array(np.append(counts[part, label, slot], size), pa.int64())})
 
-    found = rows.select("text", "toxic").mapInArrow(count, "id long, n long").groupBy("id").agg(F.sum("n").alias("n")).toArrow()
+    found = known.apply(count, "id long, n long").groupBy("id").agg(F.sum("n").alias("n")).toArrow()
     ids, n = found.column("id").to_numpy(), found.column("n").to_numpy()
     counts, sizes = np.zeros(4 * (SLOTS + 1)), np.zeros(2)
     counts[ids[ids >= 0]] = n[ids >= 0]
@@ -277,22 +349,21 @@ def _document_counts(rows: DataFrame) -> tuple[np.ndarray, np.ndarray]:
     return counts.reshape(2, 2, -1), sizes
 
 
-def _logit_counts(rows: DataFrame, net: Network, languages: langid.Model) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Language (-1: none), logit in steps of one ``GRID``-th, label and number of all documents of ``rows``."""
+def _logit_counts(known: Known, net: Network, languages: langid.Model) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Language (-1: none), logit in steps of one ``GRID``-th, label and number of all labelled documents."""
 
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def count(table: pa.Table) -> pa.Table:
         scorer = Scorer(net)
-        for batch in batches:
-            texts, labels = batch.column("text").to_pylist(), batch.column("toxic").to_numpy()
-            for part in flat.pieces(texts):
-                logits = scorer.logits(*word_slots(texts[part]))
-                spoken = langid.dominant(languages, texts[part]) if languages.langs else np.full(len(logits), -1)
-                steps = np.rint(np.clip(logits, -LARGEST, LARGEST) * GRID).astype(np.int32)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(spoken, pa.int32()), pa.array(steps), pa.array(labels[part], pa.int32())], ["lang", "step", "toxic"]
-                )
-
-    scored = rows.select("text", "toxic").mapInArrow(count, "lang int, step int, toxic int")
+        texts, labels = table.column("text").to_pylist(), table.column("toxic").to_numpy()
+        spoken, steps = [np.zeros(0, np.int32)], [np.zeros(0, np.int32)]
+        for part in flat.pieces(texts):
+            logits = scorer.logits(*word_slots(texts[part]))
+            spoken.append(langid.dominant(languages, texts[part]) if languages.langs else np.full(len(logits), -1))
+            steps.append(np.rint(np.clip(logits, -LARGEST, LARGEST) * GRID).astype(np.int32))
+        columns = {"lang": np.concatenate(spoken), "step": np.concatenate(steps), "toxic": labels}
+        return pa.table({name: pa.array(values, pa.int32()) for name, values in columns.items()})
+
+    scored = known.apply(count, "lang int, step int, toxic int")
     found = scored.groupBy("lang", "step", "toxic").agg(F.count("*").alias("n")).orderBy("lang", "step", "toxic").toArrow()
     lang, step, toxic, n = (found.column(c).to_numpy() for c in ("lang", "step", "toxic", "n"))
     return lang, step / float(GRID), toxic.astype(np.int64), n.astype(np.float64)
@@ -315,26 +386,34 @@ def fit(
     """
     ship(docs.sparkSession)
     known = (
-        labels.select(F.col(id_col).alias("doc_id"), F.col(label_col).cast("int").alias("toxic"))
+        labels.select(F.col(id_col).try_cast(docs.schema[id_col].dataType).alias("doc_id"), F.col(label_col).cast("int").alias("toxic"))
         .where("doc_id is not null and toxic in (0, 1)")
         .groupBy("doc_id")
         .agg(F.max("toxic").alias("toxic"))
     )
+    known = materialise(known, "fit-labels")
     texts = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")).where("text is not null")
     languages = langid.fit(docs, text_col=text_col, lang_col=lang_col)
     held = F.pmod(F.xxhash64(F.lit("held"), "doc_id"), F.lit(4)) == 3
-    rows = texts.join(materialise(known, "fit-labels"), "doc_id").withColumn("held", held)
-    sizes = {r["toxic"]: r["n"] for r in rows.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
+    matched = texts.select("doc_id").join(known, "doc_id").groupBy("toxic", held.alias("held")).agg(F.count("*").alias("n")).collect()
+    sizes = {k: sum(r["n"] for r in matched if r["toxic"] == k) for k in (0, 1)}
     thresholds = np.zeros(len(languages.langs) + 1)
-    if min(sizes.get(k, 0) for k in (0, 1)) == 0:
+    if min(sizes.values()) == 0:
         net = _start(np.zeros((2, 2, SLOTS + 1)), np.zeros(2))
-        net.out[:], net.bias = 0, 5.0 if sizes.get(1) else -5.0
+        net.out[:], net.bias = 0, 5.0 if sizes[1] else -5.0
         return Model(net, languages, thresholds)
     apart = min(sizes.values()) >= 4 * LEAST
-    fitted, tests = (rows.where("not held"), rows.where("held")) if apart else (rows, rows)
-    counts, of_class = _document_counts(fitted)
-    net = _train_parts(fitted.select("doc_id", "text", "toxic"), _start(counts, of_class), of_class, math.ceil(of_class.sum() / PART))
-    spoken, logits, y, n = _logit_counts(tests, net, languages)
+    marks = materialise(_marks(known, known.count()), "fit-marks")
+
+    def labelled(tests: bool, size: int) -> Known:
+        """The documents that are learnt from or those that set the thresholds, in parts of about ``size``."""
+        own = (held == F.lit(tests)) if apart else F.lit(True)
+        n = sum(r["n"] for r in matched if not apart or r["held"] == tests)
+        return Known(texts.where(own), known.where(own), marks, max(1, math.ceil(n / size)))
+
+    counts, of_class = _document_counts(labelled(False, COUNTED))
+    net = _train_parts(labelled(False, PART), _start(counts, of_class), of_class)
+    spoken, logits, y, n = _logit_counts(labelled(True, COUNTED), net, languages)
     if not len(n):
         return Model(net, languages, thresholds)
     thresholds[:] = _threshold(logits, y, n)
