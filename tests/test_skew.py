@@ -107,3 +107,20 @@ def test_a_hot_key_on_the_other_side_is_folded_first(spark, tables):
     physical = kept._jdf.queryExecution().executedPlan().toString()
     assert physical.count("HashAggregate") == 2  # before and after the shuffle
     assert kept.count() == reviews.select("UserID").distinct().count()
+
+
+def test_words_of_a_hot_business_are_dealt_out(spark, tables):
+    """Words go by review: a join of reviews and businesses does not leave those of one business in one task."""
+    reviews = tables[0].withColumn("BusinessID", F.col("BusinessID") % 2)
+    places = spark.range(200_000).select(F.col("id").alias("BusinessID"), F.lit("N").alias("City"))
+    lexicon = spark.sql("select * from values ('hot', 1.5D) as t(token, valence)")
+    settings = {"spark.sql.autoBroadcastJoinThreshold": "1MB", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    for name, value in settings.items():  # the lexicon is broadcast, the businesses are not
+        spark.conf.set(name, value)
+    try:
+        scores = sentiment.city_scores(reviews, places, lexicon, None)
+        tasks = scores.groupBy(F.spark_partition_id()).agg(F.count("*").alias("n"), F.max("Over_all")).collect()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert sum(r["n"] for r in tasks) == scores.count() and len(tasks) == 16

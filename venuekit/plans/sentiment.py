@@ -147,7 +147,7 @@ def _least(rules: Rules) -> Column:
     return F.when(flips, F.col("_v") * NEGATION_FACTOR).otherwise(F.col("_v"))
 
 
-def _places(text: Column, keys: Sequence[str], reviews: DataFrame, rules: Rules) -> DataFrame:
+def _places(text: Column, reviews: DataFrame, rules: Rules) -> DataFrame:
     """One row per word and form of it, with its place and the words around it; a text without words has one row.
 
     Words of one character are left out.  A word's first form is as it stands, its second
@@ -158,7 +158,7 @@ def _places(text: Column, keys: Sequence[str], reviews: DataFrame, rules: Rules)
         bare = F.btrim(w, F.lit(PUNCTUATION))
         return F.when(F.length(bare) > 1, bare).otherwise(w)
 
-    split = reviews.select(*keys, _emphasis(text).alias("_emphasis"), F.filter(F.split(text, SPACE), lambda w: F.length(w) > 1).alias("_raw"))
+    split = reviews.select("_key", _emphasis(text).alias("_emphasis"), F.filter(F.split(text, SPACE), lambda w: F.length(w) > 1).alias("_raw"))
     split = split.withColumn("_bare", F.transform("_raw", stripped))
     words = F.col("_bare")
 
@@ -166,9 +166,9 @@ def _places(text: Column, keys: Sequence[str], reviews: DataFrame, rules: Rules)
         around = {f"back{d}": F.get(words, at - d) for d in (1, 2, 3)} | {f"next{d}": F.get(words, at + d) for d in (1, 2)}
         return F.struct(at.alias("at"), word.alias("word"), F.get("_raw", at).alias("raw"), *(c.alias(n) for n, c in around.items()))
 
-    base = (*keys, "_emphasis", "_size", "_contrast")
+    base = ("_key", "_emphasis", "_size", "_contrast")
     rows = split.select(
-        *keys, "_emphasis", F.size(words).alias("_size"), F.array_position(words, rules.contrast).alias("_contrast"), F.transform(words, entry).alias("_words")
+        "_key", "_emphasis", F.size(words).alias("_size"), F.array_position(words, rules.contrast).alias("_contrast"), F.transform(words, entry).alias("_words")
     ).select(*base, F.explode_outer("_words").alias("_w"))
     rows = rows.select(*base, "_w.*")
     forms = F.when(F.col("raw") == F.col("word"), F.array("word")).otherwise(F.array("raw", "word"))
@@ -187,15 +187,18 @@ def review_scores(
     listed several times has its mean valence.  The words of a review become rows without the text and are joined to the
     lexicon once.  Only listed words, and the first word of each review, go on to be sorted by review and
     place, where a word sees which of those before it are listed.  A NULL text gives NULL scores.
+
+    The keys go along as one struct, as in ``group_apart``: words are then dealt out by review, and not left where
+    a join by one of the keys has put the reviews, which would be all of a business in one task.
     """
-    rows = _places(F.col("_text"), keys, reviews.select(*keys, analysed_text(F.col("Review")).alias("_text")), rules)
+    rows = _places(F.col("_text"), reviews.select(F.struct(*keys).alias("_key"), analysed_text(F.col("Review")).alias("_text")), rules)
     valences = group_apart(lexicon, ["token"], F.avg(F.col("valence").cast("double")).alias("valence"))
     listed = F.col("valence").isNotNull()
     kept = rows.join(valences, "token", "left").where(listed | F.coalesce(F.col("at") == 0, F.lit(True)))
     # of the forms of a word the one as it stands comes first
-    place = Window.partitionBy(*keys).orderBy("at", F.desc(listed), F.desc(F.col("token") == F.col("raw")))
+    place = Window.partitionBy("_key").orderBy("at", F.desc(listed), F.desc(F.col("token") == F.col("raw")))
     single = kept.withColumn("_same", F.coalesce(F.lag("at").over(place) == F.col("at"), F.lit(False))).where("not _same")
-    before = Window.partitionBy(*keys).orderBy("at")
+    before = Window.partitionBy("_key").orderBy("at")
     marks = single.withColumn("_mark", F.when(listed, F.col("at")))
     marks = marks.select("*", *(F.lag("_mark", k).over(before).alias(f"_lag{k}") for k in (1, 2, 3)))
     seen = [F.coalesce(*(F.when(F.col(f"_lag{k}") == F.col("at") - d, True) for k in (1, 2, 3)), F.lit(False)).alias(f"near{d}") for d in (1, 2, 3)]
@@ -211,8 +214,8 @@ def review_scores(
     v = F.col("_value")
     # A review's rows lie together already, so that this is no further shuffle.
     sums = (
-        valued.select(*keys, "_emphasis", "_size", F.coalesce(F.col("_v") * shift, F.lit(0.0)).alias("_value"))
-        .groupBy(*keys)
+        valued.select("_key", "_emphasis", "_size", F.coalesce(F.col("_v") * shift, F.lit(0.0)).alias("_value"))
+        .groupBy("_key")
         .agg(
             F.max("_emphasis").alias("emphasis"),
             F.sum(v).alias("total"),
@@ -224,7 +227,7 @@ def review_scores(
     )
     emphasis = F.col("emphasis")
     sums = sums.select(
-        *keys,
+        "_key.*",
         "emphasis",
         "flat",
         (F.col("total") + F.signum("total") * emphasis).alias("total"),
