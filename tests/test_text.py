@@ -234,6 +234,27 @@ def test_runs_over_batches():
         assert sorted(got, key=str) == sorted(want, key=str)
 
 
+def test_packed_counts_over_blocks(monkeypatch):
+    """Blocks of a few words, one of them without any, give each key's weights in order of the index."""
+    monkeypatch.setattr(runs, "WORDS", 3)
+    lines = [("a", -1, ["x", "y", "x"]), ("a", -1, ["x", "w"]), ("b", -1, []), ("c", -1, None), ("d", -1, ["y"]), ("e", -1, ["z"]), ("f", -1, [])]
+    batches = [pa.record_batch([pa.array(c) for c in zip(*lines[n : n + 2])], schema=LINES) for n in range(0, 7, 2)]
+    index, got, total = {"x": 2, "y": 0, "z": 3, "w": 1}, {}, {}
+    blocks = list(runs.pack_words(iter(batches)))
+    assert len(blocks) > 1
+    for b in blocks:
+        row = b.to_pylist()[0]
+        for term, df, n in zip(row["terms"], row["dfs"], row["totals"]):
+            total[term] = tuple(map(sum, zip(total.get(term, (0, 0)), (df, n))))
+        codes = range(len(row["terms"]))
+        kinds = pa.schema([("code", pa.int32()), ("index", pa.int32()), ("idf", pa.float64())])
+        terms = pa.Table.from_pylist([{"code": c, "index": index[row["terms"][c]], "idf": 0.5} for c in reversed(codes)], schema=kinds)
+        got |= {r["BusinessID"]: (r["indices"], r["values"]) for r in runs.unpack_weights(pa.Table.from_batches([b]), terms).to_pylist()}
+    empty = ([], [])
+    assert got == {"a": ([0, 1, 2], [0.5, 0.5, 1.5]), "b": empty, "c": empty, "d": ([0], [0.5]), "e": ([3], [0.5]), "f": empty}
+    assert total == {"x": (1, 3), "y": (2, 2), "z": (1, 1), "w": (1, 1)}
+
+
 # --- topics ------------------------------------------------------------------------------
 @pytest.fixture(scope="module")
 def inputs(spark, small):
@@ -266,6 +287,26 @@ def test_vectors_equal_the_merged_text_through_mllib(spark, inputs):
         }
 
 
+def test_vectors_of_large_businesses(spark, monkeypatch):
+    """Businesses with more text than a task counts at once get the same vectors, and only they are counted by rows."""
+    r = random.Random(3)
+    lines = [(n % 7, " ".join(r.choices([f"w{k}" for k in range(50)], k=20 if n % 7 < 2 else 3))) for n in range(200)]
+    lines += [(0, "w1 w2"), (0, "w1 w2"), (8, "..."), (9, None)]
+    business = spark.range(10).selectExpr("id as BusinessID", "string(id) as Name", "'X' as City", "2.0D as BusinessStars")
+    texts = topics.business_texts(spark.createDataFrame(lines, "BusinessID long, Review string"), business)
+    stored, plain = {}, topics.materialise
+    monkeypatch.setattr(topics, "materialise", lambda df, name, *more: stored.setdefault(name, []).append(plain(df, name, *more)) or stored[name][-1])
+    got = []
+    for part in (topics.PART_BYTES, 500):
+        monkeypatch.setattr(topics, "PART_BYTES", part)
+        vectors, words = topics.business_vectors(texts, business, stopwords=())
+        got.append((sorted((x.BusinessID, x.BusinessName, x.features) for x in vectors.collect()), sorted(map(tuple, words.collect()))))
+    assert got[0] == got[1] and [x[0] for x in got[0][0]] == [*range(7), 8, 9]
+    assert [x.count() for x in stored["large"]] == [0, 2]
+    by_rows = [{x.BusinessID for x in t.select("BusinessID").distinct().collect()} for t in stored["term-counts"]]
+    assert by_rows == [set(), {0, 1}]
+
+
 @pytest.fixture(scope="module")
 def found(inputs):
     return topics.cohort_topics(inputs.text(), inputs.business())

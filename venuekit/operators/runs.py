@@ -11,7 +11,7 @@ import numpy as np
 import pyarrow as pa
 
 #: Words that are counted at once; a longer run is counted by itself.
-WORDS = 1 << 20
+WORDS = 1 << 19
 
 
 def run_starts(batch: pa.RecordBatch, keys: int) -> np.ndarray:
@@ -41,10 +41,13 @@ def whole_runs(batches: Iterator[pa.RecordBatch], keys: int) -> Iterator[pa.Reco
         yield pa.concat_batches(held)
 
 
-def count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(key, part, term, n) of rows (key, part, words)."""
+def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
+    """Blocks of runs of rows (key, part, words): a batch of the runs' keys and parts, the block's terms, and arrays run, code and n.
+
+    ``code`` is a term's place among the block's terms, and n how often it occurs in the run; in order of run and code.
+    """
     for batch in whole_runs(batches, 2):
-        key, part, lists = batch.columns
+        lists = batch.column(2)
         starts = run_starts(batch, 2)
         before = np.zeros(len(lists) + 1, np.int64)
         np.cumsum(lists.value_lengths().fill_null(0).to_numpy(), out=before[1:])
@@ -52,14 +55,54 @@ def count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for a, b in zip(cuts, cuts[1:]):
             rows = np.append(starts[a:b], starts[b] if b < len(starts) else len(lists))
             found = lists.slice(rows[0], rows[-1] - rows[0]).flatten().dictionary_encode()
-            if not len(found):
-                continue
+            size = max(len(found.dictionary), 1)
             run = np.repeat(np.arange(b - a), np.diff(before[rows]))
-            pairs, n = np.unique(run * len(found.dictionary) + found.indices.to_numpy(), return_counts=True)
-            run, term = np.divmod(pairs, len(found.dictionary))
-            at = pa.array(rows[run])
-            columns = [key.take(at), part.take(at), found.dictionary.take(pa.array(term)), pa.array(n, pa.int64())]
-            yield pa.record_batch(columns, names=[*batch.schema.names[:2], "term", "n"])
+            pairs, n = np.unique(run * size + found.indices.to_numpy(), return_counts=True)
+            yield batch.select([0, 1]).take(pa.array(rows[:-1])), found.dictionary, *np.divmod(pairs, size), n
+
+
+def count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(key, part, term, n) of rows (key, part, words)."""
+    for named, terms, run, code, n in _counted(batches):
+        columns = [*named.take(pa.array(run)).columns, terms.take(pa.array(code)), pa.array(n, pa.int64())]
+        yield pa.record_batch(columns, names=[*named.schema.names, "term", "n"])
+
+
+def _list(values: pa.Array | np.ndarray, kind: pa.DataType | None = None) -> pa.Array:
+    values = pa.array(values, kind) if kind else values
+    return pa.ListArray.from_arrays(pa.array([0, len(values)], pa.int32()), values)
+
+
+def pack_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The counts of a block of keys as one row, of rows (key, part, words); a block is called by its first key.
+
+    ``ends`` says where the entries (codes, counts) of each of the keys end; each of the block's terms stands once, with the
+    number of keys that have it and of its occurrences.
+    """
+    for named, terms, run, code, n in _counted(batches):
+        keys = named.column(0)
+        lists = {
+            "keys": _list(keys),
+            "ends": _list(np.searchsorted(run, np.arange(len(keys)), "right"), pa.int32()),
+            "codes": _list(code, pa.int32()),
+            "counts": _list(n, pa.int32()),
+            "terms": _list(terms),
+            "dfs": _list(np.bincount(code, minlength=len(terms)), pa.int64()),
+            "totals": _list(np.bincount(code, n, len(terms)), pa.int64()),
+        }
+        yield pa.record_batch([keys.slice(0, 1), *lists.values()], names=["block", *lists])
+
+
+def unpack_weights(block: pa.Table, terms: pa.Table) -> pa.Table:
+    """(key, indices, values) of a packed row's keys, in order of the index; ``terms`` has the code, index and idf of its terms."""
+    keys, ends, codes, counts = (block.column(c).combine_chunks().flatten() for c in ("keys", "ends", "codes", "counts"))
+    at = np.argsort(terms.column("code").to_numpy())
+    index, idf = (terms.column(c).to_numpy()[at] for c in ("index", "idf"))
+    ends, codes = np.append(0, ends.to_numpy()), codes.to_numpy()
+    order = np.lexsort((index[codes], np.repeat(np.arange(len(keys)), np.diff(ends))))
+    found = index[codes][order], (counts.to_numpy() * idf[codes])[order]
+    lists = [pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(x)) for x in found]
+    return pa.table([keys, *lists], names=["BusinessID", "indices", "values"])
 
 
 def sparse_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
