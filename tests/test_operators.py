@@ -1,9 +1,13 @@
+import itertools
+import random
+
 import pytest
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from venuekit.functions import numbers, text
-from venuekit.operators import aggregates, filters, joins, ranking
+from venuekit.operators import aggregates, blocks, filters, joins, ranking
+from venuekit.plans import recommend
 from venuekit.sources import readers, scratch, writers
 from venuekit.sources.schemas import RAW_PROVINCE
 
@@ -265,3 +269,45 @@ def test_pairs_are_built_by_many_tasks(spark):
     pairs = joins.unvisited_pairs(users, businesses, visits, block_users=100, block_businesses=30)
     per_task = [r["count"] for r in pairs.groupBy(F.spark_partition_id().alias("task")).count().collect()]
     assert sum(per_task) == 2000 * 300 - 500 and len(per_task) > 4
+
+
+def test_blocks_of_users_are_not_broadcast(spark):
+    """Grouped, the users are few bytes; repeated for each slice they are not, and Spark sees the first size only."""
+    users, businesses = spark.range(3000).toDF("UserID"), spark.range(2000).toDF("BusinessID")
+    visits = spark.range(500).selectExpr("id as UserID", "id % 300 as BusinessID")
+    for best in (None, blocks.Best(blocks.product("UserID", "BusinessID"), 3, 5.0)):
+        pairs = joins.unvisited_pairs(users, businesses, visits, block_users=100, block_businesses=10, best=best)
+        assert len(pairs.agg(F.count("*")).collect()) == 1
+        counted = pairs.groupBy().count()
+        counted.collect()
+        lines = plan(counted).split("Initial Plan")[0].splitlines()
+        assert any("SortMergeJoin" in x or "FlatMapCoGroupsInArrow" in x for x in lines)
+        sent = [n for n, x in enumerate(lines) if "BroadcastExchange" in x]
+        depth = lambda x: len(x) - len(x.lstrip(" :+-*"))
+        for n in sent:
+            below = [x for x in itertools.takewhile(lambda x: depth(x) > depth(lines[n]), lines[n + 1 :])]
+            assert not any("_users" in x for x in below)
+
+
+@pytest.mark.parametrize("sizes", [(512, 4096), (7, 5), (1, 1)])
+@pytest.mark.parametrize("cells", [blocks.CELLS, 20])
+def test_the_best_pairs_of_blocks_hold_the_best_of_all(spark, rows, sizes, cells, monkeypatch):
+    """Ids that come twice, users and businesses without a score, ties, and users who were nearly everywhere."""
+    monkeypatch.setattr(blocks, "CELLS", cells)
+    r = random.Random(5)
+    people = [(u, r.choice([None, 1.0, 1.5, 2.25])) for u in range(40)] + [(3, 2.0), (4, None)]
+    places = [(b, r.choice([None, 1.0, 2.0, 4.5])) for b in range(30)] + [(7, 2.0), (8, 4.5)]
+    seen = [(r.randrange(44), r.randrange(33)) for _ in range(300)] + [(5, b) for b in range(27)] + [(None, 1), (1, None)]
+    users = spark.createDataFrame(people, "UserID long, AverageStars double")
+    businesses = spark.createDataFrame(places, "BusinessID long, BusinessStars double")
+    reviews = spark.createDataFrame(seen, "UserID long, BusinessID long")
+    score = F.col("AverageStars") * F.col("BusinessStars")
+    lists = []
+    for best in (None, recommend.first_of_block(blocks.product("AverageStars", "BusinessStars"), 4)):
+        for met in (reviews, None):
+            pairs = joins.unvisited_pairs(users, businesses, met, *sizes, best=best)
+            lists.append(rows(recommend.best_per_user(pairs.withColumn("score", score), "score", 4).select("UserID", "BusinessID", "FinalStar", "rank")))
+            assert pairs.columns == ["BusinessID", "BusinessStars", "UserID", "AverageStars"]
+    assert lists[:2] == lists[2:] and len(lists[0]) > 150
+    for none in (users.limit(0), businesses), (users, businesses.limit(0)):
+        assert joins.unvisited_pairs(*none, reviews, *sizes, best=best).count() == 0

@@ -1,24 +1,12 @@
-"""What the operators need of the cluster: the package on the workers, tables in the shared folder."""
+"""What the operators need of the cluster, and column names."""
 
 from __future__ import annotations
 
-import shutil
-import tempfile
-from pathlib import Path
+from pyspark.sql import DataFrame
 
-from pyspark.sql import DataFrame, SparkSession
+from venuekit.sources.cluster import ship
 
-PACKAGE = Path(__file__).resolve().parent.parent
-_shipped: set[str] = set()
-
-
-def ship(spark: SparkSession) -> None:
-    """Send this package to the executors' Python once per application."""
-    sc = spark.sparkContext
-    if sc.applicationId not in _shipped:
-        folder = tempfile.mkdtemp(prefix="package-")
-        sc.addPyFile(shutil.make_archive(f"{folder}/{PACKAGE.name}", "zip", PACKAGE.parent, PACKAGE.name))
-        _shipped.add(sc.applicationId)
+__all__ = ["fresh", "ship"]
 
 
 def fresh(df: DataFrame, name: str) -> str:
