@@ -374,6 +374,56 @@ def test_topics_come_apart(spark):
     assert sorted(sorted(r.topic_word[:3]) for r in model.words.collect()) == sorted(map(sorted, things))
 
 
+def _mix_alone(weights, likely, alpha):
+    """A document by itself, as the method is written down."""
+    gamma = np.ones(len(alpha))
+    while True:
+        theta = np.exp(lda.digamma(gamma) - lda.digamma(gamma.sum()))
+        new = theta * ((weights / (likely @ theta)) @ likely) + alpha
+        change, gamma = np.abs(new - gamma).mean(), new
+        if change <= lda.CHANGE:
+            theta = np.exp(lda.digamma(gamma) - lda.digamma(gamma.sum()))
+            return gamma, likely * theta * (weights / (likely @ theta))[:, None]
+
+
+@pytest.mark.parametrize("together", [lda.TOGETHER, 40, 1])
+def test_documents_of_a_block_settle_as_each_would_alone(monkeypatch, together):
+    monkeypatch.setattr(lda, "TOGETHER", together)
+    draw = np.random.default_rng(2)
+    likely, alpha = draw.gamma(2.0, 1.0, (3, 50)), np.array([0.1, 0.5, 1.0])
+    sizes = [1, 30, 7, 7, 50, 12, 1]
+    codes = np.concatenate([draw.choice(50, n, replace=False) for n in sizes])
+    weights, ends = draw.gamma(1.0, 3.0, len(codes)), np.cumsum(sizes)
+    gamma, taken = lda.mixes_of(weights, codes, ends, likely, alpha)
+    for j, (a, b) in enumerate(zip([0, *ends], ends)):
+        alone, shares = _mix_alone(weights[a:b], likely.T[codes[a:b]], alpha)
+        assert gamma[j] == pytest.approx(alone, rel=1e-9) and taken[:, a:b].T == pytest.approx(shares, rel=1e-9)
+
+
+def test_topics_of_packed_blocks(spark, monkeypatch):
+    """A term has one row in a block, and neither the size of blocks nor counting by rows changes the topics."""
+    r = random.Random(4)
+    business = spark.range(60).selectExpr("id as BusinessID", "string(id) as Name", "'X' as City", "1.0D + id % 5 as BusinessStars")
+    business = business.unionAll(business.where("BusinessID = 6"))  # comes twice
+    lines = [(n % 60, " ".join(r.choices([f"w{k}" for k in range(80)], k=30 if n % 60 < 3 else 6))) for n in range(400)] + [(61, "w1"), (59, "...")]
+    reviews = spark.createDataFrame(lines, "BusinessID long, Review string")
+    stored, plain = {}, topics.materialise
+    monkeypatch.setattr(topics, "materialise", lambda df, name, *a, **b: stored.setdefault(name, []).append(plain(df, name, *a, **b)) or stored[name][-1])
+    found = []
+    for part, block, least in ((4 << 20, 8 << 20, 1), (400, 100, 3)):
+        for name, value in (("PART_BYTES", part), ("BLOCK_BYTES", block), ("LEAST_BLOCKS", least)):
+            monkeypatch.setattr(topics, name, value)
+        models = topics.cohort_topics(reviews, business, k=2)
+        found.append({c: (sorted(map(tuple, m.distribution.collect())), sorted(map(tuple, m.words.collect()))) for c, m in models.items()})
+    assert set(found[0]) == {"low", "high"} and sum(len(m[0]) for m in found[0].values()) == 63
+    for c, (mixes, words) in found[0].items():
+        assert [x[:2] for x in mixes] == [x[:2] for x in found[1][c][0]] and words == found[1][c][1]
+        assert [x[2] for x in mixes] == [pytest.approx(x[2], rel=1e-6) for x in found[1][c][0]]
+    counts = [(t.count(), t.select("cohort", "batch", "block", "term").distinct().count(), t.select("block").distinct().count()) for t in stored["terms"]]
+    assert counts[0][0] == counts[0][1] < counts[1][0] and counts[0][2] < counts[1][2]
+    assert [x.count() for x in stored["large"]] == [0, 3]
+
+
 def test_gamma_functions():
     assert lda.digamma(np.array([0.05, 1.0, 10.0])) == pytest.approx([-20.497845, -0.5772156649, 2.2517525890])
     assert lda.trigamma(np.array([0.05, 1.0, 10.0])) == pytest.approx([401.532360, 1.6449340668, 0.1051663357])

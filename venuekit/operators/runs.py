@@ -41,24 +41,29 @@ def whole_runs(batches: Iterator[pa.RecordBatch], keys: int) -> Iterator[pa.Reco
         yield pa.concat_batches(held)
 
 
-def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
-    """Blocks of runs of rows (key, part, words): a batch of the runs' keys and parts, the block's terms, and arrays run, code and n.
+def _counted(batches: Iterator[pa.RecordBatch], keys: int = 2, words: int = WORDS, apart: int = 0) -> Iterator[tuple]:
+    """Blocks of runs of rows (keys.., words): a batch of the runs' first columns, the block's terms, and arrays run, code and n.
 
     ``code`` is a term's place among the block's terms, and n how often it occurs in the run; in order of run and code.
+    A block has about ``words`` words, and one value of the first ``apart`` columns.
     """
-    for batch in whole_runs(batches, 2):
-        lists = batch.column(2)
-        starts = run_starts(batch, 2)
+    for batch in whole_runs(batches, keys):
+        columns = range(batch.num_columns - 1)
+        lists = batch.column(len(columns))
+        starts = run_starts(batch, keys)
         before = np.zeros(len(lists) + 1, np.int64)
         np.cumsum(lists.value_lengths().fill_null(0).to_numpy(), out=before[1:])
-        cuts = [*np.flatnonzero(np.diff(before[starts] // WORDS, prepend=-1)), len(starts)]
+        cut = np.diff(before[starts] // words, prepend=-1) != 0
+        if apart:
+            cut |= np.isin(starts, run_starts(batch, apart))
+        cuts = [*np.flatnonzero(cut), len(starts)]
         for a, b in zip(cuts, cuts[1:]):
             rows = np.append(starts[a:b], starts[b] if b < len(starts) else len(lists))
             found = lists.slice(rows[0], rows[-1] - rows[0]).flatten().dictionary_encode()
             size = max(len(found.dictionary), 1)
             run = np.repeat(np.arange(b - a), np.diff(before[rows]))
             pairs, n = np.unique(run * size + found.indices.to_numpy(), return_counts=True)
-            yield batch.select([0, 1]).take(pa.array(rows[:-1])), found.dictionary, *np.divmod(pairs, size), n
+            yield batch.select(columns).take(pa.array(rows[:-1])), found.dictionary, *np.divmod(pairs, size), n
 
 
 def count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -93,6 +98,33 @@ def pack_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.record_batch([keys.slice(0, 1), *lists.values()], names=["block", *lists])
 
 
+def pack_batches(batches: Iterator[pa.RecordBatch], words: int) -> Iterator[pa.RecordBatch]:
+    """As ``pack_words``, of rows (cohort, batch, key, copies, words): a block has one cohort and batch, and a key counts ``copies`` times."""
+    for named, terms, run, code, n in _counted(batches, 3, words, 2):
+        yield _packed(named, terms, run, code, n)
+
+
+def pack_counts(rows: pa.Table) -> pa.Table:
+    """The same of rows (cohort, batch, key, copies, term, n) of one key, whose terms are all different."""
+    n = rows.num_rows
+    named = rows.select(range(4)).slice(0, 1).combine_chunks().to_batches()[0]
+    return pa.Table.from_batches([_packed(named, rows.column(4).combine_chunks(), np.zeros(n, np.int64), np.arange(n), rows.column(5).to_numpy())])
+
+
+def _packed(named: pa.RecordBatch, terms: pa.Array, run: np.ndarray, code: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
+    keys, copies = named.column(2), named.column(3).to_numpy()
+    lists = {
+        "keys": _list(keys),
+        "ends": _list(np.searchsorted(run, np.arange(len(keys)), "right"), pa.int32()),
+        "codes": _list(code, pa.int32()),
+        "counts": _list(n * copies[run], pa.int64()),
+        "terms": _list(terms),
+        "dfs": _list(np.bincount(code, copies[run], len(terms)), pa.int64()),
+    }
+    columns = [*(c.slice(0, 1) for c in named.columns[:2]), keys.slice(0, 1), *lists.values()]
+    return pa.record_batch(columns, names=["cohort", "batch", "block", *lists])
+
+
 def unpack_weights(block: pa.Table, terms: pa.Table) -> pa.Table:
     """(key, indices, values) of a packed row's keys, in order of the index; ``terms`` has the code, index and idf of its terms."""
     keys, ends, codes, counts = (block.column(c).combine_chunks().flatten() for c in ("keys", "ends", "codes", "counts"))
