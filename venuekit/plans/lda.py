@@ -188,7 +188,7 @@ def fit(packed: DataFrame, terms: DataFrame, documents: DataFrame, k: int, seed:
 
     def together(rows: DataFrame, met: DataFrame, n: int, learn, shape: T.StructType) -> DataFrame:
         """Blocks beside their terms, dealt out by number: there are few, and each is long work."""
-        dealt = rows.repartition(max(1, min(n, most)), "block")
+        dealt = rows.repartition(max(1, min(2 * n, most)), "block")
         return dealt.groupBy("block").cogroup(met.groupBy("block")).applyInArrow(learn, shape)
 
     for batch in range(BATCHES):
